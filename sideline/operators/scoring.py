@@ -1,10 +1,10 @@
 """Per-row scores, tags and explanations. Narrow projections only: no shuffle, no UDF."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sideline import config, schemas
-from sideline.functions.numeric import clamp, fixed_text, is_finite, normalize, number_text
+from sideline.functions.numeric import clamp, fixed_text, is_finite, lit, normalize, number_text
 from sideline.functions.numeric import weighted_average
 
 
@@ -12,27 +12,24 @@ class SchemaError(ValueError):
     """A frame that must not be scored was handed to the scoring functions."""
 
 
-def normalized(field: str, inverse: bool = False) -> Column:
+def normalized(field: str, inverse: bool = False) -> str:
     """Scale one input field to 0-100 by its configured bounds."""
-    return normalize(F.col(field), *config.BOUNDS[field], inverse)
+    return normalize(field, *config.BOUNDS[field], inverse)
 
 
-def split_average() -> Column:
+def split_average() -> str:
     """Mean of the finite splits, 0 when there are none."""
-    present = [is_finite(F.col(s)) for s in schemas.SPLITS]
-    total, count = F.lit(0.0), F.lit(0)
-    for name, ok in zip(schemas.SPLITS, present):
-        total = total + F.when(ok, F.col(name)).otherwise(F.lit(0.0))
-        count = count + ok.cast("int")
-    return F.when(count > 0, total / count).otherwise(F.lit(0.0))
+    total = " + ".join(f"if({is_finite(s)}, {s}, 0D)" for s in schemas.SPLITS)
+    count = " + ".join(f"int({is_finite(s)})" for s in schemas.SPLITS)
+    return f"coalesce(({total}) / nullif({count}, 0), 0D)"
 
 
-def _component(name: str) -> Column:
+def _component(name: str) -> str:
     if name == "splitAllowanceBoost":
-        return normalize(F.col("_splitAverage"), *config.BOUNDS["splitAllowance"])
+        return normalize("_splitAverage", *config.BOUNDS["splitAllowance"])
     if name == "redZoneSustainability":
-        gap = F.abs(F.col("redZoneTdRate") - config.RED_ZONE_SUSTAINABLE_RATE)
-        return clamp(F.lit(100.0) - gap * config.RED_ZONE_SUSTAINABLE_SLOPE)
+        gap = f"abs(redZoneTdRate - {lit(config.RED_ZONE_SUSTAINABLE_RATE)})"
+        return clamp(f"(100D - {gap} * {lit(config.RED_ZONE_SUSTAINABLE_SLOPE)})")
     field, inverse = config.COMPONENT_INPUTS.get(name, (name, False))
     return normalized(field, inverse)
 
@@ -48,126 +45,108 @@ SCORE_PARTS = {
 
 def add_components(rows: DataFrame) -> DataFrame:
     """Add one struct of 0-100 components per score."""
-    rows = rows.withColumn("_splitAverage", split_average())
-    return rows.withColumns(
-        {
-            part: F.struct(*[_component(name).alias(name) for name in weights])
-            for part, (_, weights) in SCORE_PARTS.items()
-        }
-    ).drop("_splitAverage")
+    structs = [
+        "named_struct(" + ", ".join(f"'{n}', {_component(n)}" for n in weights) + f") AS {part}"
+        for part, (_, weights) in SCORE_PARTS.items()
+    ]
+    with_average = rows.selectExpr("*", f"{split_average()} AS _splitAverage")
+    return with_average.selectExpr("*", *structs).drop("_splitAverage")
 
 
 def add_scores(rows: DataFrame) -> DataFrame:
     """Add the five scores to a frame that has the component structs."""
-    scored = rows.withColumns(
-        {
-            score: weighted_average({n: F.col(f"{part}.{n}") for n in weights}, weights)
-            for part, (score, weights) in SCORE_PARTS.items()
-        }
-    )
+    scores = [
+        weighted_average({n: f"{part}.{n}" for n in weights}, weights) + f" AS {score}"
+        for part, (score, weights) in SCORE_PARTS.items()
+    ]
     w = config.VOLATILITY_WEIGHTS
     volatility = (
-        (F.lit(100.0) - F.col("stabilityScore")) * w["instability"]
-        + normalized("explosivePlayRate") * w["explosivePlayRate"]
-        + normalized("redZoneTdRate") * w["redZoneTdRate"]
+        f"(100D - stabilityScore) * {lit(w['instability'])}"
+        f" + ({normalized('explosivePlayRate')}) * {lit(w['explosivePlayRate'])}"
+        f" + ({normalized('redZoneTdRate')}) * {lit(w['redZoneTdRate'])}"
+    )
+    return rows.selectExpr("*", *scores).selectExpr(
+        "*", f"least(100D, greatest(0D, {volatility})) AS volatilityScore"
     )
-    return scored.withColumn("volatilityScore", clamp(volatility))
-
-
-def tag_rules() -> dict[str, Column]:
-    """Tag -> condition, in the order in which tags are listed."""
-    c = F.col
-    slot, wide = F.coalesce(c("wrSlotAllowed"), F.lit(0.0)), F.coalesce(c("wrWideAllowed"), F.lit(0.0))
-    inline, split = F.coalesce(c("teInlineAllowed"), F.lit(0.0)), F.coalesce(c("teSplitAllowed"), F.lit(0.0))
-    return {
-        "elite_real_life_team": c("teamPowerScore") >= 80,
-        "elite_fantasy_environment": c("fantasyEnvironmentScore") >= 80,
-        "pass_funnel_offense": (c("neutralPassRate") >= 0.6) & (c("rushRate") <= 0.42),
-        "run_heavy_low_ceiling": (c("rushRate") >= 0.52) & (c("fantasyEnvironmentScore") < 60),
-        "red_zone_machine": (c("redZoneTrips") >= 5) & (c("redZoneTdRate") >= 0.65),
-        "explosive_but_volatile": (c("explosivePlayRate") >= 0.14) & (c("volatilityScore") >= 65),
-        "stable_environment": (c("stabilityScore") >= 72) & (c("volatilityScore") <= 38),
-        "fraudulent_td_environment": (c("redZoneTdRate") >= 0.72) & (c("pointsPerDrive") < 2),
-        "qb_friendly_matchup": c("fantasyPointsAllowedQB") >= 22,
-        "wr_slot_funnel_defense": (slot >= 16) & (slot > wide + 2),
-        "te_dead_zone_defense": (c("fantasyPointsAllowedTE") <= 7) & (inline <= 4) & (split <= 4),
-    }
-
-
-def _present(items: list[tuple[Column, str]]) -> Column:
-    """Array of the texts whose condition holds, in order."""
-    return F.array_compact(F.array(*[F.when(cond, F.lit(text)) for cond, text in items]))
 
 
-def add_tags(scored: DataFrame) -> DataFrame:
-    """Add the ordered ``tags`` array."""
-    return scored.withColumn("tags", _present([(cond, tag) for tag, cond in tag_rules().items()]))
+# tag -> condition, in the order in which tags are listed; fixed thresholds
+TAG_RULES = {
+    "elite_real_life_team": "teamPowerScore >= 80",
+    "elite_fantasy_environment": "fantasyEnvironmentScore >= 80",
+    "pass_funnel_offense": "neutralPassRate >= 0.6D AND rushRate <= 0.42D",
+    "run_heavy_low_ceiling": "rushRate >= 0.52D AND fantasyEnvironmentScore < 60",
+    "red_zone_machine": "redZoneTrips >= 5 AND redZoneTdRate >= 0.65D",
+    "explosive_but_volatile": "explosivePlayRate >= 0.14D AND volatilityScore >= 65",
+    "stable_environment": "stabilityScore >= 72 AND volatilityScore <= 38",
+    "fraudulent_td_environment": "redZoneTdRate >= 0.72D AND pointsPerDrive < 2",
+    "qb_friendly_matchup": "fantasyPointsAllowedQB >= 22",
+    "wr_slot_funnel_defense": "coalesce(wrSlotAllowed, 0D) >= 16"
+    " AND coalesce(wrSlotAllowed, 0D) > coalesce(wrWideAllowed, 0D) + 2",
+    "te_dead_zone_defense": "fantasyPointsAllowedTE <= 7"
+    " AND coalesce(teInlineAllowed, 0D) <= 4 AND coalesce(teSplitAllowed, 0D) <= 4",
+}
 
+# text -> condition, in list order; fixed thresholds
+STRENGTH_RULES = {
+    config.STRENGTH_POWER: "teamPowerScore >= 70",
+    config.STRENGTH_FANTASY: "fantasyEnvironmentScore >= 70",
+    config.STRENGTH_MATCHUP: "matchupEnvironmentScore >= 65",
+    config.STRENGTH_STABLE: "stabilityScore >= 70",
+}
+RISK_RULES = {
+    config.RISK_POWER: "teamPowerScore < 45",
+    config.RISK_FANTASY: "fantasyEnvironmentScore < 45",
+    config.RISK_VOLATILE: "volatilityScore >= 65",
+    config.RISK_TURNOVERS: "turnovers >= 3",
+}
 
-def _or_default(lines: Column, default: str) -> Column:
-    return F.when(F.size(lines) > 0, lines).otherwise(F.array(F.lit(default)))
+ENVIRONMENT_TYPE = f"""CASE
+  WHEN teamPowerScore >= 75 AND fantasyEnvironmentScore >= 75 THEN '{config.ENVIRONMENT_ELITE}'
+  WHEN teamPowerScore >= 70 THEN '{config.ENVIRONMENT_POWER}'
+  WHEN fantasyEnvironmentScore >= 70 THEN '{config.ENVIRONMENT_FANTASY}'
+  WHEN volatilityScore >= 65 THEN '{config.ENVIRONMENT_VOLATILE}'
+  ELSE '{config.ENVIRONMENT_BALANCED}' END"""
 
 
-def environment_type() -> Column:
-    power, fantasy = F.col("teamPowerScore"), F.col("fantasyEnvironmentScore")
-    return (
-        F.when((power >= 75) & (fantasy >= 75), config.ENVIRONMENT_ELITE)
-        .when(power >= 70, config.ENVIRONMENT_POWER)
-        .when(fantasy >= 70, config.ENVIRONMENT_FANTASY)
-        .when(F.col("volatilityScore") >= 65, config.ENVIRONMENT_VOLATILE)
-        .otherwise(config.ENVIRONMENT_BALANCED)
-    )
+def _present(rules: dict[str, str]) -> str:
+    """Array of the texts whose condition holds, in order."""
+    return "array_compact(array(" + ", ".join(
+        f"CASE WHEN {cond} THEN '{text}' END" for text, cond in rules.items()
+    ) + "))"
+
 
+def _or_default(rules: dict[str, str], default: str) -> str:
+    """The list of present texts, or the default line when none is."""
+    nothing = " AND ".join(f"NOT coalesce({cond}, false)" for cond in rules.values())
+    return f"CASE WHEN {nothing} THEN array('{default}') ELSE {_present(rules)} END"
 
-def tag_sentence() -> Column:
+
+def tag_sentence() -> str:
     """Sentence of the first tag."""
-    first = F.try_element_at(F.col("tags"), F.lit(1))
-    sentence = F.when(first.isNull(), config.NO_TAG_MESSAGE)
-    for tag, text in config.TAG_MESSAGES.items():
-        sentence = sentence.when(first == tag, text)
-    return sentence
+    cases = " ".join(f"WHEN '{tag}' THEN '{text}'" for tag, text in config.TAG_MESSAGES.items())
+    return f"CASE try_element_at(tags, 1) {cases} ELSE '{config.NO_TAG_MESSAGE}' END"
+
+
+def add_tags(scored: DataFrame) -> DataFrame:
+    """Add the ordered ``tags`` array."""
+    return scored.selectExpr("*", f"{_present(TAG_RULES)} AS tags")
 
 
 def add_explanation(tagged: DataFrame) -> DataFrame:
     """Add ``strengths``, ``risks`` and ``summary``."""
-    c = F.col
-    with_lists = tagged.withColumns(
-        {
-            "strengths": _present(
-                [
-                    (c("teamPowerScore") >= 70, config.STRENGTH_POWER),
-                    (c("fantasyEnvironmentScore") >= 70, config.STRENGTH_FANTASY),
-                    (c("matchupEnvironmentScore") >= 65, config.STRENGTH_MATCHUP),
-                    (c("stabilityScore") >= 70, config.STRENGTH_STABLE),
-                ]
-            ),
-            "risks": _present(
-                [
-                    (c("teamPowerScore") < 45, config.RISK_POWER),
-                    (c("fantasyEnvironmentScore") < 45, config.RISK_FANTASY),
-                    (c("volatilityScore") >= 65, config.RISK_VOLATILE),
-                    (c("turnovers") >= 3, config.RISK_TURNOVERS),
-                ]
-            ),
-            "_success": c("successRate") * 100.0,
-            "_redZone": c("redZoneTdRate") * 100.0,
-        }
-    )
-    summary = F.concat(
-        c("team"), F.lit(" in Week "), number_text(c("week")), F.lit(" profiles as "),
-        environment_type(),
-        F.lit(". Core drivers were EPA/play "), fixed_text(c("epaPerPlay"), 2),
-        F.lit(", success rate "), fixed_text(c("_success"), 1),
-        F.lit("%, and "), number_text(c("redZoneTrips")),
-        F.lit(" red-zone trips at "), fixed_text(c("_redZone"), 1),
-        F.lit("% TD conversion. "), tag_sentence(),
+    percents = tagged.selectExpr(
+        "*", "successRate * 100D AS _success", "redZoneTdRate * 100D AS _redZone"
     )
-    return with_lists.withColumns(
-        {
-            "strengths": _or_default(c("strengths"), config.STRENGTH_DEFAULT),
-            "risks": _or_default(c("risks"), config.RISK_DEFAULT),
-            "summary": summary,
-        }
+    summary = f"""concat(team, ' in Week ', {number_text('week')}, ' profiles as ', {ENVIRONMENT_TYPE},
+      '. Core drivers were EPA/play ', {fixed_text('epaPerPlay', 2)},
+      ', success rate ', {fixed_text('_success', 1)}, '%, and ', {number_text('redZoneTrips')},
+      ' red-zone trips at ', {fixed_text('_redZone', 1)}, '% TD conversion. ', {tag_sentence()})"""
+    return percents.selectExpr(
+        "*",
+        f"{_or_default(STRENGTH_RULES, config.STRENGTH_DEFAULT)} AS strengths",
+        f"{_or_default(RISK_RULES, config.RISK_DEFAULT)} AS risks",
+        f"{summary} AS summary",
     ).drop("_success", "_redZone")
 
 
@@ -178,8 +157,8 @@ def score_rows(rows: DataFrame) -> DataFrame:
     accepted; the null-preserving candidate and governed frames are refused.
     """
     missing = [n for n in schemas.REQUIRED + schemas.SPLITS if n not in rows.columns]
-    if missing or "nullPreserving" in rows.columns:
-        raise SchemaError(f"not a canonical team-week frame: {missing or 'null-preserving rows'}")
+    if missing:
+        raise SchemaError(f"not a canonical team-week frame, missing {missing}")
     return add_scores(add_components(rows))
 
 

@@ -4,11 +4,10 @@ A nation plays a team, a ship month a week and a ship year a season. Every aggre
 whole numbers, so the rows are the same whatever order a shuffle delivers them in.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sideline import config, schemas
-from sideline.functions.numeric import exact_round
 
 SEASON_OFFSET = 10
 LEAGUE_SIZE = 25
@@ -19,8 +18,21 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _flag(cond: Column) -> Column:
-    return cond.cast("int")
+# sum column -> expression over one line
+_LINE_SUMS = {
+    "n": "count(1)",
+    "quantity": "sum(bigint(l_quantity))",
+    "size": "sum(p_size)",
+    "discount": "sum(bigint(round(l_discount * 100D)))",
+    "tax": "sum(bigint(round(l_tax * 100D)))",
+    "r": "count_if(l_returnflag = 'R')",
+    "a": "count_if(l_returnflag = 'A')",
+    "x": "count_if(l_returnflag = 'N')",
+    "f": "count_if(l_linestatus = 'F')",
+    "u": "count_if(urgent)",
+    "z": f"count_if(l_quantity >= {RED_ZONE_QUANTITY})",
+    "zr": f"count_if(l_quantity >= {RED_ZONE_QUANTITY} AND l_returnflag = 'R')",
+}
 
 
 def weekly_sums(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,139 +42,115 @@ def weekly_sums(spark: SparkSession, folder: str) -> DataFrame:
     large to broadcast is joined to sums and not to lines. No side is forced to broadcast: the
     planner broadcasts a side only when its measured size allows it.
     """
-    line = read_table(spark, folder, "lineitem").select(
+    line = read_table(spark, folder, "lineitem").selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus", "l_shipdate",
+        "l_returnflag", "l_linestatus",
+        f"year(l_shipdate) + {SEASON_OFFSET} AS season", "month(l_shipdate) AS week",
     )
-    part = read_table(spark, folder, "part").select("p_partkey", "p_size")
-    orders = read_table(spark, folder, "orders").select(
-        "o_orderkey",
-        _flag(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("urgent"),
+    part = read_table(spark, folder, "part").selectExpr("p_partkey AS l_partkey", "p_size")
+    orders = read_table(spark, folder, "orders").selectExpr(
+        "o_orderkey AS l_orderkey", "o_orderpriority IN ('1-URGENT', '2-HIGH') AS urgent"
     )
-    supplier = read_table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
-    nation = read_table(spark, folder, "nation").select("n_nationkey", "n_name")
+    supplier = read_table(spark, folder, "supplier").selectExpr(
+        "s_suppkey AS l_suppkey", "s_nationkey AS n_nationkey"
+    )
+    nation = read_table(spark, folder, "nation").selectExpr("n_nationkey", "n_name AS team")
 
-    red_zone = F.col("l_quantity") >= RED_ZONE_QUANTITY
     per_supplier = (
-        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(
-            "l_suppkey",
-            (F.year("l_shipdate") + SEASON_OFFSET).alias("season"),
-            F.month("l_shipdate").alias("week"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-            F.sum("p_size").alias("size"),
-            F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("discount"),
-            F.sum(F.round(F.col("l_tax") * 100).cast("bigint")).alias("tax"),
-            F.sum(_flag(F.col("l_returnflag") == "R")).alias("r"),
-            F.sum(_flag(F.col("l_returnflag") == "A")).alias("a"),
-            F.sum(_flag(F.col("l_returnflag") == "N")).alias("x"),
-            F.sum(_flag(F.col("l_linestatus") == "F")).alias("f"),
-            F.sum("urgent").alias("u"),
-            F.sum(_flag(red_zone)).alias("z"),
-            F.sum(_flag(red_zone & (F.col("l_returnflag") == "R"))).alias("zr"),
-        )
+        line.join(part, "l_partkey")
+        .join(orders, "l_orderkey")
+        .groupBy("l_suppkey", "season", "week")
+        .agg(*[F.expr(f"{sql} AS {name}") for name, sql in _LINE_SUMS.items()])
     )
-    sums = [c for c in per_supplier.columns if c not in ("l_suppkey", "season", "week")]
     return (
-        per_supplier.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .groupBy(F.col("n_name").alias("team"), "n_nationkey", "season", "week")
-        .agg(*[F.sum(c).alias(c) for c in sums])
+        per_supplier.join(supplier, "l_suppkey")
+        .join(nation, "n_nationkey")
+        .groupBy("team", "n_nationkey", "season", "week")
+        .agg(*[F.expr(f"sum({name}) AS {name}") for name in _LINE_SUMS])
     )
 
 
-def _metrics() -> dict[str, Column]:
-    """Metric formulas over the shares of a team-week (see ``team_weeks``)."""
-    c = F.col
-    q, s, d, t = c("q"), c("s"), c("d"), c("t")
-    r, a, x, f, u = c("rs"), c("as"), c("xs"), c("fs"), c("us")
-    n, z = c("n"), c("z")
-    plays = 45.0 + 35.0 * q / 50.0
-    pass_rate = 0.35 + 0.3 * f
-    epa = -0.3 + 7.0 * d
-    drives = (8 + n % 5).cast("double")
-    points = 1.0 + 2.5 * u
-    return {
-        "pointsFor": points * drives,
-        "pointsAgainst": 10.0 + 20.0 * a,
-        "offensivePlays": plays,
-        "neutralPlays": 0.7 * plays,
-        "secondsPerPlay": 22.0 + 12.0 * s / 50.0,
-        "passRate": pass_rate,
-        "neutralPassRate": 0.35 + 0.35 * F.least(F.lit(1.0), 1.5 * r),
-        "rushRate": 1.0 - pass_rate,
-        "epaPerPlay": epa,
-        "passEpaPerPlay": epa + t - 0.04,
-        "rushEpaPerPlay": epa - t + 0.04,
-        "successRate": 0.3 + 0.3 * f,
-        "explosivePlayRate": 0.04 + 0.16 * a,
-        "drives": drives,
-        "pointsPerDrive": points,
-        "redZoneTrips": z.cast("double"),
-        "redZoneTdRate": F.when(z > 0, c("zr").cast("double") / z),
-        "sacksAllowed": (n % 7).cast("double"),
-        "pressureRateAllowed": 0.12 + 0.33 * x,
-        "turnovers": (z % 5).cast("double"),
-        "fantasyPointsForQB": 8.0 + 22.0 * u,
-        "fantasyPointsForRB": 8.0 + 27.0 * f,
-        "fantasyPointsForWR": 12.0 + 33.0 * r,
-        "fantasyPointsForTE": 2.0 + 18.0 * a,
-        "fantasyPointsAllowedQB": 8.0 + 22.0 * (1.0 - u),
-        "fantasyPointsAllowedRB": 8.0 + 30.0 * (1.0 - f),
-        "fantasyPointsAllowedWR": 12.0 + 38.0 * (1.0 - r),
-        "fantasyPointsAllowedTE": 3.0 + 21.0 * (1.0 - a),
-        "qbPassAllowed": 15.0 * u,
-        "qbRushAllowed": 5.0 * f,
-        "rbRushAllowed": 12.0 * a,
-        "rbRecAllowed": F.lit(None).cast("double"),
-        "wrSlotAllowed": F.when(n % 3 != 0, 22.0 * r),
-        "wrWideAllowed": F.when(n % 3 != 0, 22.0 * a),
-        "teInlineAllowed": 8.0 * f,
-        "teSplitAllowed": F.when(n % 4 != 0, 8.0 * (1.0 - f)),
-    }
+_SHARES = {
+    "q": "double(quantity) / n",
+    "s": "double(size) / n",
+    "d": "double(discount) / (n * 100)",
+    "t": "double(tax) / (n * 100)",
+    "rs": "double(r) / n",
+    "ax": "double(a) / n",
+    "xs": "double(x) / n",
+    "fs": "double(f) / n",
+    "us": "double(u) / n",
+}
+_PLAYS = "(45D + 35D * q / 50D)"
+_PASS = "(0.35D + 0.3D * fs)"
+_EPA = "(-0.3D + 7D * d)"
+_POINTS = "(1D + 2.5D * us)"
+_DRIVES = "double(8 + n % 5)"
+_METRICS = {
+    "pointsFor": f"{_POINTS} * {_DRIVES}",
+    "pointsAgainst": "10D + 20D * ax",
+    "offensivePlays": _PLAYS,
+    "neutralPlays": f"0.7D * {_PLAYS}",
+    "secondsPerPlay": "22D + 12D * s / 50D",
+    "passRate": _PASS,
+    "neutralPassRate": "0.35D + 0.35D * least(1D, 1.5D * rs)",
+    "rushRate": f"1D - {_PASS}",
+    "epaPerPlay": _EPA,
+    "passEpaPerPlay": f"{_EPA} + t - 0.04D",
+    "rushEpaPerPlay": f"{_EPA} - t + 0.04D",
+    "successRate": "0.3D + 0.3D * fs",
+    "explosivePlayRate": "0.04D + 0.16D * ax",
+    "drives": _DRIVES,
+    "pointsPerDrive": _POINTS,
+    "redZoneTrips": "double(z)",
+    "redZoneTdRate": "if(z > 0, double(zr) / z, NULL)",
+    "sacksAllowed": "double(n % 7)",
+    "pressureRateAllowed": "0.12D + 0.33D * xs",
+    "turnovers": "double(z % 5)",
+    "fantasyPointsForQB": "8D + 22D * us",
+    "fantasyPointsForRB": "8D + 27D * fs",
+    "fantasyPointsForWR": "12D + 33D * rs",
+    "fantasyPointsForTE": "2D + 18D * ax",
+    "fantasyPointsAllowedQB": "8D + 22D * (1D - us)",
+    "fantasyPointsAllowedRB": "8D + 30D * (1D - fs)",
+    "fantasyPointsAllowedWR": "12D + 38D * (1D - rs)",
+    "fantasyPointsAllowedTE": "3D + 21D * (1D - ax)",
+    "qbPassAllowed": "15D * us",
+    "qbRushAllowed": "5D * fs",
+    "rbRushAllowed": "12D * ax",
+    "rbRecAllowed": "double(NULL)",
+    "wrSlotAllowed": "if(n % 3 = 0, NULL, 22D * rs)",
+    "wrWideAllowed": "if(n % 3 = 0, NULL, 22D * ax)",
+    "teInlineAllowed": "8D * fs",
+    "teSplitAllowed": "if(n % 4 = 0, NULL, 8D * (1D - fs))",
+}
 
 
 def candidate_weeks(spark: SparkSession, folder: str) -> DataFrame:
     """Team-week rows in which a week without red-zone trips has a null redZoneTdRate."""
-    c = F.col
-    shares = weekly_sums(spark, folder).withColumns(
-        {
-            "q": c("quantity").cast("double") / c("n"),
-            "s": c("size").cast("double") / c("n"),
-            "d": c("discount").cast("double") / (c("n") * 100),
-            "t": c("tax").cast("double") / (c("n") * 100),
-            "rs": c("r").cast("double") / c("n"),
-            "as": c("a").cast("double") / c("n"),
-            "xs": c("x").cast("double") / c("n"),
-            "fs": c("f").cast("double") / c("n"),
-            "us": c("u").cast("double") / c("n"),
-        }
-    )
-    slot = (c("n_nationkey") + c("week")) % LEAGUE_SIZE
-    slot = F.when(slot == c("n_nationkey"), (slot + 1) % LEAGUE_SIZE).otherwise(slot)
-    raw = shares.select(
-        "season", "week", "team",
-        F.concat(F.lit("NATION_"), slot.cast("string")).alias("opponent"),
-        *[col.alias(name) for name, col in _metrics().items()],
-    )
-    return raw.select(
-        *schemas.KEYS, *[exact_round(c(m), 6).alias(m) for m in schemas.METRICS + schemas.SPLITS]
+    slot = f"(n_nationkey + week) % {LEAGUE_SIZE}"
+    return (
+        weekly_sums(spark, folder)
+        .selectExpr("team", "season", "week", "n_nationkey", "n", "z", "zr",
+                    *[f"{sql} AS `{name}`" for name, sql in _SHARES.items()])
+        .selectExpr(
+            "season", "week", "team",
+            f"concat('NATION_', if({slot} = n_nationkey, ({slot} + 1) % {LEAGUE_SIZE}, {slot}))"
+            " AS opponent",
+            *[f"{sql} AS {name}" for name, sql in _METRICS.items()],
+        )
     )
 
 
 def team_weeks(spark: SparkSession, folder: str) -> DataFrame:
     """Canonical rows: complete, so they can be scored."""
-    rate = F.coalesce(F.col("redZoneTdRate"), F.lit(0.5))
+    rate = F.expr("coalesce(redZoneTdRate, 0.5D)")
     return candidate_weeks(spark, folder).withColumn("redZoneTdRate", rate)
 
 
 def governed_weeks(spark: SparkSession, folder: str) -> DataFrame:
     """Null-preserving rows without fantasy fields and with pressure withheld."""
-    rows = candidate_weeks(spark, folder).withColumn(
-        config.PRESSURE_FIELD, F.lit(None).cast("double")
+    kept = [m for m in schemas.GOVERNED_METRICS if m != config.PRESSURE_FIELD]
+    return candidate_weeks(spark, folder).selectExpr(
+        *schemas.KEYS, *kept, f"double(NULL) AS {config.PRESSURE_FIELD}"
     )
-    return rows.select(*schemas.KEYS, *schemas.GOVERNED_METRICS)
