@@ -210,6 +210,14 @@ def query(ctes: str, select: str) -> str:
     return f"WITH {ctes.strip()}\n{select}"
 
 
+RANKED = {
+    "team_power": "teamPowerScore", "fantasy_environment": "fantasyEnvironmentScore",
+    "matchup_environment": "matchupEnvironmentScore", "qb_matchups": "fantasyPointsAllowedQB",
+    "rb_matchups": "fantasyPointsAllowedRB", "wr_matchups": "fantasyPointsAllowedWR",
+    "te_matchups": "fantasyPointsAllowedTE",
+}
+LATEST = """,
+latest AS (SELECT * FROM states WHERE (season, week) IN (SELECT season, max(week) FROM states GROUP BY season))"""
 KEYS = "season, week, team, opponent"
 
 
@@ -226,4 +234,17 @@ def build() -> dict[str, str]:
     sql["explanation_lists"] = query(
         STATES, "SELECT season, week, team, strengthText AS strengths, riskText AS risks FROM states")
     sql["explanation_summary"] = query(STATES, "SELECT season, week, team, environmentType, summary FROM states")
+    for name, col in RANKED.items():
+        sql[f"rank_{name}"] = query(STATES, f"""SELECT row_number() OVER (ORDER BY {col} DESC, season DESC,
+    week DESC, team) AS rank, season, week, team, {rnd(col, 2)} AS score, tagText AS tags, summary FROM states""")
+        sql[f"latest_{name}"] = query(STATES + LATEST, f"""SELECT row_number() OVER (ORDER BY {col} DESC,
+    season DESC, team) AS rank, season, week, team, {rnd(col, 2)} AS score, tagText AS tags, summary FROM latest""")
+    sql["rank_weekly_all"] = query(STATES, " UNION ALL ".join(
+        f"SELECT '{name}' AS ranking, row_number() OVER (ORDER BY {col} DESC, season DESC, week DESC, team)"
+        f" AS rank, season, week, team, {rnd(col, 2)} AS score FROM states" for name, col in RANKED.items()))
+    sql["rank_latest_all"] = query(STATES + LATEST, " UNION ALL ".join(
+        f"SELECT '{name}' AS ranking, row_number() OVER (ORDER BY {col} DESC, season DESC, team)"
+        f" AS rank, season, week, team, {rnd(col, 2)} AS score FROM latest" for name, col in RANKED.items()))
+    sql["rank_volatility_ascending"] = query(SCORED, f"""SELECT row_number() OVER (ORDER BY volatilityScore,
+    season DESC, week DESC, team) AS rank, season, week, team, {rnd('volatilityScore', 2)} AS score FROM scored""")
     return sql

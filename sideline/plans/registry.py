@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sideline import config, schemas
 from sideline.functions.numeric import rounded
-from sideline.operators import scoring
+from sideline.operators import ranking, scoring
 from sideline.sources import star_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,32 @@ def _summary(spark, folder):
     )
 
 
+def _rank(name: str, latest: bool) -> Query:
+    """One weekly or latest-week ranking."""
+
+    def run(spark, folder):
+        chosen = {name: config.WEEKLY_RANKINGS[name]}
+        ranked = ranking.rank_states(_states(spark, folder), chosen, latest_week=latest)
+        return ranked.selectExpr("rank", "season", "week", "team", "score", _joined("tags"), "summary")
+
+    return run
+
+
+def _rank_all(latest: bool) -> Query:
+    """All seven rankings from one sort."""
+
+    def run(spark, folder):
+        ranked = ranking.rank_states(_states(spark, folder), latest_week=latest)
+        return ranked.select("ranking", "rank", "season", "week", "team", "score")
+
+    return run
+
+
+def _rank_volatility_asc(spark, folder):
+    ranked = ranking.rank_by(_states(spark, folder), "volatilityScore", descending=False)
+    return ranked.select("rank", "season", "week", "team", "score")
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "bridge_team_week": _bridge,
@@ -67,4 +93,10 @@ def queries() -> dict[str, Query]:
         "explanation_summary": _summary,
     }
     found.update({f"components_{part}": _components(part) for part in scoring.SCORE_PARTS})
+    for name in config.WEEKLY_RANKINGS:
+        found[f"rank_{name}"] = _rank(name, latest=False)
+        found[f"latest_{name}"] = _rank(name, latest=True)
+    found["rank_weekly_all"] = _rank_all(latest=False)
+    found["rank_latest_all"] = _rank_all(latest=True)
+    found["rank_volatility_ascending"] = _rank_volatility_asc
     return found
