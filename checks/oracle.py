@@ -221,6 +221,166 @@ latest AS (SELECT * FROM states WHERE (season, week) IN (SELECT season, max(week
 KEYS = "season, week, team, opponent"
 
 
+
+MEANS = SCORES + """offensivePlays secondsPerPlay neutralPassRate rushRate redZoneTrips redZoneTdRate
+explosivePlayRate fantasyPointsForQB fantasyPointsForRB fantasyPointsForWR fantasyPointsForTE
+fantasyPointsAllowedQB fantasyPointsAllowedRB fantasyPointsAllowedWR fantasyPointsAllowedTE""".split()
+
+SEASONS = STATES + """,
+season_tags AS (
+  SELECT season, team, string_agg(tag, '|' ORDER BY tag) AS tags FROM (
+    SELECT DISTINCT season, team, unnest(string_split(tagText, '|')) AS tag FROM states) WHERE tag<>''
+  GROUP BY ALL),
+season_words AS (
+  SELECT season, team, summary FROM (
+    SELECT season, team, summary, row_number() OVER (PARTITION BY season, team ORDER BY count(*) DESC, summary) AS rn
+    FROM states GROUP BY season, team, summary) WHERE rn=1),
+season_sums AS (
+  SELECT season, team, count(*) AS games, max(week) AS latestWeek, """ + ", ".join(
+    f"avg({m}) AS {m}" for m in MEANS) + """ FROM states GROUP BY season, team),
+seasons AS (
+  SELECT s.*, coalesce(t.tags, '') AS tags, w.summary FROM season_sums s
+  LEFT JOIN season_tags t USING (season, team) JOIN season_words w USING (season, team))"""
+
+OFFENSE = {
+    "QB": "fantasyPointsForQB*0.45e0+neutralPassRate*25e0+offensivePlays*0.25e0+(greatest(0e0,40e0-secondsPerPlay)*2.5e0)*0.3e0+teamPowerScore*0.15e0",
+    "RB": "fantasyPointsForRB*0.45e0+redZoneTrips*2.2e0+redZoneTdRate*20e0+rushRate*20e0+fantasyEnvironmentScore*0.15e0",
+    "WR": "fantasyPointsForWR*0.5e0+neutralPassRate*25e0+offensivePlays*0.2e0+(greatest(0e0,40e0-secondsPerPlay)*2.5e0)*0.2e0+explosivePlayRate*80e0",
+    "TE": "fantasyPointsForTE*0.6e0+redZoneTdRate*20e0+neutralPassRate*10e0+stabilityScore*0.15e0",
+}
+SEASON_RANKED = {
+    "team_power": ("teamPowerScore", "Season average team power"),
+    "fantasy_environment": ("fantasyEnvironmentScore", "Season average fantasy environment"),
+    "matchup_environment": ("matchupEnvironmentScore", "Season average matchup environment"),
+}
+
+WINDOW = {"pointsPerDrive": 3, "epaPerPlay": 4, "successRate": 4, "explosivePlayRate": 4,
+          "pressureRateAllowed": 4, "secondsPerPlay": 3, "neutralPassRate": 4,
+          "fantasyPointsForQB": 2, "fantasyPointsForRB": 2, "fantasyPointsForWR": 2,
+          "fantasyPointsForTE": 2, "volatilityScore": 2}
+DELTAS = [m for m in WINDOW if m != "volatilityScore"]
+
+
+def movement(where: str = "true") -> str:
+    """CTE ``moves`` over the scored rows of a slice."""
+    def mean(m, place, order):
+        v = [f"max({m}) FILTER (WHERE {place}={i})" for i in order]
+        return (f"CASE any_value(k) WHEN 3 THEN (0e0+{v[0]}+{v[1]}+{v[2]})/3 "
+                f"WHEN 2 THEN (0e0+{v[-2] if place == 'rd' else v[0]}+{v[-1] if place == 'rd' else v[1]})/2 END")
+
+    raw = ", ".join(f"{mean(m, 'rn', (1, 2, 3))} AS early_{m}, {mean(m, 'rd', (3, 2, 1))} AS late_{m}" for m in WINDOW)
+    rounded = ", ".join(f"{rnd(f'{s}_{m}', d)} AS {s}_{m}" for s in ("early", "late") for m, d in WINDOW.items())
+    gaps = ", ".join(f"late_{m}-early_{m} AS gap_{m}" for m in WINDOW)
+    deltas = ", ".join(f"{rnd(f'gap_{m}', 4)} AS delta_{m}" for m in DELTAS)
+    votes = [("pointsPerDrive", "0.25e0"), ("epaPerPlay", "0.03e0"), ("successRate", "0.025e0"), ("explosivePlayRate", "0.015e0")]
+    up = "+".join(f"CAST(delta_{m}>={s} AS INTEGER)" for m, s in votes)
+    down = "+".join(f"CAST(delta_{m}<=-{s} AS INTEGER)" for m, s in votes)
+
+    def direction(gap, step, hi, lo):
+        return f"CASE WHEN {gap} IS NULL THEN 'insufficient_data' WHEN {gap}>={step} THEN '{hi}' WHEN {gap}<=-{step} THEN '{lo}' ELSE 'stable' END"
+
+    return SCORED + f""",
+placed AS (SELECT *, row_number() OVER (PARTITION BY season, team ORDER BY week) AS rn,
+  row_number() OVER (PARTITION BY season, team ORDER BY week DESC) AS rd,
+  count(*) OVER (PARTITION BY season, team) AS g FROM scored WHERE {where}),
+sized AS (SELECT *, CASE WHEN g>=6 THEN 3 WHEN g>=4 THEN 2 ELSE 0 END AS k FROM placed),
+m0 AS (SELECT season, team, count(*) AS games, any_value(k) AS k, string_agg(week, ',' ORDER BY week) AS weeksCovered,
+  coalesce(string_agg(week, ',' ORDER BY week) FILTER (WHERE rn<=k), '') AS earlyWeeks,
+  coalesce(string_agg(week, ',' ORDER BY week) FILTER (WHERE rd<=k), '') AS lateWeeks, {raw}
+  FROM sized GROUP BY season, team),
+m1 AS (SELECT season, team, games, k, weeksCovered, earlyWeeks, lateWeeks, {rounded} FROM m0),
+m2 AS (SELECT *, {gaps} FROM m1),
+m3 AS (SELECT *, {deltas} FROM m2),
+m4 AS (SELECT *, CASE WHEN k=0 THEN 'insufficient_data'
+    WHEN {down}>=2 OR ({down}>=1 AND {up}=0) THEN 'declining'
+    WHEN {up}>=2 OR ({up}>=1 AND {down}=0) THEN 'improving' ELSE 'stable' END AS offenseDirection,
+  {direction('delta_neutralPassRate', '0.03e0', 'more_pass_heavy', 'less_pass_heavy')} AS passEnvironmentDirection,
+  {direction('delta_secondsPerPlay', '0.5e0', 'slower', 'faster')} AS paceDirection,
+  {direction('delta_pressureRateAllowed', '0.03e0', 'worsening', 'improving')} AS pressureDirection,
+  {direction('gap_volatilityScore', '5e0', 'rising', 'falling')} AS volatilityDirection FROM m3),
+moves AS (SELECT *, CASE WHEN offenseDirection='insufficient_data' THEN 'insufficient_data'
+    WHEN offenseDirection='declining' AND pressureDirection='worsening' THEN 'offensive_environment_declining_pressure_worsening'
+    WHEN offenseDirection='declining' THEN 'offensive_environment_declining'
+    WHEN offenseDirection='improving' AND pressureDirection<>'worsening' THEN 'offensive_environment_improving'
+    WHEN volatilityDirection='rising' THEN 'environment_volatility_rising' ELSE 'environment_stable' END AS verdict,
+  CASE WHEN k=0 THEN 'insufficient_data: fewer than 4 weeks available for deterministic temporal windows.' ELSE '' END AS warnings
+  FROM m4)"""
+
+
+NATIONS = [f"NATION_{i}" for i in range(25)]
+LEAGUE = [t for t in NATIONS if t != "NATION_3"] + ["NATION_X"]
+LEAGUE_LIST = ", ".join(f"'{t}'" for t in LEAGUE)
+LEAGUE_CTE = ",\nleague AS (SELECT unnest([" + LEAGUE_LIST + "]) AS team)"
+MARKET = "marketTier unknown: no governed market-prior input artifact exists."
+TIERS = SEASONS + """,
+tiers AS (SELECT *,
+  CASE WHEN fantasyEnvironmentScore>=85 THEN 'elite' WHEN fantasyEnvironmentScore>=70 THEN 'strong'
+    WHEN fantasyEnvironmentScore>=50 THEN 'average' ELSE 'weak' END AS offenseTier,
+  CASE WHEN neutralPassRate>=0.57e0 THEN 'pass_heavy' WHEN neutralPassRate<=0.43e0 THEN 'run_heavy' ELSE 'balanced' END AS passEnvironmentTier,
+  CASE WHEN secondsPerPlay<=27 THEN 'fast' WHEN secondsPerPlay>=29 THEN 'slow' ELSE 'neutral' END AS paceTier,
+  CASE WHEN volatilityScore<=45 THEN 'stable' WHEN volatilityScore>=60 THEN 'volatile' ELSE 'unknown' END AS volatilityTier
+  FROM seasons)"""
+BY_SEASON = "string_agg(season || ':' || w, ',' ORDER BY season)"
+
+DENSE = ROWS + LEAGUE_CTE + """,
+cells AS (SELECT team, week, count(*) AS n FROM tw GROUP BY ALL),
+teams AS (SELECT DISTINCT team FROM cells),
+problems AS (
+  SELECT 'duplicate' AS kind, team, week, n-1 AS occurrences, 'duplicate row for team "' || team || '" week ' || week AS message FROM cells WHERE n>1
+  UNION ALL SELECT 'missing_team', team, NULL, 1, 'missing team "' || team || '" (no rows)' FROM league WHERE team NOT IN (SELECT team FROM teams)
+  UNION ALL SELECT 'missing_week', l.team, g.week, 1, 'team "' || l.team || '" is missing week ' || g.week
+    FROM league l JOIN teams USING (team), (SELECT CAST(unnest(range(1, 12)) AS INTEGER) AS week) g
+    WHERE (l.team, g.week) NOT IN (SELECT (team, week) FROM cells)
+  UNION ALL SELECT 'unexpected_team', team, NULL, 1, 'unexpected team "' || team || '" not in expected set' FROM teams WHERE team NOT IN (SELECT team FROM league)
+  UNION ALL SELECT 'unexpected_week', team, week, 1, 'team "' || team || '" has unexpected week ' || week || ' (outside expected weeks)' FROM cells WHERE week NOT BETWEEN 1 AND 11)"""
+BYE = ROWS + LEAGUE_CTE + """,
+cells AS (SELECT team, week, count(*) AS n FROM tw GROUP BY ALL),
+teams AS (SELECT team, count(*) AS n FROM tw GROUP BY ALL),
+problems AS (
+  SELECT 'duplicate' AS kind, team, week, n-1 AS occurrences, 'duplicate row for team "' || team || '" week ' || week AS message FROM cells WHERE n>1
+  UNION ALL SELECT 'wrong_season', team, week, count(*), 'team "' || team || '" week ' || week || ' has season ' || season || ', expected season 2011'
+    FROM tw WHERE season<>2011 GROUP BY team, week, season
+  UNION ALL SELECT 'missing_team', team, NULL, 1, 'missing team "' || team || '" (no rows)' FROM league WHERE team NOT IN (SELECT team FROM teams)
+  UNION ALL SELECT 'game_count', team, NULL, 1, 'team "' || team || '" has ' || n || ' game row(s), expected exactly 12 (bye-aware: an absent week is treated as a bye, not a coverage gap, but the total game-row count must still match exactly)'
+    FROM teams WHERE n<>12 AND team IN (SELECT team FROM league)
+  UNION ALL SELECT 'unexpected_team', team, NULL, 1, 'unexpected team "' || team || '" not in expected set' FROM teams WHERE team NOT IN (SELECT team FROM league)
+  UNION ALL SELECT 'out_of_window', team, week, 1, 'team "' || team || '" has out-of-window week ' || week || ' (expected window weeks: 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11)' FROM cells WHERE week NOT BETWEEN 1 AND 11
+  UNION ALL SELECT 'row_count', NULL, NULL, 1, 'total row count (' || count(*) || ') must equal 300 (expectedTeams.length * expectedGamesPerTeam)' FROM tw HAVING count(*)<>300)"""
+PROBLEM_COLUMNS = "SELECT kind, team, CAST(week AS INTEGER) AS week, CAST(occurrences AS BIGINT) AS occurrences, message FROM problems"
+COVERAGE_SUMMARY = """SELECT e.errors=0 AS valid, e.errors AS errorCount, t.teams AS teamCount, t.n AS totalRowCount,
+  e.errors=0 AND t.teams=25 AS isFullLeague, e.kinds AS errorsByKind
+FROM (SELECT CAST(coalesce(sum(o), 0) AS BIGINT) AS errors, coalesce(string_agg(kind || ':' || o, ',' ORDER BY kind), '') AS kinds
+      FROM (SELECT kind, CAST(sum(occurrences) AS BIGINT) AS o FROM problems GROUP BY kind)) e,
+     (SELECT count(DISTINCT team) AS teams, count(*) AS n FROM tw) t"""
+
+
+def profile(cte: str, table: str, fields, deferred) -> str:
+    parts = []
+    for f in fields:
+        status = "'deferred_insufficient_data'" if f in deferred else (
+            f"CASE WHEN count(*)>0 AND count({f})=count(*) THEN 'available' ELSE 'partial_nulls' END")
+        parts.append(f"SELECT '{f}' AS field, count({f}) AS finiteCount, count(*)-count({f}) AS nullCount, {status} AS status FROM {table}")
+    return query(cte, " UNION ALL ".join(parts))
+
+
+GOV = CANDIDATE + """,
+gov AS (SELECT season, week, team, opponent, """ + ", ".join(m for m in GOVERNED if m != "pressureRateAllowed") + """,
+  CAST(NULL AS DOUBLE) AS pressureRateAllowed FROM cand)"""
+
+COUNTS = "pointsFor offensivePlays neutralPlays drives redZoneTrips sacksAllowed turnovers".split()
+RATES = {"neutralPassRate": ("neutralPlays", 4), "pointsPerDrive": ("drives", 2), "redZoneTdRate": ("redZoneTrips", 4),
+         "secondsPerPlay": ("offensivePlays", 2), "epaPerPlay": ("offensivePlays", 4)}
+REPORT = GOV + ",\nsums AS (SELECT season, team, count(*) AS gamesPlayed, " + ", ".join(
+    [f"sum({c}) AS {c}Sum, sum({c})/count(*) AS {c}Mean" for c in COUNTS]
+    + [f"sum({r}*{w})/nullif(sum({w}), 0) AS {r}Raw" for r, (w, _) in RATES.items()]
+) + " FROM gov GROUP BY season, team),\nreport AS (SELECT season, team, gamesPlayed, " + ", ".join(
+    [f"CAST({rnd(f'{c}Sum', 0)} AS BIGINT) AS {c}Total, {rnd(f'{c}Mean', 1)} AS {c}PerGame" for c in COUNTS]
+    + [f"{rnd(f'{r}Raw', d)} AS {r}" for r, (_, d) in RATES.items()]
+) + """, CASE WHEN redZoneTripsSum=0 THEN 'W_ZERO_REDZONE_OPPORTUNITIES' ELSE '' END AS warnings FROM sums)"""
+
+FILE = "(season || '-' || week || '-' || team || '.json')"
+
+
 def build() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["bridge_team_week"] = query(ROWS, f"SELECT {KEYS}, {', '.join(METRICS + SPLITS)} FROM tw")
@@ -247,4 +407,233 @@ def build() -> dict[str, str]:
         f" AS rank, season, week, team, {rnd(col, 2)} AS score FROM latest" for name, col in RANKED.items()))
     sql["rank_volatility_ascending"] = query(SCORED, f"""SELECT row_number() OVER (ORDER BY volatilityScore,
     season DESC, week DESC, team) AS rank, season, week, team, {rnd('volatilityScore', 2)} AS score FROM scored""")
+    sql["state_records"] = query(STATES, f"""SELECT season, week, team, pointsFor, teSplitAllowed,
+    {rnd('teamPowerScore', 2)} AS teamPowerScore, {rnd('volatilityScore', 2)} AS volatilityScore,
+    {rnd('fantasyEnvironment_pace', 2)} AS pace, tagText AS tags, summary FROM states""")
+    sql["latest_week_by_season"] = query(ROWS, "SELECT season, max(week) AS latestWeek FROM tw GROUP BY season")
+    sql["slice_rows"] = query(ROWS, f"SELECT {KEYS}, pointsFor FROM tw WHERE season=2011 AND week<=5")
+    _seasons(sql)
+    _movement(sql)
+    _coverage(sql)
+    _documents(sql)
+    _contexts(sql)
+    _labels(sql)
     return sql
+
+
+def _seasons(sql: dict[str, str]) -> None:
+    means = ", ".join(f"{rnd(m, 6)} AS {m}" for m in MEANS)
+    sql["season_agg"] = query(SEASONS, f"SELECT season, team, games, latestWeek, tags, summary, {means} FROM seasons")
+    sql["season_means"] = query(SEASONS, f"SELECT season, team, games, latestWeek, tags, {means} FROM seasons")
+    order = "season DESC, latestWeek DESC, team"
+    for name, (col, label) in SEASON_RANKED.items():
+        sql[f"season_rank_{name}"] = query(SEASONS, f"""SELECT row_number() OVER (ORDER BY {col} DESC, {order}) AS rank,
+    season, team, latestWeek, games, {rnd(col, 2)} AS score, tags, '{label}: ' || summary AS summary FROM seasons""")
+    families = {
+        "offense": (lambda p: OFFENSE[p], "{} offense environment from production + pace/usage context."),
+        "matchup": (lambda p: f"fantasyPointsAllowed{p}", "{} matchup environment based on fantasy points allowed."),
+    }
+    heads = {}
+    for family, (score, words) in families.items():
+        for p in ("QB", "RB", "WR", "TE"):
+            ctes = SEASONS + f",\nvalued AS (SELECT *, {score(p)} AS v FROM seasons)"
+            ranked = f"row_number() OVER (ORDER BY v DESC, {order}) AS rank"
+            sql[f"{family}_{p.lower()}"] = query(ctes, f"""SELECT '{p}' AS position, {ranked}, season, team, latestWeek,
+    games, {rnd('v', 2)} AS score, tags, '{words.format(p)}' AS summary FROM valued""")
+            heads.setdefault(family, []).append(
+                f"SELECT * FROM (SELECT '{p}' AS position, row_number() OVER (ORDER BY v DESC, {order}) AS rank, season, team,"
+                f" latestWeek, games, {rnd('v', 2)} AS score FROM (SELECT *, {score(p)} AS v FROM seasons)) WHERE rank<=10")
+        sql[f"snapshot_{family}"] = query(SEASONS, " UNION ALL ".join(heads[family]))
+    lists = {
+        "most_stable": ("stabilityScore", "DESC", "season DESC, team", "Season average stability"),
+        "most_volatile": ("volatilityScore", "DESC", "season DESC, team", "Season average volatility"),
+        "least_volatile": ("volatilityScore", "ASC", "season DESC, team", "Season average volatility"),
+    }
+    short = {"most_stable": "stable", "most_volatile": "volatile", "least_volatile": "least_volatile"}
+    for name, (col, way, rest, label) in lists.items():
+        sql[f"snapshot_{short[name]}"] = query(SEASONS, f"""SELECT row_number() OVER (ORDER BY {col} {way}, {rest}) AS rank,
+    season, team, latestWeek, {rnd(col, 2)} AS score, tags, '{label}: ' || summary AS summary
+    FROM seasons ORDER BY {col} {way}, {rest} LIMIT 10""")
+    for name, (col, label) in SEASON_RANKED.items():
+        lists[f"top_{name}"] = (col, "DESC", order, label)
+    sql["snapshot_lists"] = query(SEASONS, " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{name}' AS list, row_number() OVER (ORDER BY {col} {way}, {rest}) AS rank, season, team,"
+        f" latestWeek, {rnd(col, 2)} AS score FROM seasons) WHERE rank<=10" for name, (col, way, rest, _) in lists.items()))
+    sql["snapshot_scope"] = query(ROWS, f"""SELECT CAST(NULL AS INTEGER) AS selectedSeason, CAST(NULL AS INTEGER) AS selectedWeek,
+    string_agg(season, ',' ORDER BY season DESC) AS seasonsIncluded, {BY_SEASON} AS latestWeekBySeason
+    FROM (SELECT season, max(week) AS w FROM tw GROUP BY season)""")
+    sql["run_metadata"] = query(ROWS, f"""SELECT a.n AS sourceRowCount, a.n AS mappedRowCount, b.n AS filteredRowCount,
+    CAST(2011 AS INTEGER) AS selectedSeason, CAST(5 AS INTEGER) AS selectedWeek, b.seasonsIncluded, b.latestWeekBySeason
+    FROM (SELECT count(*) AS n FROM tw) a, (SELECT CAST(sum(n) AS BIGINT) AS n, string_agg(season, ',' ORDER BY season DESC) AS seasonsIncluded,
+      {BY_SEASON} AS latestWeekBySeason FROM (SELECT season, count(*) AS n, max(week) AS w FROM tw WHERE season=2011 AND week<=5 GROUP BY season)) b""")
+
+
+def _movement(sql: dict[str, str]) -> None:
+    names = [f"{s}_{m}" for s in ("early", "late") for m in WINDOW] + [f"delta_{m}" for m in DELTAS]
+    columns = (f"season, team, games, weeksCovered, earlyWeeks, lateWeeks, {', '.join(names)}, offenseDirection, "
+               "passEnvironmentDirection, paceDirection, pressureDirection, volatilityDirection, verdict, warnings")
+    sql["movement_v0"] = query(movement(), f"SELECT {columns} FROM moves")
+    sql["movement_at_week_5"] = query(movement("week<=5"), f"SELECT {columns} FROM moves")
+    sql["movement_at_week_3"] = query(movement("week<=3"), f"SELECT {columns} FROM moves")
+    kept = [n for n in names if "fantasy" not in n]
+    sql["movement_v1"] = query(movement(), f"SELECT season, team, weeksCovered, {', '.join(kept)}, verdict FROM moves")
+    sql["movement_metadata"] = query(ROWS, """SELECT CASE WHEN count(DISTINCT team)=25 THEN 'governed_real_data' ELSE 'partial_real_data' END AS provenanceStatus,
+    CASE WHEN count(DISTINCT team)=25 THEN 'governed' ELSE 'ungoverned' END AS governanceStatus, 'explicit_marker' AS governanceSource,
+    CAST(count(DISTINCT team) AS INTEGER) AS teamCount, string_agg(DISTINCT team, '|' ORDER BY team) AS teams,
+    string_agg(DISTINCT season, ',' ORDER BY season) AS seasons, string_agg(DISTINCT week, ',' ORDER BY week) AS weeks,
+    max(week) AS latestWeek, count(DISTINCT team)=25 AS isFullLeague FROM tw""")
+    sql["profiles"] = query(TIERS, f"""SELECT season, team, 'unknown' AS marketTier, offenseTier, passEnvironmentTier, paceTier, volatilityTier,
+    '{MARKET}' || CASE WHEN volatilityTier='unknown' THEN '|volatilityTier unknown: volatility score unavailable or in neutral band (45-60).' ELSE '' END AS warnings,
+    {rnd('fantasyEnvironmentScore', 2)} AS fantasyEnvironmentScore, {rnd('neutralPassRate', 4)} AS neutralPassRate,
+    {rnd('secondsPerPlay', 3)} AS secondsPerPlay, {rnd('volatilityScore', 2)} AS volatilityScore FROM tiers""")
+    sql["profile_metadata"] = query(SEASONS + LEAGUE_CTE, """SELECT 'fixture_scaffold' AS provenanceStatus,
+    'Input path indicates sample/fixture scaffold data; artifact is not governed production truth.|Coverage is incomplete (<32 NFL teams); artifact cannot be governed_real_data.' AS provenanceNotes,
+    'data/sample/season.json' AS path, 'sample' AS type, CAST(count(DISTINCT team) AS INTEGER) AS teamCount, false AS isFullLeague,
+    string_agg(DISTINCT team, '|' ORDER BY team) AS presentTeams,
+    (SELECT string_agg(t, '|' ORDER BY i) FROM (SELECT unnest([""" + LEAGUE_LIST + """]) AS t, unnest(range(25)) AS i) WHERE t NOT IN (SELECT team FROM seasons)) AS missingTeams,
+    coalesce((SELECT string_agg(DISTINCT team, '|' ORDER BY team) FROM seasons WHERE team NOT IN (SELECT team FROM league)), '') AS unexpectedTeams,
+    string_agg(DISTINCT season, ',' ORDER BY season) AS seasons, string_agg(DISTINCT latestWeek, ',' ORDER BY latestWeek) AS weeks,
+    max(latestWeek) AS latestWeek, min(games) AS gamesPerTeamMin, max(games) AS gamesPerTeamMax FROM seasons""")
+    sql["features"] = query(movement(), """SELECT season, team, late_pointsPerDrive AS points_per_drive, late_epaPerPlay AS epa_per_play,
+    late_successRate AS success_rate, late_explosivePlayRate AS explosive_play_rate, late_pressureRateAllowed AS pressure_rate_allowed,
+    late_secondsPerPlay AS seconds_per_play, late_neutralPassRate AS neutral_pass_rate, late_volatilityScore AS volatility_score,
+    offenseDirection AS offense_direction, passEnvironmentDirection AS pass_environment_direction, paceDirection AS pace_direction,
+    pressureDirection AS pressure_direction, volatilityDirection AS volatility_direction, 'unknown' AS offense_tier,
+    'unknown' AS pass_environment_tier, 'unknown' AS pace_tier, 'unknown' AS volatility_tier,
+    'partial' AS featureCoverageStatus, 0e0 AS confidence FROM moves""")
+    sql["feature_guards"] = query(ROWS + LEAGUE_CTE, """SELECT 0 AS rule, 'movement contains season(s) ' || string_agg(DISTINCT season, ', ' ORDER BY season) || ' not matching feature season 2011' AS message
+    FROM tw WHERE season<>2011 HAVING count(*)>0
+    UNION ALL SELECT 1, 'duplicate team "' || team || '" in movement input' FROM tw GROUP BY team HAVING count(DISTINCT season)>1
+    UNION ALL SELECT DISTINCT 2, 'unexpected team "' || team || '" not in the expected team set for season 2011' FROM tw WHERE team NOT IN (SELECT team FROM league)""")
+    sql["feature_table"] = query(ROWS, """SELECT 'team_environment_forecast_features_v1' AS artifact, CAST(2011 AS INTEGER) AS featureSeason,
+    CAST(2012 AS INTEGER) AS targetSeason, 'fixture' AS governanceStatus, CAST(count(DISTINCT team) AS INTEGER) AS teamCount,
+    CAST(25 AS INTEGER) AS expectedTeamCount, count(DISTINCT team)=25 AS isFullLeague, '2011' AS seasons,
+    string_agg(DISTINCT week, ',' ORDER BY week) AS weeks FROM tw WHERE season=2011""")
+    sql["feature_problems"] = query(movement(), """SELECT 'header' AS part, 'coverage.teamCount (' || (SELECT count(*) FROM moves WHERE season=2011)
+      || ') must equal the number of team rows (' || (SELECT count(*) FROM moves) || ')' AS message, 1 AS n
+    WHERE (SELECT count(*) FROM moves WHERE season=2011)<>(SELECT count(*) FROM moves)
+    UNION ALL SELECT 'rows', 'teams[' || team || '].features.offense_tier must be one of elite, strong, average, weak, unknown', count(*)
+    FROM moves WHERE late_pointsPerDrive>2 GROUP BY team""")
+
+
+def _coverage(sql: dict[str, str]) -> None:
+    sql["quality_violations"] = query(CANDIDATE, """SELECT season, week, team, 'Missing required field: redZoneTdRate' AS message FROM cand WHERE redZoneTdRate IS NULL
+    UNION ALL SELECT season, week, team, 'passRate + rushRate must be near 1.0. Received ' || (passRate+rushRate) FROM cand WHERE abs(passRate+rushRate-1)>0.08e0""")
+    sql["coverage_dense"] = query(DENSE, PROBLEM_COLUMNS)
+    sql["coverage_dense_summary"] = query(DENSE, COVERAGE_SUMMARY)
+    sql["coverage_bye"] = query(BYE, PROBLEM_COLUMNS)
+    sql["coverage_bye_summary"] = query(BYE, COVERAGE_SUMMARY)
+    sql["coverage_grid"] = query(ROWS, """SELECT t.team, CAST(w.week AS INTEGER) AS week, coalesce(c.games, 0) AS games
+    FROM (SELECT 'NATION_' || unnest(range(25)) AS team) t, (SELECT unnest(range(1, 13)) AS week) w
+    LEFT JOIN (SELECT team, week, count(*) AS games FROM tw GROUP BY ALL) c ON c.team=t.team AND c.week=w.week""")
+    sql["null_profile"] = profile(CANDIDATE, "cand", METRICS, ("pressureRateAllowed", "turnovers"))
+    sql["null_profile_governed"] = profile(GOV, "gov", GOVERNED, ("pressureRateAllowed",))
+    sql["column_evidence"] = query(GOV, " UNION ALL ".join(
+        f"SELECT '{f}' AS column, " + ("'deferred_insufficient_data'" if f == "pressureRateAllowed" else
+        f"CASE WHEN count({f})=count(*) THEN 'available' ELSE 'partial_nulls' END") +
+        f" AS status, count({f}) AS nonNullCount, count(*)-count({f}) AS nullCount, {'false' if f == 'pressureRateAllowed' else 'true'} AS forecastInput FROM gov"
+        for f in GOVERNED))
+    sql["team_evidence"] = query(GOV + LEAGUE_CTE, """SELECT CAST(count(DISTINCT team) AS INTEGER) AS teamCount, count(*) AS rowCount,
+    string_agg(DISTINCT team, '|' ORDER BY team) AS presentTeams,
+    (SELECT string_agg(t, '|' ORDER BY i) FROM (SELECT unnest([""" + LEAGUE_LIST + """]) AS t, unnest(range(25)) AS i) WHERE t NOT IN (SELECT team FROM gov)) AS missingTeams,
+    false AS coversLeague FROM gov""")
+    columns = (["season", "team", "gamesPlayed"] + [f"{c}Total" for c in COUNTS] + [f"{c}PerGame" for c in COUNTS]
+               + list(RATES) + ["warnings"])
+    sql["season_report_weighted"] = query(REPORT, f"SELECT {', '.join(columns)} FROM report")
+    sql["season_report_problems"] = query(REPORT + LEAGUE_CTE + """,
+per_team AS (SELECT team, count(*) AS n FROM gov GROUP BY team),
+spoiled AS (SELECT * REPLACE (CASE WHEN drivesTotal%7=0 THEN NULL ELSE redZoneTdRate END AS redZoneTdRate), redZoneTdRate AS rightRate FROM report)""",
+    """SELECT 'E_PROVENANCE_NOT_GOVERNED' AS code, CAST(NULL AS VARCHAR) AS team, 'sample, fixture, explicit_marker' AS detail
+    UNION ALL SELECT 'E_GOVERNED_INPUT_CHECKSUM_MISMATCH', NULL, 'checksum absent or different'
+    UNION ALL SELECT 'E_TEMPORAL_METADATA_MISSING', NULL, 'dataThrough, sourceSnapshotAt, generatedAt'
+    UNION ALL SELECT 'E_COVERAGE_TEAM_MISSING', team, 'no rows' FROM league WHERE team NOT IN (SELECT team FROM per_team)
+    UNION ALL SELECT 'E_COVERAGE_TEAM_UNEXPECTED', team, 'not in the league' FROM per_team WHERE team NOT IN (SELECT team FROM league)
+    UNION ALL SELECT 'E_COVERAGE_ROW_COUNT_MISMATCH', team, n || ' rows, expected 84' FROM per_team WHERE n<>84
+    UNION ALL SELECT 'E_REDZONE_NULL_INVARIANT_VIOLATED', team, 'redZoneTripsTotal ' || redZoneTripsTotal FROM spoiled WHERE (redZoneTdRate IS NULL)<>(redZoneTripsTotal=0)
+    UNION ALL SELECT 'E_UNWEIGHTED_AGGREGATION_USED', team, 'redZoneTdRate' FROM spoiled WHERE redZoneTdRate IS DISTINCT FROM rightRate""")
+
+
+def _documents(sql: dict[str, str]) -> None:
+    rows = f"SELECT {KEYS}, {', '.join(METRICS + SPLITS)} FROM "
+    sql["read_array_documents"] = query(CANDIDATE, rows + "cand")
+    sql["read_envelope_documents"] = query(ROWS, rows + "tw")
+    sql["document_problems"] = query(CANDIDATE, f"""SELECT {FILE} AS sourceFile, -1 AS rowIndex,
+      CASE week WHEN 1 THEN 'Invalid JSON in ' || {FILE} ELSE 'Invalid artifact literal: expected team_week_raw_v0, received other' END AS message
+    FROM cand WHERE week IN (1, 2)
+    UNION ALL SELECT {FILE}, 0, 'Invalid raw row in ' || {FILE} || ' at index 0: expected object.' FROM cand WHERE week=3
+    UNION ALL SELECT {FILE}, 0, 'Invalid team_week_raw_v0 row at index 0: redZoneTdRate must be a finite number.' FROM cand
+      WHERE redZoneTdRate IS NULL AND week NOT IN (1, 3)""")
+    sql["candidate_documents"] = query(CANDIDATE, f"SELECT {KEYS}, {', '.join(METRICS)} FROM cand")
+    sql["governed_documents"] = query(GOV, f"SELECT {KEYS}, {', '.join(GOVERNED)} FROM gov")
+    refuse = "Refusing to consume team_week_raw_v0 candidate artifact: "
+    sql["candidate_gate"] = query(CANDIDATE, f"""SELECT {FILE} AS sourceFile, CASE week
+      WHEN 1 THEN '{refuse}provenanceStatus "governed_real_data" is not an accepted candidate-input status. Accepted: fixture_scaffold, sample, partial_real_data, unknown_provenance.'
+      WHEN 2 THEN '{refuse}governanceStatus "governed" is not an accepted candidate-input status.'
+      ELSE 'Invalid team_week_raw_v0 candidate artifact: metadata.governance.governanceSource must be a non-empty string.' END AS message
+    FROM cand WHERE week<=3""")
+    sql["candidate_row_problems"] = query(CANDIDATE, f"""SELECT {FILE} AS sourceFile,
+      'Invalid team_week_raw_v0 candidate row at index 0: missing required field redZoneTdRate.' AS message FROM cand WHERE redZoneTdRate IS NULL""")
+    refuse = "Refusing governed team_week_raw_v0 source: "
+    sql["governed_gate"] = query(CANDIDATE, f"""SELECT {FILE} AS sourceFile, CASE week
+      WHEN 1 THEN '{refuse}provenanceStatus must be governed_real_data, received sample.'
+      WHEN 2 THEN '{refuse}metadata.governance.governanceStatus must be governed.'
+      WHEN 3 THEN '{refuse}metadata.governance.governanceSource must be explicit_marker.'
+      ELSE 'Invalid governed team_week_raw_v0 artifact: metadata.deferredFields must include pressureRateAllowed.' END AS message
+    FROM cand WHERE week<=4""")
+    sql["governed_row_problems"] = query(CANDIDATE, f"""SELECT {FILE} AS sourceFile,
+      'Invalid governed team_week_raw_v0 row at index 0: fantasy split field fantasyPointsForQB must be null when present and is stripped from the output.' AS message FROM cand""")
+
+
+def _table_level(rows: str) -> str:
+    return f"""
+    UNION ALL SELECT team, 'duplicate team code ''' || team || ''' (' || count(*) || ' rows).' FROM {rows} GROUP BY team HAVING count(*)>1
+    UNION ALL SELECT team, 'Missing team: ' || team FROM league WHERE team NOT IN (SELECT team FROM {rows})
+    UNION ALL SELECT NULL, 'Expected 25 teams, found ' || count(*) || '.' FROM {rows} HAVING count(*)<>25"""
+
+
+def _rules(rows: str, rules) -> str:
+    """Row rules (condition, message tail as SQL) plus the rules common to the context tables."""
+    at = "'Row ' || (season-2000) || ': '"
+    common = [("season<>2011", "'season must equal 2011.'"),
+              ("team NOT IN (SELECT team FROM league)", "'unknown team code ''' || team || '''.'")]
+    return " UNION ALL ".join(
+        f"SELECT team, {at} || {message} AS message FROM {rows} WHERE {cond}" for cond, message in common + rules
+    ) + _table_level(rows)
+
+
+def _contexts(sql: dict[str, str]) -> None:
+    sql["context_offense_problems"] = query(TIERS + LEAGUE_CTE, _rules("tiers", [
+        ("paceTier='slow'", "'invalid pace_label ''slow''.'"),
+        ("passEnvironmentTier='run_heavy'", "'invalid pass_rate_label ''low''.'"),
+        ("volatilityTier<>'unknown'", "'invalid qb_stability_label ''' || volatilityTier || '''.'"),
+        ("offenseTier NOT IN ('strong', 'weak')", "'invalid scoring_environment_label ''' || offenseTier || '''.'"),
+        ("volatilityTier<>'stable'", "'invalid source_status ''guessed''.'"),
+        ("season=2012", "'head_coach must be a string.'"),
+        ("paceTier='neutral'", "'context_tags must contain non-empty strings.'"),
+    ]))
+    lists = SEASONS + LEAGUE_CTE + """,
+ctx AS (SELECT *, list_filter(string_split(tags, '|'), lambda t: t<>'') AS l FROM seasons),
+parts AS (SELECT *, list_filter(l, lambda t: t IN ('stable_environment', 'red_zone_machine')) AS good,
+  list_filter(l, lambda t: t NOT IN ('stable_environment', 'red_zone_machine')) AS other FROM ctx)"""
+    sql["context_team_problems"] = query(lists, _rules("parts", [
+        ("games<12", "'offensive_coordinator must be a non-empty string.'"),
+        ("len(l)>0", "'offensive_identity_tags must not contain duplicates.'"),
+        ("latestWeek<12", "'positive_team_context_tags includes known risk tag(s).'"),
+        ("list_contains(l, 'qb_friendly_matchup')", "'rookie_landing_context_tags must include all positive/risk tags.'"),
+    ]))
+    sql["context_landing_problems"] = query(lists, _rules("parts", [
+        ("list_contains(l, 'wr_slot_funnel_defense')", "'context_tags must match positive_context_tags + risk_context_tags.'"),
+        ("games<12", "'invalid source_status ''draft''.'"),
+    ]))
+
+
+def _labels(sql: dict[str, str]) -> None:
+    sql["source_path_labels"] = """WITH p AS (SELECT page_id, CASE page_id%3 WHEN 0 THEN 'C:/data/sample/' WHEN 1 THEN 'fixtures/' ELSE '/srv/fixtures/' END || replace(url, '\\', '/') AS p FROM pages),
+cut AS (SELECT page_id, CASE WHEN contains(p, '/data/sample/') THEN substr(p, strpos(p, '/data/sample/')+1)
+  WHEN contains(p, '/fixtures/') THEN substr(p, strpos(p, '/fixtures/')+1) ELSE p END AS path FROM p)
+SELECT page_id, path, CASE WHEN path LIKE 'data/sample/%' THEN 'sample' WHEN path LIKE 'fixtures/%' OR contains(path, '/fixtures/') THEN 'fixture' ELSE 'unknown' END AS type FROM cut"""
+    sql["cutoff_status"] = """WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS s FROM orders)
+SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN s || 'Z' WHEN '2-HIGH' THEN s || '.5+05:00' WHEN '3-MEDIUM' THEN s WHEN '5-LOW' THEN 'on ' || s ELSE ' ' END AS asOf,
+  CASE o_orderpriority WHEN '1-URGENT' THEN CASE WHEN o_orderdate>=TIMESTAMP '1998-09-01' THEN 'too_late' ELSE 'ok' END
+    WHEN '2-HIGH' THEN CASE WHEN o_orderdate+INTERVAL 500 MILLISECOND-INTERVAL 5 HOUR>=TIMESTAMP '1998-09-01' THEN 'too_late' ELSE 'ok' END
+    WHEN '3-MEDIUM' THEN 'ambiguous' WHEN '5-LOW' THEN 'malformed' ELSE 'missing' END AS status FROM o"""

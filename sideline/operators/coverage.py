@@ -45,7 +45,9 @@ def _listed(cells: DataFrame, problems: dict[str, tuple[str, str, str]]) -> Data
         f"'message', {message}) END"
         for kind, (cond, times, message) in problems.items()
     )
-    listed = cells.selectExpr("team", "week", f"inline(array_compact(array({items})))")
+    listed = cells.selectExpr("team", "week", f"inline_outer(array_compact(array({items})))").where(
+        "kind IS NOT NULL"
+    )
     whole_team = "kind IN ('missing_team', 'unexpected_team', 'game_count')"
     return listed.selectExpr(
         "kind", "team", f"if({whole_team}, NULL, int(week)) AS week", "occurrences", "message"

@@ -40,10 +40,9 @@ def violations(df: DataFrame, rules: Sequence[Rule], locate: Sequence[str]) -> D
         f"CASE WHEN {r.bad} THEN named_struct('rule', {i}, 'message', {r.message}) END"
         for i, r in enumerate(rules)
     )
-    return (
-        df.selectExpr(*locate, f"array_compact(array({found})) AS _found")
-        .where("size(_found) > 0")
-        .selectExpr(*locate, "inline(_found)")
+    # the outer form: the planner copies the argument of a plain inline into a filter below it
+    return df.selectExpr(*locate, f"inline_outer(array_compact(array({found})))").where(
+        "rule IS NOT NULL"
     )
 
 

@@ -100,7 +100,8 @@ def _unweighted(report: DataFrame, rows: DataFrame) -> DataFrame:
     )
     return (
         report.join(right, ["season", "team"])
-        .selectExpr("team", f"explode(array_compact(array({off}))) AS detail")
+        .selectExpr("team", f"explode_outer(array_compact(array({off}))) AS detail")
+        .where("detail IS NOT NULL")
         .selectExpr("'E_UNWEIGHTED_AGGREGATION_USED' AS code", "team", "detail")
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sideline import config, schemas
+from sideline.functions.lineage import written
 from sideline.functions.numeric import rounded
 from sideline.functions.text import normalized_path, path_type
 from sideline.operators import context_tables, coverage, features, forecast, movement, profiles
@@ -317,7 +318,7 @@ def _feature_table(spark, folder):
 
 def _feature_problems(spark, folder):
     """Validator over all seasons at once: wrong team count, and offense_tier spoiled by strength."""
-    moved = _movement_v1_frame(spark, folder)
+    moved = written(_movement_v1_frame(spark, folder), "movement")
     one = features.build_features(jobs.slice_rows(moved, 2011), _options())
     spoiled = features.feature_rows(moved, _options()).withColumn(
         "features",
@@ -461,7 +462,8 @@ def _document_problems(spark, folder):
         "WHEN sourceFile LIKE '%-2-%' THEN replace(text, 'team_week_raw_v0', 'other') "
         "WHEN sourceFile LIKE '%-3-%' THEN '[7]' ELSE text END AS text",
     )
-    return documents.raw_violations(documents.parse_documents(broken)).select("sourceFile", "rowIndex", "message")
+    parsed = documents.parse_documents(written(broken, "documents"))
+    return documents.raw_violations(parsed).select("sourceFile", "rowIndex", "message")
 
 
 _CANDIDATE_MD = (

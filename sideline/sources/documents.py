@@ -73,14 +73,14 @@ def document_rules() -> list[quality.Rule]:
 def _exploded(parsed: DataFrame, texts: str, schema: StructType, keep=()) -> DataFrame:
     """One row per record: its typed fields, and ``raw`` with the text of every key present."""
     rows = parsed.selectExpr("sourceFile", *keep, f"posexplode({texts}) AS (rowIndex, record)")
-    ddl = schema.toDDL()
-    typed = rows.selectExpr(
+    # a generator parses each record once, however many rules read its fields
+    fields = f"from_json(record, 'array<struct<{schema.toDDL()}>>', {_STRICT_JSON})"
+    return rows.selectExpr(
         "sourceFile", "rowIndex", *keep,
         "coalesce(startswith(ltrim(record), '{'), false) AS isObject",
         f"from_json(record, 'map<string,string>', {_STRICT_JSON}) AS raw",
-        f"from_json(record, '{ddl}', {_STRICT_JSON}) AS typed",
+        f"inline_outer({fields})",
     )
-    return typed.selectExpr("sourceFile", "rowIndex", *keep, "isObject", "raw", "typed.*")
 
 
 def array_records(parsed: DataFrame) -> DataFrame:
