@@ -237,7 +237,7 @@ season_words AS (
     FROM states GROUP BY season, team, summary) WHERE rn=1),
 season_sums AS (
   SELECT season, team, count(*) AS games, max(week) AS latestWeek, """ + ", ".join(
-    f"avg({m}) AS {m}" for m in MEANS) + """ FROM states GROUP BY season, team),
+    f"sum({m} ORDER BY week)/count(*) AS {m}" for m in MEANS) + """ FROM states GROUP BY season, team),
 seasons AS (
   SELECT s.*, coalesce(t.tags, '') AS tags, w.summary FROM season_sums s
   LEFT JOIN season_tags t USING (season, team) JOIN season_words w USING (season, team))"""
@@ -371,8 +371,8 @@ COUNTS = "pointsFor offensivePlays neutralPlays drives redZoneTrips sacksAllowed
 RATES = {"neutralPassRate": ("neutralPlays", 4), "pointsPerDrive": ("drives", 2), "redZoneTdRate": ("redZoneTrips", 4),
          "secondsPerPlay": ("offensivePlays", 2), "epaPerPlay": ("offensivePlays", 4)}
 REPORT = GOV + ",\nsums AS (SELECT season, team, count(*) AS gamesPlayed, " + ", ".join(
-    [f"sum({c}) AS {c}Sum, sum({c})/count(*) AS {c}Mean" for c in COUNTS]
-    + [f"sum({r}*{w})/nullif(sum({w}), 0) AS {r}Raw" for r, (w, _) in RATES.items()]
+    [f"sum({c} ORDER BY week) AS {c}Sum, sum({c} ORDER BY week)/count(*) AS {c}Mean" for c in COUNTS]
+    + [f"sum({r}*{w} ORDER BY week)/nullif(sum({w} ORDER BY week), 0) AS {r}Raw" for r, (w, _) in RATES.items()]
 ) + " FROM gov GROUP BY season, team),\nreport AS (SELECT season, team, gamesPlayed, " + ", ".join(
     [f"CAST({rnd(f'{c}Sum', 0)} AS BIGINT) AS {c}Total, {rnd(f'{c}Mean', 1)} AS {c}PerGame" for c in COUNTS]
     + [f"{rnd(f'{r}Raw', d)} AS {r}" for r, (_, d) in RATES.items()]

@@ -94,10 +94,3 @@ def filter_latest_week(states: DataFrame) -> DataFrame:
     """Rows of the last week of their season."""
     last = latest_weeks(states).withColumnRenamed("latestWeek", "week")
     return states.join(last, ["season", "week"], "left_semi").select(*states.columns)
-
-
-def top(df: DataFrame, order: Sequence[Column], size: int = config.SNAPSHOT_SIZE) -> DataFrame:
-    """First ``size`` rows in order, numbered from 1. Each task keeps only its own first rows."""
-    head = df.orderBy(*order).limit(size)
-    # at most ``size`` rows are left for this window
-    return head.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))

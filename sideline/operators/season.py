@@ -1,18 +1,18 @@
 """Team-season aggregates, season rankings and current top lists."""
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sideline import config
+from sideline import config, schemas
 from sideline.functions.numeric import exact_round, lit
 from sideline.functions.text import locale_order
 from sideline.operators import ranking
 
 _SORTED_TAGS = sorted(config.TAGS)
-
-
-def _sums(prefix: str = "") -> list[Column]:
-    return [F.expr(f"sum({prefix}{m}) AS {m}") for m in config.SEASON_MEANS]
+_GROUP = ["season", "team"]
 
 
 def _flags(over: str) -> list[Column]:
@@ -20,6 +20,42 @@ def _flags(over: str) -> list[Column]:
     return [F.expr(f"bool_or({over.format(tag=tag)}) AS _tag_{tag}") for tag in _SORTED_TAGS]
 
 
+def _first_origin(rows: DataFrame) -> Column:
+    """Position of a cell in the input, as far as the frame knows it."""
+    known = [c for c in schemas.ORIGIN if c in rows.columns]
+    return (F.min(F.struct(*known)) if known else F.lit(0)).alias("_first")
+
+
+def week_cells(rows: DataFrame, values: dict[str, str], more: Sequence[Column] = ()) -> DataFrame:
+    """Sums of expressions per (season, team, week), with the row count and the first position."""
+    return rows.groupBy(*_GROUP, "week").agg(
+        F.count(F.lit(1)).alias("games"),
+        _first_origin(rows),
+        *[F.expr(f"sum({sql}) AS {name}") for name, sql in values.items()],
+        *more,
+    )
+
+
+def season_sums(cells: DataFrame, names: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
+    """Sums over the weeks of each team-season, added in input order.
+
+    Floating-point sums depend on their order, and a shuffle has none: the last digit, and with it a
+    rounded tie, would change from run to run. A season has at most 22 weeks, so its cells are
+    collected, sorted and added one by one. A null adds nothing.
+    """
+    grouped = cells.groupBy(*_GROUP).agg(
+        F.sum("games").alias("games"),
+        F.max("week").alias("latestWeek"),
+        F.sort_array(F.collect_list(F.struct("_first", "week", *names))).alias("_cells"),
+        *more,
+    )
+    start = ", ".join(f"'{n}', 0D" for n in names)
+    step = ", ".join(f"'{n}', a.{n} + coalesce(c.{n}, 0D)" for n in names)
+    folded = f"aggregate(_cells, named_struct({start}), (a, c) -> named_struct({step}))"
+    kept = [c for c in grouped.columns if c != "_cells"]
+    return grouped.selectExpr(*kept, f"inline(array({folded}))")
+
+
 def _shaped(sums: DataFrame, *more: str) -> DataFrame:
     tags = ", ".join(f"CASE WHEN _tag_{tag} THEN '{tag}' END" for tag in _SORTED_TAGS)
     return sums.selectExpr(
@@ -29,44 +65,38 @@ def _shaped(sums: DataFrame, *more: str) -> DataFrame:
 
 
 def team_season_means(states: DataFrame) -> DataFrame:
-    """Games, latest week, tag union and 20 plain means per (season, team), without narrative.
-
-    Every aggregate is combined on the map side, so a team-season with a large part of all rows
-    shuffles one row per task.
-    """
-    return _shaped(
-        states.groupBy("season", "team").agg(
-            F.count(F.lit(1)).alias("games"),
-            F.max("week").alias("latestWeek"),
-            *_sums(),
-            *_flags("array_contains(tags, '{tag}')"),
-        )
+    """Games, latest week, tag union and 20 plain means per (season, team), without narrative."""
+    cells = week_cells(
+        states, {m: m for m in config.SEASON_MEANS}, _flags("array_contains(tags, '{tag}')")
     )
+    return _shaped(season_sums(cells, config.SEASON_MEANS, _flags("_tag_{tag}")))
 
 
 def team_seasons(states: DataFrame) -> DataFrame:
     """``team_season_means`` with the season narrative: the most frequent weekly summary.
 
-    Of equally frequent summaries the first in dictionary order is taken. Rows are combined per
-    summary first, which spreads a large team-season over many tasks, and then per team-season.
+    Of equally frequent summaries the first in dictionary order is taken. A summary names its week,
+    so its count is complete within the week and the best of the weekly bests is the best of the
+    season. Rows are combined per summary first, which spreads a large team-season over many tasks.
     """
-    per_summary = states.groupBy("season", "team", "summary").agg(
-        F.count(F.lit(1)).alias("games"),
-        F.max("week").alias("latestWeek"),
-        *_sums(),
+    per_summary = states.groupBy(*_GROUP, "week", "summary").agg(
+        F.count(F.lit(1)).alias("rows"),
+        _first_origin(states),
+        *[F.expr(f"sum({m}) AS {m}") for m in config.SEASON_MEANS],
         *_flags("array_contains(tags, '{tag}')"),
     )
-    preference = "struct(-games AS votes, collate(summary, 'UNICODE') AS words)"
-    return _shaped(
-        per_summary.groupBy("season", "team").agg(
-            F.sum("games").alias("games"),
-            F.max("latestWeek").alias("latestWeek"),
-            *_sums(),
-            *_flags("_tag_{tag}"),
-            F.expr(f"min_by(summary, {preference}) AS summary"),
-        ),
-        "summary",
+    words = "collate(summary, 'UNICODE')"
+    cells = per_summary.groupBy(*_GROUP, "week").agg(
+        F.sum("rows").alias("games"),
+        F.min("_first").alias("_first"),
+        *[F.expr(f"sum({m}) AS {m}") for m in config.SEASON_MEANS],
+        *_flags("_tag_{tag}"),
+        F.expr(f"min_by(struct(rows, summary), struct(-rows AS votes, {words} AS words)) AS best"),
+    )
+    best = F.expr(
+        "min_by(best.summary, struct(-best.rows AS votes, collate(best.summary, 'UNICODE') AS words)) AS summary"
     )
+    return _shaped(season_sums(cells, config.SEASON_MEANS, [*_flags("_tag_{tag}"), best]), "summary")
 
 
 def season_order(value: Column, with_week: bool = True) -> list[Column]:
@@ -116,79 +146,101 @@ POSITIONAL = {
 }
 
 
-def _positional_values(seasons: DataFrame, family: str, positions) -> tuple[DataFrame, str]:
+def rank_positions(
+    seasons: DataFrame, family: str, positions=config.POSITIONS
+) -> DataFrame:
+    """Rank team-seasons per position: ``offense`` by formula, ``matchup`` by mean points allowed."""
     score, sentence = POSITIONAL[family]
     melted = ranking.melt_rankings(
         seasons, {p: score(p) for p in positions},
         ["team", "season", "latestWeek", "games", "tags"],
     ).withColumnRenamed("ranking", "position")
+    ranked = ranking.number_rows(melted, season_order(F.desc("value")), by=["position"])
     before, after = sentence.split("{p}")
-    return melted, f"concat('{before}', position, '{after}') AS summary"
+    return ranked.selectExpr(
+        "position", "team", "season", "latestWeek", "games", f"{exact_round('value', 2)} AS score",
+        "rank", "tags", f"concat('{before}', position, '{after}') AS summary",
+    )
 
 
-def rank_positions(
-    seasons: DataFrame, family: str, positions=config.POSITIONS
+class TopList(NamedTuple):
+    """A current top list: ranked expression, label, direction, and whether ties look at the week."""
+
+    value: str
+    label: str
+    descending: bool = True
+    with_week: bool = True
+
+
+MOST_STABLE = TopList("stabilityScore", config.STABILITY_LABEL, True, False)
+MOST_VOLATILE = TopList("volatilityScore", config.VOLATILITY_LABEL, True, False)
+LEAST_VOLATILE = TopList("volatilityScore", config.VOLATILITY_LABEL, False, False)
+
+
+def top_lists(
+    seasons: DataFrame, lists: dict[str, TopList], size: int = config.SNAPSHOT_SIZE
 ) -> DataFrame:
-    """Rank team-seasons per position: ``offense`` by formula, ``matchup`` by mean points allowed."""
-    melted, summary = _positional_values(seasons, family, positions)
-    ranked = ranking.number_rows(melted, season_order(F.desc("value")), by=["position"])
-    return ranked.selectExpr(
-        "position", "team", "season", "latestWeek", "games", f"{exact_round('value', 2)} AS score",
-        "rank", "tags", summary,
+    """Several top lists in one pass, keyed by ``list``, with fresh ranks from 1.
+
+    The limit on the rank lets every task drop all but its own first rows before the shuffle.
+    """
+    melted = ", ".join(
+        f"'{name}', {t.value}, {t.value if t.descending else f'-({t.value})'}, "
+        f"{'latestWeek' if t.with_week else '0'}"
+        for name, t in lists.items()
+    )
+    kept = [c for c in ("team", "season", "latestWeek", "games", "tags", "summary")
+            if c in seasons.columns]
+    rows = seasons.selectExpr(*kept, f"stack({len(lists)}, {melted}) AS (list, value, _key, _week)")
+    order = Window.partitionBy("list").orderBy(
+        F.desc("_key"), F.desc("season"), F.desc("_week"), locale_order(F.col("team")).asc()
+    )
+    return (
+        rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+        .withColumn("score", F.expr(exact_round("value", 2)))
+        .withColumn("rank", F.col("rank").cast("bigint"))
+        .select("list", *kept, "score", "rank")
     )
 
 
-def _top_list(seasons: DataFrame, column: str, label: str, descending: bool, with_week: bool, size: int):
-    value = F.col(column).desc() if descending else F.col(column).asc()
-    head = ranking.top(seasons, season_order(value, with_week), size)
-    return head.selectExpr(
-        "team", "season", "latestWeek", f"{exact_round(column, 2)} AS score", "rank", "tags",
-        f"concat('{label}: ', summary) AS summary",
+def _labelled(top: DataFrame, lists: dict[str, TopList]) -> DataFrame:
+    labels = " ".join(f"WHEN '{name}' THEN '{t.label}'" for name, t in lists.items())
+    return top.drop("games").withColumn(
+        "summary", F.expr(f"concat(CASE list {labels} END, ': ', summary)")
     )
 
 
 def most_stable(seasons: DataFrame, size: int = config.SNAPSHOT_SIZE) -> DataFrame:
-    return _top_list(seasons, "stabilityScore", config.STABILITY_LABEL, True, False, size)
+    lists = {"most_stable": MOST_STABLE}
+    return _labelled(top_lists(seasons, lists, size), lists)
 
 
 def most_volatile(seasons: DataFrame, size: int = config.SNAPSHOT_SIZE) -> DataFrame:
-    return _top_list(seasons, "volatilityScore", config.VOLATILITY_LABEL, True, False, size)
+    lists = {"most_volatile": MOST_VOLATILE}
+    return _labelled(top_lists(seasons, lists, size), lists)
 
 
 def least_volatile(seasons: DataFrame, size: int = config.SNAPSHOT_SIZE) -> DataFrame:
-    return _top_list(seasons, "volatilityScore", config.VOLATILITY_LABEL, False, False, size)
+    lists = {"least_volatile": LEAST_VOLATILE}
+    return _labelled(top_lists(seasons, lists, size), lists)
 
 
 def snapshot(seasons: DataFrame, size: int = config.SNAPSHOT_SIZE) -> DataFrame:
-    """The six current top lists in one frame, keyed by ``list``."""
-    lists = {
-        f"top_{name}": _top_list(seasons, col, label, True, True, size)
-        for name, (col, label) in config.SEASON_SCORE_RANKINGS.items()
-    }
-    lists["most_stable"] = most_stable(seasons, size)
-    lists["most_volatile"] = most_volatile(seasons, size)
-    lists["least_volatile"] = least_volatile(seasons, size)
-    return _stacked("list", lists)
+    """The six current top lists."""
+    lists = {f"top_{n}": TopList(col, label) for n, (col, label) in config.SEASON_SCORE_RANKINGS.items()}
+    lists.update(
+        most_stable=MOST_STABLE, most_volatile=MOST_VOLATILE, least_volatile=LEAST_VOLATILE
+    )
+    return _labelled(top_lists(seasons, lists, size), lists)
 
 
 def positional_snapshot(seasons: DataFrame, family: str, size: int = config.SNAPSHOT_SIZE) -> DataFrame:
     """Top rows of each positional ranking."""
-    heads = {}
-    for p in config.POSITIONS:
-        melted, summary = _positional_values(seasons, family, [p])
-        heads[p] = ranking.top(melted, season_order(F.desc("value")), size).selectExpr(
-            "team", "season", "latestWeek", "games", f"{exact_round('value', 2)} AS score", "rank",
-            "tags", summary,
-        )
-    return _stacked("position", heads)
-
-
-def _stacked(key: str, frames: dict[str, DataFrame]) -> DataFrame:
-    out = None
-    for name, df in frames.items():
-        df = df.withColumn(key, F.lit(name))
-        out = df if out is None else out.unionByName(df)
-    return out
+    score, sentence = POSITIONAL[family]
+    lists = {p: TopList(score(p), "") for p in config.POSITIONS}
+    before, after = sentence.split("{p}")
+    top = top_lists(seasons.drop("summary"), lists, size).withColumnRenamed("list", "position")
+    return top.withColumn("summary", F.expr(f"concat('{before}', position, '{after}')"))
 
 
 def scope(rows: DataFrame, season: int | None = None, week: int | None = None) -> DataFrame:

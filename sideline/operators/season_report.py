@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sideline import config, schemas
 from sideline.functions.numeric import exact_round
+from sideline.operators.season import season_sums, week_cells
 
 
 def season_report(rows: DataFrame) -> DataFrame:
@@ -15,13 +16,10 @@ def season_report(rows: DataFrame) -> DataFrame:
     Sums stay at full precision and are rounded once. A week without a rate adds nothing to the
     weighted sum; a rate whose weights sum to zero is null with a warning, never 0.
     """
-    sums = [F.expr(f"sum({c}) AS {c}Sum") for c in config.REPORT_COUNTS]
-    weighted = [
-        F.expr(f"sum({rate} * {weight}) AS {rate}Weighted")
-        for rate, (weight, _, _) in config.REPORT_RATES.items()
-    ]
-    grouped = rows.groupBy("season", "team").agg(
-        F.count(F.lit(1)).alias("gamesPlayed"), *sums, *weighted
+    values = {f"{c}Sum": c for c in config.REPORT_COUNTS}
+    values |= {f"{r}Weighted": f"{r} * {w}" for r, (w, _, _) in config.REPORT_RATES.items()}
+    grouped = season_sums(week_cells(rows, values), list(values)).withColumnRenamed(
+        "games", "gamesPlayed"
     )
     raw = grouped.selectExpr(
         "season", "team", "gamesPlayed",
