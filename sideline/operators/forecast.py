@@ -13,6 +13,11 @@ from sideline.sources.governed import Consumption
 
 DEFAULT_CUTOFF = "2025-03-01T00:00:00.000Z"
 GRAIN = ("season", "week", "teamCode")
+JOIN_POSTURE = (
+    ("season", "input_season"),
+    ("teamCode", "player_input_season_team"),
+    ("week", "(aggregated away)"),
+)
 # an instant needs its zone: Z or an offset
 _ZONED = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}(:\\d{2})?(\\.\\d+)?(Z|[+-]\\d{2}:\\d{2})$"
 
@@ -105,6 +110,7 @@ def forecast_input(
                 F.lit(up["generatedAt"]).cast("string").alias("sourceGeneratedAt"),
                 F.lit(seasons.target_start).alias("targetSeasonStart"),
                 F.lit(True).alias("cutoffBeforeTargetSeason"),
+                F.lit(f"{seasons.input}_input_to_{seasons.target}_target").alias("safeFor"),
             ),
             "rowGrain": F.lit("team_week"),
             "teamCount": F.col("coverage.teamCount"),
@@ -112,11 +118,24 @@ def forecast_input(
                 F.array(*[F.lit(w) for w in expectation.weeks]).alias("window"),
                 F.lit(expectation.games_per_team).alias("expectedGamesPerTeam"),
                 F.lit(expectation.season).alias("expectedSeason"),
+                "coverage",
                 F.col("coverage.isFullLeague").alias("isFullLeague"),
             ),
-            "grainKeys": F.array(*[F.lit(k) for k in GRAIN]),
+            # rows are only described here; binding them to player seasons is left to the consumer
+            "downstreamBinding": F.struct(
+                F.lit("team_week").alias("rowGrain"),
+                F.array(*[F.lit(k) for k in GRAIN]).alias("grainKeys"),
+                F.lit(False).alias("bindsHere"),
+                F.array(*[
+                    F.struct(F.lit(a).alias("field"), F.lit(b).alias("consumerField"))
+                    for a, b in JOIN_POSTURE
+                ]).alias("fieldMapping"),
+            ),
             "pressureForecastPosture": F.lit("unavailable_insufficient_data_deferred_excluded"),
-            "fantasyFieldsExcluded": F.array(*[F.lit(f) for f in schemas.FANTASY_FIELDS]),
+            "fantasySplitPosture": F.struct(
+                F.lit("absent_excluded_from_forecast_use").alias("status"),
+                F.array(*[F.lit(f) for f in schemas.FANTASY_FIELDS]).alias("fields"),
+            ),
             "targetLeakageStatus": F.lit("no_target_future_leakage_fields_emitted_as_input"),
         }
     )

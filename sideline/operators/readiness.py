@@ -134,14 +134,16 @@ def governed_readiness(
                     "validationReportPath": up["validationReportPath"],
                     "lineageManifestPath": up["lineageManifestPath"],
                     "provenanceStatus": up["provenanceStatus"],
-                    "governanceStatus": up["governanceStatus"],
-                    "governanceSource": up["governanceSource"],
-                    "governanceNotes": up["governanceNotes"],
                     "upstreamFieldReadiness": up["fieldReadiness"],
                     "pressurePosture": "unavailable_insufficient_data_deferred",
                     "deferredFields": up["deferredFields"],
                 }
             ),
+            "governance": F.struct(
+                F.lit(up["governanceStatus"]).alias("governanceStatus"),
+                F.lit(up["governanceSource"]).alias("governanceSource"),
+                F.lit(up["governanceNotes"]).cast("string").alias("notes"),
+            ),
             "readinessStatus": F.when(F.col("coverage.valid"), "ready_minimal_boundary").otherwise(
                 "withheld_invalid_coverage"
             ),

@@ -567,7 +567,8 @@ def landing_context(means: DataFrame) -> DataFrame:
 def _context(build, kind: str) -> Query:
     def run(spark, folder):
         rules = context_tables.TableRules(kind, 2011, LEAGUE.teams)
-        return context_tables.table_problems(build(_means(spark, folder)), rules).select("team", "message")
+        table = written(build(_means(spark, folder)), "context")
+        return context_tables.table_problems(table, rules).select("team", "message")
 
     return run
 

@@ -22,10 +22,7 @@ _ENVELOPE = (
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
     """All ``*.json`` files of a file or folder (any case, not recursive): (sourceFile, text)."""
     docs = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.[jJ][sS][oO][nN]")
-        .option("recursiveFileLookup", False)
-        .text(path)
+        spark.read.text(path, wholetext=True, pathGlobFilter="*.[jJ][sS][oO][nN]")
         .select(F.col("_metadata.file_path").alias("sourceFile"), F.col("value").alias("text"))
     )
     if docs.isEmpty():
