@@ -118,7 +118,7 @@ def build_features(movement: DataFrame, options: FeatureOptions) -> FeatureTable
     o = options
     movement = written(movement, "movement")  # read by the guards, the header and the rows
     quality.require_clean(
-        guard_problems(movement, o.feature_season, o.expected_teams), ["message"]
+        guard_problems(movement, o.feature_season, o.expected_teams), ["rule", "message"]
     )
     rows = feature_rows(movement, o).orderBy(
         F.collate("teamId", "UNICODE"), F.collate("teamAbbr", "UNICODE")

@@ -35,7 +35,9 @@ class Seasons(NamedTuple):
 
 def cutoff_status(as_of: str, start: str) -> str:
     """Expression: ok, missing, malformed, ambiguous or too_late for a cutoff column."""
-    instant = f"try_to_timestamp({as_of})"
+    # seconds may be left out of an instant, but not for the timestamp parser
+    full = f"regexp_replace({as_of}, '(T\\\\d{{2}}:\\\\d{{2}})(Z|[+-]|$)', '$1:00$2')"
+    instant = f"try_to_timestamp({full})"
     return (
         f"CASE WHEN coalesce(trim({as_of}), '') = '' THEN 'missing' "
         f"WHEN {instant} IS NULL THEN 'malformed' "
