@@ -6,6 +6,7 @@ whole numbers, so the rows are the same whatever order a shuffle delivers them i
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sideline import config, schemas
 
@@ -14,8 +15,16 @@ LEAGUE_SIZE = 25
 RED_ZONE_QUANTITY = 45
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A parquet table; its footer is read once per application, not once per query."""
+    path = f"{folder}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 # sum column -> expression over one line
