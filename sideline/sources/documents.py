@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sideline import config, schemas
+from sideline.functions.lineage import written
 from sideline.operators import quality
 from sideline.operators.quality import QualityError
 
@@ -110,23 +111,29 @@ def canonical_from_envelope(records: DataFrame) -> DataFrame:
     return _renamed(records, schemas.ENVELOPE_NAMES)
 
 
+def _violations(parsed: DataFrame, arrays: DataFrame, envelopes: DataFrame) -> DataFrame:
+    located = list(schemas.ORIGIN)
+    whole = quality.violations(parsed.selectExpr("*", "-1 AS rowIndex"), document_rules(), located)
+    return whole.unionByName(
+        quality.violations(arrays, quality.raw_array_rules(), located)
+    ).unionByName(quality.violations(envelopes, quality.envelope_rules(), located))
+
+
 def raw_violations(parsed: DataFrame) -> DataFrame:
     """Everything wrong with the documents and the shape of their rows."""
-    located = ["sourceFile", "rowIndex"]
-    whole = quality.violations(
-        parsed.selectExpr("*", "-1 AS rowIndex"), document_rules(), located
-    )
-    arrays = quality.violations(array_records(parsed), quality.raw_array_rules(), located)
-    envelopes = quality.violations(envelope_records(parsed), quality.envelope_rules(), located)
-    return whole.unionByName(arrays).unionByName(envelopes)
+    return _violations(parsed, array_records(parsed), envelope_records(parsed))
 
 
 def load_rows(docs: DataFrame) -> DataFrame:
-    """Canonical rows of checked documents, with their file and position. Raises on the first error."""
+    """Canonical rows of checked documents, with their file and position. Raises on the first error.
+
+    The records are read by the check and by every later step, so they are parsed once and kept.
+    """
     parsed = parse_documents(docs)
-    quality.require_clean(raw_violations(parsed), schemas.ORIGIN)
-    arrays = canonical_from_array(array_records(parsed))
-    return arrays.unionByName(canonical_from_envelope(envelope_records(parsed)))
+    arrays = written(array_records(parsed), "arrays")
+    envelopes = written(envelope_records(parsed), "envelopes")
+    quality.require_clean(_violations(parsed, arrays, envelopes), schemas.ORIGIN)
+    return canonical_from_array(arrays).unionByName(canonical_from_envelope(envelopes))
 
 
 def declared_provenance(docs: DataFrame) -> str | None:

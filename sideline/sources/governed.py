@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sideline import config, schemas
+from sideline.functions.lineage import written
 from sideline.operators import quality
 from sideline.operators.quality import QualityError, Rule
 from sideline.sources import documents
@@ -120,44 +121,57 @@ def _records(docs: DataFrame) -> DataFrame:
     return documents.envelope_records(documents.parse_documents(docs))
 
 
-def candidate_rows(docs: DataFrame) -> DataFrame:
-    """Whitelisted candidate rows: four keys and 28 nullable metrics."""
+def _candidate(records: DataFrame) -> DataFrame:
     return documents.typed_keys(
-        _records(docs).selectExpr(
+        records.selectExpr(
             *schemas.ORIGIN, "season", "week", "teamCode AS team", "opponentCode AS opponent",
             *schemas.METRICS,
         )
     )
 
 
-def governed_rows(docs: DataFrame) -> DataFrame:
-    """Governed rows: fantasy columns stripped and pressure withheld, whatever the text says."""
+def _governed(records: DataFrame) -> DataFrame:
     kept = [m for m in schemas.GOVERNED_METRICS if m != config.PRESSURE_FIELD]
-    return candidate_rows(docs).selectExpr(
+    return _candidate(records).selectExpr(
         *schemas.ORIGIN, *schemas.KEYS, *kept, f"double(NULL) AS {config.PRESSURE_FIELD}"
     )
 
 
+def candidate_rows(docs: DataFrame) -> DataFrame:
+    """Whitelisted candidate rows: four keys and 28 nullable metrics."""
+    return _candidate(_records(docs))
+
+
+def governed_rows(docs: DataFrame) -> DataFrame:
+    """Governed rows: fantasy columns stripped and pressure withheld, whatever the text says."""
+    return _governed(_records(docs))
+
+
 def row_violations(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     return quality.violations(_records(docs), rules, list(schemas.ORIGIN))
 
 
-def _consume(docs: DataFrame, gate, rules, rows) -> Consumption:
+def _consume(docs: DataFrame, gate: list[Rule], rules: list[Rule], shape) -> Consumption:
+    if docs.limit(2).count() != 1:
+        raise QualityError("one document is needed: its declared context belongs to all rows")
     quality.require_clean(gate_violations(docs, gate), ["sourceFile"])
-    quality.require_clean(row_violations(docs, rules), schemas.ORIGIN)
+    # coverage, null profile and export read the rows again: parse them once
+    records = written(_records(docs), "records")
+    located = list(schemas.ORIGIN)
+    quality.require_clean(quality.violations(records, rules, located), located)
     context = declared_context(docs).orderBy(F.collate("sourceFile", "UNICODE")).limit(1).first()
     kept = ("generatedAt", "season", "provenanceStatus", "governanceStatus", "governanceSource",
             "governanceNotes", "deferredFields", "sourceArtifacts", "fieldReadiness",
             "validationReportPath", "lineageManifestPath")
     upstream = {"sourceArtifactPath": context["sourceFile"], **{k: context[k] for k in kept}}
-    return Consumption(upstream, rows(docs))
+    return Consumption(upstream, shape(records))
 
 
 def consume_candidate(docs: DataFrame) -> Consumption:
     """Accept a candidate document or raise with the first reason not to."""
-    return _consume(docs, candidate_gate(), quality.candidate_rules(), candidate_rows)
+    return _consume(docs, candidate_gate(), quality.candidate_rules(), _candidate)
 
 
 def consume_governed(docs: DataFrame) -> Consumption:
     """Accept a governed document or raise with the first reason not to."""
-    return _consume(docs, governed_gate(), quality.governed_rules(), governed_rows)
+    return _consume(docs, governed_gate(), quality.governed_rules(), _governed)
