@@ -6,7 +6,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sideline import config, schemas
+from sideline import config
 from sideline.functions.numeric import exact_round, lit
 from sideline.functions.text import locale_order
 from sideline.operators import ranking
@@ -20,24 +20,17 @@ def _flags(over: str) -> list[Column]:
     return [F.expr(f"bool_or({over.format(tag=tag)}) AS _tag_{tag}") for tag in _SORTED_TAGS]
 
 
-def _first_origin(rows: DataFrame) -> Column:
-    """Position of a cell in the input, as far as the frame knows it."""
-    known = [c for c in schemas.ORIGIN if c in rows.columns]
-    return (F.min(F.struct(*known)) if known else F.lit(0)).alias("_first")
-
-
 def week_cells(rows: DataFrame, values: dict[str, str], more: Sequence[Column] = ()) -> DataFrame:
-    """Sums of expressions per (season, team, week), with the row count and the first position."""
+    """Sums of expressions per (season, team, week), with the row count."""
     return rows.groupBy(*_GROUP, "week").agg(
         F.count(F.lit(1)).alias("games"),
-        _first_origin(rows),
         *[F.expr(f"sum({sql}) AS {name}") for name, sql in values.items()],
         *more,
     )
 
 
 def season_sums(cells: DataFrame, names: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
-    """Sums over the weeks of each team-season, added in input order.
+    """Sums over the weeks of each team-season, added in week order.
 
     Floating-point sums depend on their order, and a shuffle has none: the last digit, and with it a
     rounded tie, would change from run to run. A season has at most 22 weeks, so its cells are
@@ -46,7 +39,7 @@ def season_sums(cells: DataFrame, names: Sequence[str], more: Sequence[Column] =
     grouped = cells.groupBy(*_GROUP).agg(
         F.sum("games").alias("games"),
         F.max("week").alias("latestWeek"),
-        F.sort_array(F.collect_list(F.struct("_first", "week", *names))).alias("_cells"),
+        F.sort_array(F.collect_list(F.struct("week", *names))).alias("_cells"),
         *more,
     )
     start = ", ".join(f"'{n}', 0D" for n in names)
@@ -81,14 +74,12 @@ def team_seasons(states: DataFrame) -> DataFrame:
     """
     per_summary = states.groupBy(*_GROUP, "week", "summary").agg(
         F.count(F.lit(1)).alias("rows"),
-        _first_origin(states),
         *[F.expr(f"sum({m}) AS {m}") for m in config.SEASON_MEANS],
         *_flags("array_contains(tags, '{tag}')"),
     )
     words = "collate(summary, 'UNICODE')"
     cells = per_summary.groupBy(*_GROUP, "week").agg(
         F.sum("rows").alias("games"),
-        F.min("_first").alias("_first"),
         *[F.expr(f"sum({m}) AS {m}") for m in config.SEASON_MEANS],
         *_flags("_tag_{tag}"),
         F.expr(f"min_by(struct(rows, summary), struct(-rows AS votes, {words} AS words)) AS best"),

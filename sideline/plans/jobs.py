@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sideline import config
 from sideline.functions.lineage import written
+from sideline.functions.session import prepare
 from sideline.operators import coverage, features, forecast, movement, profiles, provenance
 from sideline.operators import quality, ranking, readiness, scoring, season
 from sideline.operators.quality import QualityError
@@ -101,6 +102,7 @@ def analyse(
     States, team-seasons and movement are each read by several outputs, so they are written once to
     the shared folder and read back.
     """
+    prepare(rows.sparkSession)
     require_canonical(rows)
     rows = documents.typed_keys(rows)
     sliced = slice_rows(rows, season_, week)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sideline import config, schemas
 from sideline.functions.lineage import written
 from sideline.functions.numeric import rounded
+from sideline.functions.session import prepare
 from sideline.functions.text import normalized_path, path_type
 from sideline.operators import context_tables, coverage, features, forecast, movement, profiles
 from sideline.operators import provenance, quality, ranking, readiness, scoring, season, season_report
@@ -600,6 +601,10 @@ def _cutoffs(spark, folder):
     )
 
 
+def _prepared(query: Query) -> Query:
+    return lambda spark, folder: query(prepare(spark), folder)
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "bridge_team_week": _rows,
@@ -675,4 +680,4 @@ def queries() -> dict[str, Query]:
             "cutoff_status": _cutoffs,
         }
     )
-    return found
+    return {name: _prepared(query) for name, query in found.items()}
