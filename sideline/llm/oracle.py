@@ -1,5 +1,13 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
+_OP1 = r"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+  FROM e q JOIN e d ON d.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20"""
+
 _OP3 = r"""
 WITH d AS (SELECT doc_id, source IS NULL AS ns, coalesce(source, '') AS s, coalesce(md5(doc_id::VARCHAR), '') AS k,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
@@ -16,6 +24,38 @@ r AS (SELECT *, sum(size) OVER (PARTITION BY ns, s ORDER BY k, doc_id, size ROWS
 SELECT doc_id, size, n::BIGINT AS source_size, target,
   (CASE WHEN n = 0 THEN 0 ELSE (want // n) * size + greatest(0, least(size, want % n - before)) END)::BIGINT AS taken FROM r"""
 
+_OP4 = r"""
+WITH RECURSIVE e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+c(node, label) AS (SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT l.b, c.label FROM c JOIN l ON l.a = c.node AND c.label < l.b),
+m AS (SELECT node, min(label) AS component_id FROM c GROUP BY node),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN m ON node = vec_id LEFT JOIN n ON a = vec_id"""
+
+_OP2 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.h = b.h AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+c(node, label) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, c.label FROM c JOIN l ON l.a = c.node AND c.label < l.b),
+m AS (SELECT node, min(label) AS component_id FROM c GROUP BY node)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM s JOIN m ON node = doc_id"""
+
+_OP6 = r"""
+WITH x AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+u AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM x),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM u),
+f AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT k.*, f.key IS NOT NULL AND doc_id <> last AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256 FROM j GROUP BY doc_id"""
+
 _OP7 = r"""
 WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(coalesce(r, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -29,4 +69,8 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 
 
 def build() -> dict[str, str]:
-    return {"op3_mix_sources": _OP3, "op7_url_filter": _OP7}
+    return {
+        "op1_exact_top_k": _OP1, "op2_ngram_jaccard_join": _OP2, "op3_mix_sources": _OP3,
+        "op4_embedding_near_dedup": _OP4,
+        "op6_line_dedup": _OP6, "op7_url_filter": _OP7,
+    }
