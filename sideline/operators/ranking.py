@@ -37,8 +37,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ())
         *by, "_slice",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_start"),
     )
-    # at most one row per slice and ranking: as small as the partition count
-    placed = kept.join(F.broadcast(starts), [*by, "_slice"])
+    placed = kept.join(starts, [*by, "_slice"])
     return placed.withColumn("rank", F.col("_id") + F.col("_start")).drop("_id", "_slice", "_start")
 
 
