@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sideline.llm.common import Remembered, each_batch, held_out
+from sideline.llm.common import Remembered, held_out
 from sideline.llm.training import learning_ids, sampled, texts_of
 
 #: longest n-gram source: a longer word gives the n-grams of its first and last characters only,
@@ -106,11 +107,10 @@ def scores(
     score comes from the bias. Rows with a null id are scored and count as held out. Columns: id,
     those of ``keep``, held_out, score, predicted.
     """
-    weights, bias = model
-    shared = docs.sparkSession.sparkContext.broadcast((weights, bias, settings))
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"), *keep)
+    shared = docs.sparkSession.sparkContext.broadcast((*model, settings))
 
-    def make():
+    @F.pandas_udf("double")
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, bias, s = shared.value
 
         def word(w: str) -> tuple[float, int]:
@@ -119,24 +119,14 @@ def scores(
 
         known = Remembered(word)
 
-        def one(text: str | None) -> float:
+        def logit(text: str | None) -> float:
             pairs = [known[w] for w in (text or "").split()]
-            logit = bias + (sum(p[0] for p in pairs) / sum(p[1] for p in pairs) if pairs else 0.0)
-            return float(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
+            return bias + (sum(p[0] for p in pairs) / sum(p[1] for p in pairs) if pairs else 0.0)
 
-        def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-            score = [one(t) for t in b.column("_text").to_pylist()]
-            left = [n for n in b.schema.names if n != "_text"]
-            return pa.RecordBatch.from_arrays(
-                [*[b.column(n) for n in left], pa.array(score, pa.float64())], names=[*left, "score"])
+        for part in parts:
+            yield pd.Series(1 / (1 + np.exp(-np.clip([logit(t) for t in part], -50, 50))), dtype=np.float64)
 
-        return batch
-
-    def run(batches):
-        yield from each_batch(make())(batches)
-
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (id_col, *keep))
-    scored = rows.mapInArrow(run, f"{kinds}, score double")
+    scored = docs.select(F.col(id_col), *keep, score(F.col(text_col)).alias("score"))
     return scored.select(
         id_col, *keep, held_out(F.col(id_col)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))

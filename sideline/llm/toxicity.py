@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sideline.llm.common import each_batch, held_out
+from sideline.llm.common import held_out
 from sideline.llm.training import learning_ids, sampled, texts_of
 
 _WORD = re.compile(r"\w+")
+_BEGINNINGS = (4, 5, 6)
 
 
 def tokens(text: str | None) -> set[str]:
-    """Distinct words, in lower case and without punctuation."""
-    return set(_WORD.findall((text or "").lower()))
+    """Distinct words, in lower case and without punctuation, and the beginnings of longer ones.
+
+    Beginnings (marked by a hyphen) carry a stem through its endings.
+    """
+    words = set(_WORD.findall((text or "").lower()))
+    return words.union(*({f"{w[:n]}-" for w in words if len(w) > n} for n in _BEGINNINGS))
 
 
 @dataclass(frozen=True)
@@ -28,29 +35,31 @@ class Settings:
     positive: int = 2000
     unlabelled: int = 8000
     least: int = 5
-    words: int = 50_000
-    epochs: int = 60
+    least_share: float = 0.01
+    apart: float = 5.0
+    words: int = 5000
+    epochs: int = 40
     batch: int = 500
-    step: float = 0.1
-    decay: float = 1e-4
+    step: float = 0.3
+    decay: float = 1e-5
     seed: int = 5
 
 
 def vocabulary(positive: list[set[str]], unlabelled: list[set[str]], s: Settings) -> list[str]:
-    """Words in at least ``least`` texts, those that part the two samples most first."""
-    in_p, in_u = {}, {}
-    for counts, texts in ((in_p, positive), (in_u, unlabelled)):
-        for text in texts:
-            for w in text:
-                counts[w] = counts.get(w, 0) + 1
+    """Words in a fair share of the positive texts whose shares in both samples are clearly apart.
+
+    ``apart`` is measured in units of the spread that samples of these sizes have.
+    """
+    in_p, in_u = Counter(w for t in positive for w in t), Counter(w for t in unlabelled for w in t)
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
-    usable = [w for w in in_p.keys() | in_u.keys() if in_p.get(w, 0) + in_u.get(w, 0) >= s.least]
-    # distance of the shares in units of their spread
+    least = max(s.least, s.least_share * n_p)
+
     def apart(w: str) -> float:
-        a, b = in_p.get(w, 0) / n_p, in_u.get(w, 0) / n_u
-        spread = ((a + b) / 2 + 1 / (n_p + n_u)) * (1 / n_p + 1 / n_u)
-        return abs(a - b) / spread**0.5
-    return sorted(usable, key=lambda w: (-apart(w), w))[: s.words]
+        share = (in_p[w] + in_u[w]) / (n_p + n_u)
+        return (in_p[w] / n_p - in_u[w] / n_u) / (share * (1 - share) * (1 / n_p + 1 / n_u) + 1e-12) ** 0.5
+
+    found = [(apart(w), w) for w, n in in_p.items() if n >= least]
+    return [w for z, w in sorted(found, key=lambda x: (-x[0], x[1])) if z >= s.apart][: s.words]
 
 
 def train(positive: list[set[str]], unlabelled: list[set[str]], prior: float, s: Settings = Settings()) -> tuple[dict[str, float], float]:
@@ -129,21 +138,15 @@ def scores(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    @F.pandas_udf("double")
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, bias = shared.value
+        known = weights.keys()
+        for part in parts:
+            g = [bias + sum(map(weights.__getitem__, tokens(t) & known)) for t in part]
+            yield pd.Series(1 / (1 + np.exp(-np.clip(g, -50, 50))), dtype=np.float64)
 
-        def one(text: str | None) -> float:
-            g = bias + sum(weights[w] for w in tokens(text) if w in weights)
-            return float(1 / (1 + np.exp(-np.clip(g, -50, 50))))
-
-        def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-            score = [one(t) for t in b.column("_text").to_pylist()]
-            return pa.RecordBatch.from_arrays([b.column(id_col), pa.array(score, pa.float64())], names=[id_col, "score"])
-
-        yield from each_batch(batch)(batches)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    scored = docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    scored = docs.select(F.col(id_col), score(F.col(text_col)).alias("score"))
     return scored.select(
         id_col, held_out(F.col(id_col)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
