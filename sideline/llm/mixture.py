@@ -122,10 +122,10 @@ def mixed_documents(
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     plan = mix(numbered, id_col, text_col, source_col, keep=["_row"], **options)
     copies = plan.filter("taken > 0").select(
-        "_row", F.explode(F.expr("transform(sequence(0, int((taken - 1) div size)), i -> least(size, taken - i * size))")).alias("_words"), "size",
+        "_row", F.explode(F.expr("transform(sequence(0, int((taken - 1) div size)), i -> least(size, taken - i * size))")).alias("_words"), F.col("size").alias("_size"),
     )
     head = F.expr(f"array_join(slice(regexp_extract_all(`{text_col}`, '[{SPACE}]*[^{SPACE}]+', 0), 1, int(_words)), '')".replace("\\", "\\\\"))
-    cut = F.col("_words") < F.col("size")
+    cut = F.col("_words") < F.col("_size")
     out = numbered.join(copies, "_row").withColumn(text_col, F.when(cut, head).otherwise(F.col(text_col)))
     if length_col in docs.columns:
         out = out.withColumn(length_col, F.when(cut, F.length(text_col).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col)))

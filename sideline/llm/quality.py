@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sideline.llm.common import Remembered, held_out
@@ -96,18 +96,14 @@ def fit(labels: DataFrame, docs: DataFrame, column: str = "quality", settings: S
     return train([r.text for r in rows], [r.y for r in rows], settings)
 
 
-def scores(
-    docs: DataFrame, model, settings: Settings = Settings(), id_col: str = "doc_id",
-    text_col: str = "text", threshold: float = 0.7, keep: tuple[str, ...] = (),
-) -> DataFrame:
-    """Score (0 to 1, of label 1) and prediction of every whole text.
+def score_of(spark: SparkSession, text: Column, model, settings: Settings = Settings()) -> Column:
+    """Score (0 to 1, of label 1) of a whole text.
 
     The model reaches the tasks as one array of fixed size. A worker remembers the sum and the
-    number of features of the words it has seen. Null and empty texts have no features: their
-    score comes from the bias. Rows with a null id are scored and count as held out. Columns: id,
-    those of ``keep``, held_out, score, predicted.
+    number of features of the words it has seen. Null and empty texts have no features: their score
+    comes from the bias.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((*model, settings))
+    shared = spark.sparkContext.broadcast((*model, settings))
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -126,7 +122,15 @@ def scores(
         for part in parts:
             yield pd.Series(1 / (1 + np.exp(-np.clip([logit(t) for t in part], -50, 50))), dtype=np.float64)
 
-    scored = docs.select(F.col(id_col), *keep, score(F.col(text_col)).alias("score"))
+    return score(text)
+
+
+def scores(
+    docs: DataFrame, model, settings: Settings = Settings(), id_col: str = "doc_id",
+    text_col: str = "text", threshold: float = 0.7,
+) -> DataFrame:
+    """id, held_out, score and predicted of every row; rows with a null id count as held out."""
+    scored = docs.select(F.col(id_col), score_of(docs.sparkSession, F.col(text_col), model, settings).alias("score"))
     return scored.select(
-        id_col, *keep, held_out(F.col(id_col)).alias("held_out"), "score",
+        id_col, held_out(F.col(id_col)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
