@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sideline.functions.lineage import written
+from sideline.llm.bloom import bloom_words, may_contain, words_for
 from sideline.llm.common import arrays, byte_words, each_batch, shingles, word_hashes
 from sideline.llm.components import components
 
@@ -177,17 +178,23 @@ def jaccard_components(
     met = written(
         entries.withColumn("before", F.lag(F.struct("grp", "n")).over(ordered))
         .withColumn("after", F.lead("grp").over(ordered)).filter("before IS NOT NULL OR after IS NOT NULL").drop("after"), "met")
-    involved = met.select("grp").union(members.filter("cls <> grp").select("grp")).distinct()
-    ids = members.join(involved, "grp").select(F.col("cls").alias("_id"))
-    held = written(
-        texts.join(ids, "_id", "left_semi").mapInArrow(_sets(n), "id long, held array<long>").dropDuplicates(["id", "held"]), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """The pairs of classes (a, b) that are linked, by their whole sets."""
+        """The pairs of classes (a, b) that are linked, by their whole sets.
+
+        Sets are made anew from the texts of the classes in question. A Bloom filter of their ids
+        keeps most other texts out of the shuffle of the semi-join.
+        """
+        pairs = written(pairs, "pairs")
+        ids = written(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
+        words = words_for(ids.count())
+        near_ids = texts.withColumn("_words", bloom_words(ids, "_id", words).scalar()).filter(may_contain("_words", "_id", words))
+        held = near_ids.select("_id", "_text").join(ids, "_id", "left_semi").mapInArrow(_sets(n), "id long, held array<long>")
+        held = written(held, "sets")
         left, right = (held.select(F.col("id").alias(c), F.col("held").alias(f"held_{c}")) for c in "ab")
         both = pairs.join(left, "a").join(right, "b")
         common = "size(array_intersect(held_a, held_b))"
-        return both.filter(f"100 * {common} >= {percent} * (size(held_a) + size(held_b) - {common})").select("a", "b")
+        return both.filter(f"100 * {common} >= {percent} * (size(held_a) + size(held_b) - {common})").select("a", "b").distinct()
 
     def fits(a: str, b: str) -> str:
         return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"

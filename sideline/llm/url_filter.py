@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 64-bit words of the filter at most (8 MB); beyond, it only lets more keys through to the join
-MOST_WORDS = 1 << 20
+from sideline.llm.bloom import bloom_words, may_contain, words_for
+
 #: shapes (labels in the host, length of the path) of listed entries at most
 MOST_SHAPES = 1000
 
@@ -23,25 +23,9 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
-def _mask(key: str, bits: int) -> str:
-    """SQL of a 64-bit word with up to ``bits`` bits set, taken from a hash of the key."""
-    h = f"xxhash64({key}, 'bits')"
-    return "(" + " | ".join(f"shiftleft(1L, int(shiftrightunsigned({h}, {6 * i}) & 63))" for i in range(bits)) + ")"
-
-
-def bloom_words(keys: DataFrame, column: str, words: int, bits: int = 5) -> DataFrame:
-    """One row with the filter as an array of 64-bit words; each key sets bits in one word only."""
-    block, mask = f"int(pmod(xxhash64({column}), {words}))", _mask(column, bits)
-    # OR over the keys of a word, in tasks first; words without a key are 0
-    set_words = keys.groupBy(F.expr(block).alias("block")).agg(F.expr(f"bit_or({mask})").alias("word"))
-    return set_words.agg(F.map_from_entries(F.collect_list(F.struct("block", "word"))).alias("m")).select(
-        F.expr(f"transform(sequence(0, {words - 1}), b -> coalesce(try_element_at(m, b), 0L))").alias("words")
-    )
-
-
 def judge(
     pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url_col: str = "url",
-    default: str = "allow", keys_per_word: int = 6,
+    default: str = "allow",
 ) -> DataFrame:
     """Verdict of every page by the longest listed entry that fits its url.
 
@@ -53,8 +37,8 @@ def judge(
     Only the keys that could be listed are formed: the last k labels of the host with the first p
     characters of the path, for the pairs (k, p) that occur in the list. Keys that the filter passes
     go to an exact hash join on the key, which removes the false positives; urls without such a key
-    never reach it. The filter has a word per ``keys_per_word`` entries, up to ``MOST_WORDS``, and
-    reaches the tasks as one constant; beyond that size more keys pass, and the join still decides.
+    never reach it. The filter reaches the tasks as one constant of bounded size (see ``bloom``); for
+    longer lists more keys pass, and the join still decides.
     Everything is built-in columns.
 
     Returns one row per page: id, host, path, rule (host and path of the entry, else null), verdict.
@@ -76,14 +60,13 @@ def judge(
     if not shapes:
         return urls.select(id_col, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     count = listed.count()
-    words = min(MOST_WORDS, max(1, -(-count // keys_per_word)))
+    words = words_for(count)
     keys = F.expr("filter(array(" + ",".join(
         f"IF(size(split(host, '[.]')) >= {s.labels} AND length(path) >= {s.length}, "
         f"concat_ws('\\0', substring_index(host, '.', -{s.labels}), substring(path, 1, {s.length})), NULL)"
         for s in sorted(shapes)) + "), k -> k IS NOT NULL)")
     urls = urls.withColumn("_words", bloom_words(listed, "key", words).scalar())
-    hit = f"k -> (element_at(_words, 1 + int(pmod(xxhash64(k), {words}))) & {_mask('k', 5)}) = {_mask('k', 5)}"
-    urls = urls.withColumn("_keys", keys).withColumn("_keys", F.expr(f"filter(_keys, {hit})"))
+    urls = urls.withColumn("_keys", keys).withColumn("_keys", F.expr(f"filter(_keys, k -> {may_contain('_words', 'k', words)})"))
     possible = F.size("_keys") > 0
     # by url, so that repeated pages are looked up once
     found = (
