@@ -418,7 +418,9 @@ def build() -> dict[str, str]:
     _documents(sql)
     _contexts(sql)
     _labels(sql)
-    return sql
+    from checks import oracle_lanes
+
+    return sql | oracle_lanes.build()
 
 
 def _seasons(sql: dict[str, str]) -> None:
@@ -549,6 +551,7 @@ spoiled AS (SELECT * REPLACE (CASE WHEN drivesTotal%7=0 THEN NULL ELSE redZoneTd
     UNION ALL SELECT 'E_COVERAGE_TEAM_MISSING', team, 'no rows' FROM league WHERE team NOT IN (SELECT team FROM per_team)
     UNION ALL SELECT 'E_COVERAGE_TEAM_UNEXPECTED', team, 'not in the league' FROM per_team WHERE team NOT IN (SELECT team FROM league)
     UNION ALL SELECT 'E_COVERAGE_ROW_COUNT_MISMATCH', team, n || ' rows, expected 84' FROM per_team WHERE n<>84
+    UNION ALL SELECT 'E_COVERAGE_ROW_COUNT_MISMATCH', NULL, count(*) || ' rows in total, expected 2100' FROM gov HAVING count(*)<>2100
     UNION ALL SELECT 'E_REDZONE_NULL_INVARIANT_VIOLATED', team, 'redZoneTripsTotal ' || redZoneTripsTotal FROM spoiled WHERE (redZoneTdRate IS NULL)<>(redZoneTripsTotal=0)
     UNION ALL SELECT 'E_UNWEIGHTED_AGGREGATION_USED', team, 'redZoneTdRate' FROM spoiled WHERE redZoneTdRate IS DISTINCT FROM rightRate""")
 
@@ -580,25 +583,29 @@ def _documents(sql: dict[str, str]) -> None:
       WHEN 3 THEN '{refuse}metadata.governance.governanceSource must be explicit_marker.'
       ELSE 'Invalid governed team_week_raw_v0 artifact: metadata.deferredFields must include pressureRateAllowed.' END AS message
     FROM cand WHERE week<=4""")
-    sql["governed_row_problems"] = query(CANDIDATE, f"""SELECT {FILE} AS sourceFile,
-      'Invalid governed team_week_raw_v0 row at index 0: fantasy split field fantasyPointsForQB must be null when present and is stripped from the output.' AS message FROM cand""")
+    at = "Invalid governed team_week_raw_v0 row at index 0: "
+    refused = [f"('{f}', '{at}fantasy split field {f} must be null when present and is stripped from the output.')"
+               for f in METRICS if f.startswith("fantasy")]
+    refused.append(f"('pressureRateAllowed', '{at}pressureRateAllowed must be null/deferred, never inferred or zero-filled.')")
+    sql["governed_row_problems"] = query(CANDIDATE, f"""SELECT {FILE} AS sourceFile, message
+      FROM cand, (VALUES {', '.join(refused)}) AS v(field, message)""")
 
 
-def _table_level(rows: str) -> str:
+def _table_level(rows: str, missing: str, lines: str) -> str:
     return f"""
     UNION ALL SELECT team, 'duplicate team code ''' || team || ''' (' || count(*) || ' rows).' FROM {rows} GROUP BY team HAVING count(*)>1
-    UNION ALL SELECT team, 'Missing team: ' || team FROM league WHERE team NOT IN (SELECT team FROM {rows})
-    UNION ALL SELECT NULL, 'Expected 25 teams, found ' || count(*) || '.' FROM {rows} HAVING count(*)<>25"""
+    UNION ALL SELECT team, '{missing}: ' || team FROM league WHERE team NOT IN (SELECT team FROM {rows})
+    UNION ALL SELECT NULL, 'Expected 25 {lines}, found ' || count(*) || '.' FROM {rows} HAVING count(*)<>25"""
 
 
-def _rules(rows: str, rules) -> str:
+def _rules(rows: str, rules, missing: str = "Missing team", lines: str = "teams") -> str:
     """Row rules (condition, message tail as SQL) plus the rules common to the context tables."""
     at = "'Row ' || (season-2000) || ': '"
     common = [("season<>2011", "'season must equal 2011.'"),
               ("team NOT IN (SELECT team FROM league)", "'unknown team code ''' || team || '''.'")]
     return " UNION ALL ".join(
         f"SELECT team, {at} || {message} AS message FROM {rows} WHERE {cond}" for cond, message in common + rules
-    ) + _table_level(rows)
+    ) + _table_level(rows, missing, lines)
 
 
 def _contexts(sql: dict[str, str]) -> None:
@@ -620,7 +627,7 @@ parts AS (SELECT *, list_filter(l, lambda t: t IN ('stable_environment', 'red_zo
         ("len(l)>0", "'offensive_identity_tags must not contain duplicates.'"),
         ("latestWeek<12", "'positive_team_context_tags includes known risk tag(s).'"),
         ("list_contains(l, 'qb_friendly_matchup')", "'rookie_landing_context_tags must include all positive/risk tags.'"),
-    ]))
+    ], "Missing required team", "team rows"))
     sql["context_landing_problems"] = query(lists, _rules("parts", [
         ("list_contains(l, 'wr_slot_funnel_defense')", "'context_tags must match positive_context_tags + risk_context_tags.'"),
         ("games<12", "'invalid source_status ''draft''.'"),

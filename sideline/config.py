@@ -339,3 +339,8 @@ REPORT_RATES = {
 }
 REPORT_WITHHELD = ("pointsAgainst", "pressureRateAllowed", "passRate", "rushRate", "successRate",
                    "explosivePlayRate", "passEpaPerPlay", "rushEpaPerPlay")
+# Withheld rates whose denominators may not be approximated, and approved methods.
+REPORT_BLOCKED = ("passRate", "rushRate", "successRate", "explosivePlayRate", "passEpaPerPlay", "rushEpaPerPlay")
+REPORT_METHODOLOGIES = ("public_offensive_environment_2024_v1",)
+# The artifacts that profiles are made from.
+PROFILE_SOURCES = ("season_to_date.fantasy_environment.json", "season_to_date.team_power.json", "weekly_states.json")

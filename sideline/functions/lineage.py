@@ -1,5 +1,6 @@
 """Intermediate tables in the folder that all executors share."""
 
+import atexit
 import tempfile
 import uuid
 
@@ -18,6 +19,33 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_folders: list[str] = []
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove every intermediate table of this process; frames that read them are then unusable.
+
+    Call it when a run's results have been published. A process that ends normally does so by itself.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
+@atexit.register
+def _at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _folders else None
+    if spark is not None and not spark.sparkContext._jsc.sc().isStopped():
+        discard(spark)
+
+
+def owned(folder: str) -> str:
+    """Note a folder that goes with the intermediate tables."""
+    _folders.append(folder)
+    return folder
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -25,6 +53,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     columns it needs.
     """
     spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = owned(f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}")
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

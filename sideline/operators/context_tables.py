@@ -24,21 +24,23 @@ OFFENSE_ENUMS = {
     "source_status": ("operator_seeded", "public_data_pending", "validated_public_data"),
 }
 SEED_STATUSES = ("operator_seeded", "operator_seeded_unknown")
-CONTEXT_TEAMS = tuple(
-    "SF CLE TEN PHI LAR SEA PIT WAS JAX KC BUF NYG MIA CHI HOU NO NYJ ATL CAR TB BAL NE ARI".split()
+CONTEXT_TEAMS = (
+    "SF", "CLE", "TEN", "PHI", "LAR", "SEA", "PIT", "WAS", "JAX", "KC", "BUF", "NYG", "MIA", "CHI",
+    "HOU", "NO", "NYJ", "ATL", "CAR", "TB", "BAL", "NE", "ARI",
 )
-KNOWN_RISK_TAGS = tuple(
-    """low_pass_volume_risk role_specific_usage_dependency day2_49ers_skill_pick_hit_rate_caution
-    browns_offensive_volatility target_competition_between_rookies qb_environment_uncertainty
-    young_qb_development_dependency offense_environment_uncertainty depth_chart_volume_cap
-    target_concentration_ahead veteran_depth_chart_block delayed_start_path
-    shared_backfield_context workload_projection_risk qb_room_uncertainty steelers_wr_room_watch
-    role_projection_uncertainty round5_insulation_risk depth_chart_path_uncertain
-    delayed_te_translation_watch late_round_role_uncertainty depth_chart_dependency
-    role_competition_risk low_draft_capital_insulation profile_translation_risk
-    target_competition_cluster role_assignment_uncertainty target_hierarchy_uncertainty
-    offensive_line_dependency play_caller_transfer_uncertainty qb_context_uncertainty
-    scheme_transition_variance""".split()
+KNOWN_RISK_TAGS = (
+    "low_pass_volume_risk", "role_specific_usage_dependency",
+    "day2_49ers_skill_pick_hit_rate_caution", "browns_offensive_volatility",
+    "target_competition_between_rookies", "qb_environment_uncertainty",
+    "young_qb_development_dependency", "offense_environment_uncertainty", "depth_chart_volume_cap",
+    "target_concentration_ahead", "veteran_depth_chart_block", "delayed_start_path",
+    "shared_backfield_context", "workload_projection_risk", "qb_room_uncertainty",
+    "steelers_wr_room_watch", "role_projection_uncertainty", "round5_insulation_risk",
+    "depth_chart_path_uncertain", "delayed_te_translation_watch", "late_round_role_uncertainty",
+    "depth_chart_dependency", "role_competition_risk", "low_draft_capital_insulation",
+    "profile_translation_risk", "target_competition_cluster", "role_assignment_uncertainty",
+    "target_hierarchy_uncertainty", "offensive_line_dependency", "play_caller_transfer_uncertainty",
+    "qb_context_uncertainty", "scheme_transition_variance",
 )
 
 
@@ -50,6 +52,11 @@ class TableRules(NamedTuple):
     teams: Sequence[str] = config.LEAGUE_TEAMS
     exact: bool = True
 
+    @property
+    def texts(self) -> tuple[str, str]:
+        """How the table's messages call a missing team and the number of rows."""
+        return ("Missing required team", "team rows") if self.kind == "context" else ("Missing team", "teams")
+
 
 OFFENSE = TableRules("offense")
 CONTEXT = TableRules("context", teams=CONTEXT_TEAMS, exact=False)
@@ -68,7 +75,7 @@ def _filled(column: str) -> Rule:
     return Rule(f"coalesce({column}, '') = ''", _row(f"{column} must be a non-empty string."))
 
 
-def _tag_array(column: str, unique: bool = True) -> list[Rule]:
+def _tag_array(column: str, unique: bool = True, repeats: str = "must not contain duplicates.") -> list[Rule]:
     """An array of non-empty strings, without repeats."""
     rules = [
         Rule(f"{column} IS NULL", _row(f"{column} must be an array.")),
@@ -77,13 +84,14 @@ def _tag_array(column: str, unique: bool = True) -> list[Rule]:
     ]
     if unique:
         rules.append(Rule(f"size(array_distinct({column})) <> size({column})",
-                          _row(f"{column} must not contain duplicates.")))
+                          _row(f"{column} {repeats}")))
     return rules
 
 
 def _common(table: TableRules) -> list[Rule]:
+    whole = [Rule("season IS NULL OR season <> floor(season)", _row("season must be an integer."))]
     return [
-        Rule("season IS NULL OR season <> floor(season)", _row("season must be an integer.")),
+        *([] if table.kind == "context" else whole),
         Rule(f"NOT season <=> {table.season}", _row(f"season must equal {table.season}.")),
         Rule("coalesce(team, '') = ''", _row("team must be a non-empty string.")),
         Rule(f"team NOT IN ({_list(table.teams)})",
@@ -124,7 +132,7 @@ def _context_rules() -> list[Rule]:
 def _landing_rules() -> list[Rule]:
     rules = [_filled("team_name")]
     for c in ("context_tags", "positive_context_tags", "risk_context_tags"):
-        rules += _tag_array(c)
+        rules += _tag_array(c, repeats="must not include duplicate tags.")
     tags = "coalesce({}, array())".format
     both = f"array_union({tags('positive_context_tags')}, {tags('risk_context_tags')})"
     rules += [
@@ -157,22 +165,25 @@ def table_problems(df: DataFrame, table: TableRules) -> DataFrame:
     count) have rule -1.
     """
     spark = df.sparkSession
-    columns = column_problems(df, table)
-    if columns:
-        return spark.createDataFrame([(-1, None, c) for c in columns], "rule int, team string, message string")
+    found = [(-1, None, c) for c in column_problems(df, table)]
+    columns = spark.createDataFrame(found, "rule int, team string, message string")
+    # a missing column is a null in every row: all other rules still apply
+    wanted = schemas.context_schema(table.kind)
+    df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in wanted if f.name not in df.columns})
     rules = _common(table) + _RULES[table.kind]()
     by_row = quality.violations(df, rules, ["team"]).select("rule", "team", "message")
 
+    missing, lines = table.texts
     league = spark.createDataFrame([(t,) for t in table.teams], "team string")
     per_team = df.where("team IS NOT NULL").groupBy("team").agg(F.count(F.lit(1)).alias("n"))
     twice = per_team.where("n > 1").selectExpr(
         "-1 AS rule", "team", "concat('duplicate team code \\'', team, '\\' (', n, ' rows).') AS message"
     )
     absent = league.join(per_team, "team", "left_anti").selectExpr(
-        "-1 AS rule", "team", "concat('Missing team: ', team) AS message"
+        "-1 AS rule", "team", f"concat('{missing}: ', team) AS message"
     )
     size = df.agg(F.count(F.lit(1)).alias("n")).where(f"n <> {len(table.teams)}").selectExpr(
         "-1 AS rule", "string(NULL) AS team",
-        f"concat('Expected {len(table.teams)} teams, found ', n, '.') AS message",
+        f"concat('Expected {len(table.teams)} {lines}, found ', n, '.') AS message",
     )
-    return by_row.unionByName(twice).unionByName(absent).unionByName(size)
+    return columns.unionByName(by_row).unionByName(twice).unionByName(absent).unionByName(size)

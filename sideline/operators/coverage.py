@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sideline import config
+from sideline.functions.lineage import written
 
 
 class Expectation(NamedTuple):
@@ -54,6 +55,17 @@ def _listed(cells: DataFrame, problems: dict[str, tuple[str, str, str]]) -> Data
     )
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """Games per (team, week, season), written once; the checks below take it in place of rows."""
+    return written(_cells(rows), "cells")
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    if "_games" in rows.columns:
+        return rows
+    return rows.groupBy("team", "week", "season").agg(F.count(F.lit(1)).alias("_games"))
+
+
 def dense_problems(rows: DataFrame, expectation: Expectation) -> DataFrame:
     """Every expected team in every expected week, once; seasons are not looked at.
 
@@ -61,8 +73,8 @@ def dense_problems(rows: DataFrame, expectation: Expectation) -> DataFrame:
     instead of an anti-join per rule.
     """
     spark = rows.sparkSession
-    seen = rows.selectExpr("team", "week", "1 AS n", "0 AS planned")
-    planned = expected_grid(spark, expectation).selectExpr("team", "week", "0 AS n", "1 AS planned")
+    seen = _cells(rows).selectExpr("team", "week", "_games AS n", "0 AS planned")
+    planned = expected_grid(spark, expectation).selectExpr("team", "week", "0L AS n", "1 AS planned")
     cells = seen.unionByName(planned).groupBy("team", "week").agg(
         F.sum("n").alias("n"), F.max("planned").alias("planned")
     )
@@ -95,10 +107,11 @@ def dense_problems(rows: DataFrame, expectation: Expectation) -> DataFrame:
 def bye_aware_problems(rows: DataFrame, expectation: Expectation) -> DataFrame:
     """Every expected team with its exact number of games inside the window; a bye is no gap."""
     spark = rows.sparkSession
+    rows = rows if "_games" in rows.columns else counted(rows)
     games, season = expectation.games_per_team, expectation.season
-    seen = rows.selectExpr("team", "week", "season", "1 AS n", "0 AS planned")
+    seen = rows.selectExpr("team", "week", "season", "_games AS n", "0 AS planned")
     planned = expected_teams(spark, expectation).selectExpr(
-        "team", "int(NULL) AS week", f"{season} AS season", "0 AS n", "1 AS planned"
+        "team", "int(NULL) AS week", f"{season} AS season", "0L AS n", "1 AS planned"
     )
     per_season = seen.unionByName(planned).groupBy("team", "week", "season").agg(
         F.sum("n").alias("n"), F.max("planned").alias("planned")
@@ -136,7 +149,7 @@ def bye_aware_problems(rows: DataFrame, expectation: Expectation) -> DataFrame:
         },
     )
     wanted = len(expectation.teams) * games
-    total = rows.agg(F.count(F.lit(1)).alias("rows")).where(f"rows <> {wanted}").selectExpr(
+    total = rows.agg(F.coalesce(F.sum("_games"), F.lit(0)).alias("rows")).where(f"rows <> {wanted}").selectExpr(
         "'row_count' AS kind", "string(NULL) AS team", "int(NULL) AS week", "1L AS occurrences",
         f"concat('total row count (', rows, ') must equal {wanted} "
         "(expectedTeams.length * expectedGamesPerTeam)') AS message",
@@ -146,7 +159,7 @@ def bye_aware_problems(rows: DataFrame, expectation: Expectation) -> DataFrame:
 
 def coverage_summary(rows: DataFrame, problems: DataFrame, expectation: Expectation) -> DataFrame:
     """One row: valid, errorCount, errorsByKind, teamCount, totalRowCount, isFullLeague."""
-    teams = rows.groupBy("team").agg(F.count(F.lit(1)).alias("n")).selectExpr(
+    teams = _cells(rows).groupBy("team").agg(F.sum("_games").alias("n")).selectExpr(
         "string(NULL) AS kind", "1L AS teams", "n AS rows", "0L AS errors"
     )
     kinds = problems.groupBy("kind").agg(F.sum("occurrences").alias("errors")).selectExpr(

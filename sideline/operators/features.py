@@ -48,7 +48,7 @@ class FeatureOptions(NamedTuple):
     governance_source: str = "explicit_marker"
     promotion_notes: Sequence[str] | None = None
     owner: str = "team-environment"
-    consumer: str = "forecast-model"
+    consumer: str = "Point-prediction-model"
     output_kind: str = "model-legible-team-context"
 
 
@@ -77,14 +77,16 @@ def guard_problems(
     movement: DataFrame, season: int, expected: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows that cannot be published under one feature season: (rule, message)."""
+    # one read: the three rules share the counts per team and season
+    per = written(movement.groupBy("teamId", "season").agg(F.count(F.lit(1)).alias("n")), "guards")
     off = (
-        movement.where(f"season <> {season}").select("season").distinct()
+        per.where(f"season <> {season}").select("season").distinct()
         .agg(F.array_join(F.sort_array(F.collect_list("season")), ", ").alias("seasons"))
         .where("seasons <> ''")
         .selectExpr("0 AS rule", "concat('movement contains season(s) ', seasons, "
                     f"' not matching feature season {season}') AS message")
     )
-    per_team = movement.groupBy("teamId").agg(F.count(F.lit(1)).alias("n"))
+    per_team = per.groupBy("teamId").agg(F.sum("n").alias("n"))
     double = per_team.where("n > 1").selectExpr(
         "1 AS rule", "concat('duplicate team \"', teamId, '\" in movement input') AS message"
     )
@@ -113,10 +115,14 @@ def feature_rows(movement: DataFrame, options: FeatureOptions) -> DataFrame:
     )
 
 
-def build_features(movement: DataFrame, options: FeatureOptions) -> FeatureTable:
-    """Feature table of one season. Refuses other seasons, repeated teams and unknown teams."""
+def build_features(movement: DataFrame, options: FeatureOptions, stored: bool = False) -> FeatureTable:
+    """Feature table of one season. Refuses other seasons, repeated teams and unknown teams.
+
+    The guards, the header and the rows read ``movement``: it is written once, unless it is a
+    ``stored`` table already.
+    """
     o = options
-    movement = written(movement, "movement")  # read by the guards, the header and the rows
+    movement = movement if stored else written(movement, "movement")
     quality.require_clean(
         guard_problems(movement, o.feature_season, o.expected_teams), ["rule", "message"]
     )

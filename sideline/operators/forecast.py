@@ -13,12 +13,16 @@ from sideline.sources.governed import Consumption
 
 DEFAULT_CUTOFF = "2025-03-01T00:00:00.000Z"
 GRAIN = ("season", "week", "teamCode")
+# Fixed values of the contract: names on the consumer's side and the wording of the bind.
 JOIN_POSTURE = (
-    ("season", "input_season"),
-    ("teamCode", "player_input_season_team"),
-    ("week", "(aggregated away)"),
+    ("season", "input_season", "The input season binds to the forecast input season."),
+    ("teamCode", "player_input_season_team (team_2024)", "The team code binds to the player's input-season team."),
+    ("week", "(aggregated away)", "Team-weeks are summed to team-seasons before the player-season bind; week is no join key."),
 )
-# an instant needs its zone: Z or an offset
+JOIN_KEYS = ("player_input_season_team (team_2024)", "input_season")
+BINDING = ("Team-week aggregates may later bind to player-season rows by the player's input-season team and the "
+           "input season; that bind is not performed here.")
+# Fixed value: an instant needs its zone, Z or an offset.
 _ZONED = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}(:\\d{2})?(\\.\\d+)?(Z|[+-]\\d{2}:\\d{2})$"
 
 
@@ -126,17 +130,21 @@ def forecast_input(
             # rows are only described here; binding them to player seasons is left to the consumer
             "downstreamBinding": F.struct(
                 F.lit("team_week").alias("rowGrain"),
-                F.array(*[F.lit(k) for k in GRAIN]).alias("grainKeys"),
-                F.lit(False).alias("bindsHere"),
+                F.array(*[F.lit(k) for k in GRAIN]).alias("teamWeekGrainKeys"),
+                F.lit(False).alias("bindsToForecastHere"),
+                F.lit(BINDING).alias("playerSeasonBinding"),
+                F.array(*[F.lit(k) for k in JOIN_KEYS]).alias("joinKeysRequired"),
                 F.array(*[
-                    F.struct(F.lit(a).alias("field"), F.lit(b).alias("consumerField"))
-                    for a, b in JOIN_POSTURE
+                    F.struct(F.lit(a).alias("field"), F.lit(b).alias("forecastField"), F.lit(note).alias("note"))
+                    for a, b, note in JOIN_POSTURE
                 ]).alias("fieldMapping"),
             ),
             "pressureForecastPosture": F.lit("unavailable_insufficient_data_deferred_excluded"),
             "fantasySplitPosture": F.struct(
                 F.lit("absent_excluded_from_forecast_use").alias("status"),
                 F.array(*[F.lit(f) for f in schemas.FANTASY_FIELDS]).alias("fields"),
+                F.lit(False).alias("presentInForecastInputColumns"),
+                F.lit(False).alias("presentInRows"),
             ),
             "targetLeakageStatus": F.lit("no_target_future_leakage_fields_emitted_as_input"),
         }
@@ -159,14 +167,17 @@ def column_evidence(profile: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def team_evidence(rows: DataFrame, teams: Sequence[str] = config.LEAGUE_TEAMS) -> DataFrame:
-    """One row: present and missing teams against the league."""
+    """One row: present and missing teams against the league. Only expected teams are listed by
+    name, so the lists are as long as the league; ``unexpected_teams`` has the others as rows."""
     league = F.array(*[F.lit(t) for t in teams])
+    known = F.when(F.col("team").isin(list(teams)), F.col("team"))
     present = rows.groupBy("team").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sort_array(F.collect_list("team")).alias("presentTeams"),
+        F.sort_array(F.collect_list(known)).alias("presentTeams"),
+        F.count(F.lit(1)).cast("int").alias("teamCount"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rowCount"),
     )
     return present.select(
-        F.size("presentTeams").alias("teamCount"), "rowCount", "presentTeams",
+        "teamCount", "rowCount", "presentTeams",
         F.array_except(league, "presentTeams").alias("missingTeams"),
     ).withColumn(
         "coversLeague",
@@ -174,11 +185,16 @@ def team_evidence(rows: DataFrame, teams: Sequence[str] = config.LEAGUE_TEAMS) -
     )
 
 
+def unexpected_teams(rows: DataFrame, teams: Sequence[str] = config.LEAGUE_TEAMS) -> DataFrame:
+    """Teams outside the league with their number of rows."""
+    return rows.where(~F.col("team").isin(list(teams))).groupBy("team").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def coverage_evidence(
     used: Consumption, artifact: DataFrame, checksum: str | None = None,
     teams: Sequence[str] = config.LEAGUE_TEAMS, expected_rows: int = 544,
 ) -> DataFrame:
-    """One row: source markers, covered teams, emitted columns and null counts per column."""
+    """One row of blocks: source, input, emitted, nullSemantics and forecastGateProjection."""
     a = artifact.first()
     accepted = set(a["forecastInputColumns"])
     columns = [
@@ -190,21 +206,35 @@ def coverage_evidence(
         for f in a["fieldReadiness"]
     ]
     up = used.upstream
-    return team_evidence(used.rows, teams).withColumns(
-        {
-            "kind": F.lit(f"{config.ARTIFACT_RAW}_forecast_input_coverage_evidence"),
-            "sourceArtifactPath": F.lit(up["sourceArtifactPath"]),
-            "sha256": F.lit(checksum).cast("string"),
-            "governanceStatus": F.lit(up["governanceStatus"]),
-            "governanceSource": F.lit(up["governanceSource"]),
-            "provenanceStatus": F.lit(up["provenanceStatus"]),
-            "season": F.lit(up["season"]).cast("int"),
-            "expectedTeamCount": F.lit(len(teams)),
-            "expectedRowCount": F.lit(expected_rows),
-            "isFullLeague": F.lit(a["coverage"]["isFullLeague"]),
-            "readinessStatus": F.lit(a["readinessStatus"]),
-            "forecastInputColumns": F.array(*[F.lit(c) for c in a["forecastInputColumns"]]),
-            "forecastInputColumnCount": F.lit(len(accepted)),
-            "perColumn": F.array(*columns),
-        }
+    source = {
+        "sourceArtifactPath": up["sourceArtifactPath"], "sourceArtifactId": config.ARTIFACT_RAW, "sha256": checksum,
+        **{k: up[k] for k in ("governanceStatus", "governanceSource", "provenanceStatus", "validationReportPath",
+                              "lineageManifestPath")},
+    }
+    text = lambda v: F.lit(v).cast("string")
+    covers = f"{len(teams)}/{len(teams)}"
+    return team_evidence(used.rows, teams).select(
+        F.lit(f"{config.ARTIFACT_RAW}_forecast_input_coverage_evidence").alias("kind"),
+        F.struct(*[text(v).alias(k) for k, v in source.items()]).alias("source"),
+        F.struct(
+            F.lit(up["season"]).cast("int").alias("season"), F.lit("team_week").alias("rowGrain"), "teamCount",
+            "rowCount", F.lit(len(teams)).alias("expectedTeamCount"), F.lit(expected_rows).alias("expectedRowCount"),
+            F.lit(a["coverage"]["isFullLeague"]).alias("isFullLeague"), "presentTeams", "missingTeams",
+        ).alias("input"),
+        F.struct(
+            F.lit(a["readinessStatus"]).alias("readinessStatus"), F.lit(a["teamCount"]).alias("teamCount"),
+            F.lit("team_week").alias("rowGrain"), F.lit(a["rowCount"]).alias("preAggregationRowCount"),
+            F.array(*[F.lit(c) for c in a["forecastInputColumns"]]).alias("forecastInputColumns"),
+            F.lit(len(accepted)).alias("forecastInputColumnCount"),
+        ).alias("emitted"),
+        F.struct(
+            F.array(*columns).alias("perColumn"),
+            F.lit("unavailable_insufficient_data_deferred_excluded").alias("pressureDisposition"),
+            F.lit("absent_excluded_from_forecast_use").alias("fantasySplitDisposition"),
+            F.lit(True).alias("noSilentZeroFill"),
+        ).alias("nullSemantics"),
+        F.struct(
+            F.lit(covers).alias("expectedTeamCoverage"), F.col("coversLeague").alias("coversAllTeams"),
+            F.array().cast("array<string>").alias("knownBlockers"), F.lit(True).alias("doNotRunForecast"),
+        ).alias("forecastGateProjection"),
     )

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sideline import config
+from sideline import config, schemas
+from sideline.functions.lineage import written
 from sideline.functions.numeric import exact_round, is_finite, lit
 from sideline.operators.ranking import origin_order
 
@@ -35,10 +36,7 @@ def _edge(states: DataFrame, late: bool) -> DataFrame:
     The limit on row_number lets every map task keep three rows of a team-season and drop the rest
     before the shuffle.
     """
-    order = [F.col("week").asc(), *origin_order(states)]
-    if late:
-        order = [F.col("week").desc(), *[F.desc(c) for c in ("sourceFile", "rowIndex")
-                                         if c in states.columns]]
+    order = [F.col("week").desc() if late else F.col("week").asc(), *origin_order(states, late)]
     window = Window.partitionBy(*_KEYS).orderBy(*order)
     return (
         states.withColumn("place", F.row_number().over(window))
@@ -54,7 +52,13 @@ def _mean(side: str, metric: str) -> str:
 
 
 def edge_windows(states: DataFrame) -> DataFrame:
-    """Per team-season: the rows of the early and of the late window, in week order."""
+    """Per team-season: the rows of the early and of the late window, in week order.
+
+    Keys and metrics are written once; the counts and both edges read that narrow table, so the
+    facts behind ``states`` are evaluated a single time.
+    """
+    origin = [c for c in schemas.ORIGIN if c in states.columns]
+    states = written(states.select(*_KEYS, "week", *origin, *_METRICS), "windows")
     edges = _edge(states, late=False).unionByName(_edge(states, late=True))
     # at most three rows per side are collected
     sides = edges.groupBy(*_KEYS).agg(

@@ -61,19 +61,20 @@ def _input_source(path: Column) -> Column:
     )
 
 
-def _distinct(column: str, order: bool = True) -> Column:
-    return F.sort_array(F.collect_set(column)).alias(column)
-
-
 def movement_metadata(
-    states: DataFrame, path: str | None, marker: str | None, teams=config.LEAGUE_TEAMS
+    states: DataFrame, path: str | None, marker: str | None, teams=config.LEAGUE_TEAMS,
+    generated_at: str | None = None,
 ) -> DataFrame:
-    """One row: provenance, input source and coverage of a movement run."""
-    per_week = states.select("team", "season", "week").distinct()
-    sets = per_week.agg(
-        _distinct("team").alias("teams"), _distinct("season").alias("seasons"),
-        _distinct("week").alias("weeks"),
-    )
+    """One row: artifact name, time, provenance, input source and coverage of a movement run.
+
+    The lists are as long as there are different teams, seasons and weeks.
+    """
+    # teams, seasons and weeks are told apart before they are listed: no list holds a value twice
+    each = states.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("of"), F.col(c).cast("string").alias("value")) for c in ("team", "season", "week")
+    ])).alias("x")).select("x.*").distinct()
+    of = lambda c, kind: F.sort_array(F.collect_list(F.when(F.col("of") == c, F.col("value").cast(kind))))
+    sets = each.agg(of("team", "string").alias("teams"), of("season", "int").alias("seasons"), of("week", "int").alias("weeks"))
     league = F.array(*[F.lit(t) for t in teams])
     full = (F.size("teams") == len(teams)) & (F.size(F.array_except("teams", league)) == 0)
     sets = sets.select(
@@ -81,6 +82,7 @@ def movement_metadata(
         F.array_max("weeks").alias("latestWeek"), full.alias("isFullLeague"),
     )
     return sets.select(
+        F.lit(config.ARTIFACT_MOVEMENT_V0).alias("artifact"), F.lit(generated_at).cast("string").alias("generatedAt"),
         movement_provenance(_text(path), _text(marker), F.col("isFullLeague")).alias("provenanceStatus"),
         _input_source(_text(path)).alias("inputSources"),
         F.struct(*sets.columns).alias("coverage"),
@@ -90,7 +92,7 @@ def movement_metadata(
 def movement_governance(metadata: DataFrame, marker: str | None, generated_at: str) -> DataFrame:
     """Add the governance block of movement v1."""
     blocks = governance_columns(F.col("provenanceStatus"), _text(marker))
-    return metadata.withColumn(
+    return metadata.withColumns({"artifact": F.lit(config.ARTIFACT_MOVEMENT_V1), "generatedAt": F.lit(generated_at)}).withColumn(
         "governance",
         F.struct(
             blocks["governanceStatus"].alias("governanceStatus"),
@@ -114,12 +116,13 @@ def profile_metadata(
     ``weeks`` are the latest weeks of the team-seasons, not all played weeks.
     """
     league = F.array(*[F.lit(t) for t in teams])
-    sets = seasons.agg(
-        _distinct("team").alias("presentTeams"),
-        _distinct("season").alias("seasons"),
-        _distinct("latestWeek").alias("weeks"),
-        F.min("games").alias("gamesPerTeamMin"),
-        F.max("games").alias("gamesPerTeamMax"),
+    each = seasons.select("games", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("of"), F.col(c).cast("string").alias("value")) for c in ("team", "season", "latestWeek")
+    ])).alias("x")).groupBy("x.of", "x.value").agg(F.min("games").alias("low"), F.max("games").alias("high"))
+    of = lambda c, kind: F.sort_array(F.collect_list(F.when(F.col("of") == c, F.col("value").cast(kind))))
+    sets = each.agg(
+        of("team", "string").alias("presentTeams"), of("season", "int").alias("seasons"), of("latestWeek", "int").alias("weeks"),
+        F.min("low").alias("gamesPerTeamMin"), F.max("high").alias("gamesPerTeamMax"),
     )
     sets = sets.select(
         F.size("presentTeams").alias("teamCount"),
@@ -142,6 +145,8 @@ def profile_metadata(
         )
     )
     return sets.select(
+        F.lit(config.ARTIFACT_PROFILES).alias("artifact"),
+        F.array(*[F.lit(x) for x in config.PROFILE_SOURCES]).alias("sourceArtifacts"),
         profile_provenance(_text(path), _text(marker), F.col("isFullLeague")).alias("provenanceStatus"),
         notes.alias("provenanceNotes"),
         F.lit(generated_at).alias("generatedAt"),

@@ -11,9 +11,10 @@ from sideline.functions.numeric import exact_round
 from sideline.functions.text import locale_order
 
 
-def origin_order(df: DataFrame) -> list[Column]:
-    """Input order as the last tie-break, where the frame knows it."""
-    return [F.col(c).asc() for c in schemas.ORIGIN if c in df.columns]
+def origin_order(df: DataFrame, backwards: bool = False) -> list[Column]:
+    """Input order as the last tie-break, where the frame knows it: files by locale, then position."""
+    keys = [locale_order(F.col(c)) if c == "sourceFile" else F.col(c) for c in schemas.ORIGIN if c in df.columns]
+    return [k.desc() if backwards else k.asc() for k in keys]
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
@@ -51,11 +52,11 @@ def _origin(df: DataFrame) -> list[str]:
     return [c for c in schemas.ORIGIN if c in df.columns]
 
 
-def _published(ranked: DataFrame, *extra: str) -> DataFrame:
+def _published(ranked: DataFrame, *extra: str, text: bool = True) -> DataFrame:
     """Two-digit score next to the rank, which was taken on the unrounded value."""
     return ranked.selectExpr(
-        *extra, "team", "season", "week", f"{exact_round('value', 2)} AS score", "rank", "tags",
-        "summary",
+        *extra, "team", "season", "week", f"{exact_round('value', 2)} AS score", "rank",
+        *(["tags", "summary"] if text else []),
     )
 
 
@@ -64,19 +65,32 @@ def rank_states(
     rankings: dict[str, str] = config.WEEKLY_RANKINGS,
     descending: bool = True,
     latest_week: bool = False,
+    text: bool = True,
 ) -> DataFrame:
     """Rank team-weeks by several columns at once: value, season desc, week desc, team.
 
     ``latest_week`` ranks only the last week of each season (and leaves the week out of the key).
+    Without ``text`` only keys and values are evaluated and sorted. With it, a single ranking takes
+    tags and summary along; several rankings sort keys and values only and attach the text
+    afterwards, by row, from the states as they were written once.
     """
-    rows = filter_latest_week(states) if latest_week else states
-    keep = ["team", "season", "week", "tags", "summary", *_origin(states)]
+    origin, carried = _origin(states), ["tags", "summary"] if text else []
+    rows = states.select("team", "season", "week", *carried, *origin, *dict.fromkeys(rankings.values()))
+    apart = text and len(rankings) > 1
+    if apart or latest_week:
+        rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "states")
+    whole = rows
+    rows = filter_latest_week(rows) if latest_week else rows
+    keep = ["team", "season", "week", *(["_row"] if apart else carried), *origin]
     order = [F.desc("value") if descending else F.asc("value"), F.desc("season")]
     if not latest_week:
         order.append(F.desc("week"))
     order += [locale_order(F.col("team")).asc(), *origin_order(states)]
     melted = melt_rankings(rows, rankings, keep)
-    return _published(number_rows(melted, order, by=["ranking"]), "ranking")
+    ranked = number_rows(melted, order, by=["ranking"])
+    if apart:
+        ranked = ranked.join(whole.select("_row", *carried), "_row")
+    return _published(ranked, "ranking", text=text)
 
 
 def rank_by(states: DataFrame, column: str, descending: bool = True) -> DataFrame:
@@ -90,6 +104,6 @@ def latest_weeks(rows: DataFrame) -> DataFrame:
 
 
 def filter_latest_week(states: DataFrame) -> DataFrame:
-    """Rows of the last week of their season."""
+    """Rows of the last week of their season. Reads ``states`` twice: hand it a stored table."""
     last = latest_weeks(states).withColumnRenamed("latestWeek", "week")
     return states.join(last, ["season", "week"], "left_semi").select(*states.columns)

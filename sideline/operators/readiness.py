@@ -58,10 +58,15 @@ def _literals(values: dict) -> dict:
     return out
 
 
+def coverage_problems(used: Consumption, expectation: coverage.Expectation = coverage.FULL_SEASON_2024) -> DataFrame:
+    """The coverage problems of a report, one row each: what its ``coverage`` block counts by kind."""
+    return coverage.bye_aware_problems(used.rows, expectation)
+
+
 def _coverage_report(used: Consumption, expectation: coverage.Expectation) -> DataFrame:
-    """One row with the coverage summary; the problems themselves stay a frame of their own."""
-    problems = coverage.bye_aware_problems(used.rows, expectation)
-    return coverage.coverage_summary(used.rows, problems, expectation)
+    """One row with the coverage summary; ``coverage_problems`` lists the problems themselves."""
+    cells = coverage.counted(used.rows)
+    return coverage.coverage_summary(cells, coverage.bye_aware_problems(cells, expectation), expectation)
 
 
 def dry_run(used: Consumption, expectation: coverage.Expectation = coverage.FULL_SEASON_2024) -> DataFrame:

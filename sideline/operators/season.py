@@ -96,9 +96,13 @@ def season_order(value: Column, with_week: bool = True) -> list[Column]:
     return [value, F.desc("season"), *week, locale_order(F.col("team")).asc()]
 
 
+def publication_order() -> list[Column]:
+    """Order of the aggregates: season desc, latest week desc, team."""
+    return [F.desc("season"), F.desc("latestWeek"), locale_order(F.col("team")).asc()]
+
+
 def ordered_seasons(seasons: DataFrame) -> DataFrame:
-    """Publication order of the aggregates: season desc, latest week desc, team."""
-    return seasons.orderBy(F.desc("season"), F.desc("latestWeek"), locale_order(F.col("team")))
+    return seasons.orderBy(*publication_order())
 
 
 def rank_seasons(

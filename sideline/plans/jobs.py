@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sideline import config
+from sideline import config, schemas
 from sideline.functions.lineage import written
 from sideline.functions.session import prepare
 from sideline.operators import coverage, features, forecast, movement, profiles, provenance
@@ -37,24 +37,24 @@ def distinct_seasons(rows: DataFrame) -> DataFrame:
 
 
 def run_metadata(
-    rows: DataFrame, sliced: DataFrame, season_: int | None = None, week: int | None = None,
+    rows: DataFrame, season_: int | None = None, week: int | None = None,
     source_path: str | None = None, source_files: int | None = None,
     generated_at: str | None = None,
 ) -> DataFrame:
-    """One row of counts, seasons and last weeks. Mapping keeps every row, so the mapped count is
-    the source count."""
-    counts = rows.groupBy("season").agg(F.count(F.lit(1)).alias("n")).selectExpr(
-        "int(NULL) AS season", "int(NULL) AS latestWeek", "n AS source", "0L AS kept"
+    """One row of counts, seasons and last weeks, from one aggregate per season. Mapping keeps every
+    row, so the mapped count is the source count."""
+    inside = F.lit(True) if season_ is None else F.col("season") == season_
+    inside = inside if week is None else inside & (F.col("week") <= week)
+    per = rows.groupBy("season").agg(
+        F.count(F.lit(1)).alias("source"), F.count_if(inside).alias("kept"),
+        F.max(F.when(inside, F.col("week"))).cast("int").alias("latestWeek"),
     )
-    kept = sliced.groupBy("season").agg(
-        F.max("week").alias("latestWeek"), F.count(F.lit(1)).alias("kept")
-    ).selectExpr("season", "int(latestWeek) AS latestWeek", "0L AS source", "kept")
-    seasons = F.when(F.col("season").isNotNull(), F.struct("season", "latestWeek"))
-    return counts.unionByName(kept).agg(
-        F.sum("source").alias("sourceRowCount"),
-        F.sum("source").alias("mappedRowCount"),
-        F.sum("kept").alias("filteredRowCount"),
-        F.sort_array(F.collect_list("season"), asc=False).alias("seasonsIncluded"),
+    seasons = F.when(F.col("kept") > 0, F.struct("season", "latestWeek"))
+    return per.agg(
+        F.coalesce(F.sum("source"), F.lit(0)).alias("sourceRowCount"),
+        F.coalesce(F.sum("source"), F.lit(0)).alias("mappedRowCount"),
+        F.coalesce(F.sum("kept"), F.lit(0)).alias("filteredRowCount"),
+        F.sort_array(F.collect_list(F.when(F.col("kept") > 0, F.col("season"))), asc=False).alias("seasonsIncluded"),
         F.map_from_entries(F.sort_array(F.collect_list(seasons))).alias("latestWeekBySeason"),
     ).withColumns(
         {
@@ -114,7 +114,7 @@ def analyse(
     seasons = written(season.team_seasons(states), "seasons")
     moved = written(movement.movement_v0(states), "movement")
     stamp = generated_at or ""
-    movement_md = provenance.movement_metadata(states, source_path, marker)
+    movement_md = provenance.movement_metadata(states, source_path, marker, generated_at=stamp)
     return Run(
         states=states,
         weekly=ranking.rank_states(states),
@@ -131,7 +131,7 @@ def analyse(
         movement_v0=moved,
         movement_v1=movement.movement_v1(moved),
         movement_metadata=provenance.movement_governance(movement_md, marker, stamp),
-        metadata=run_metadata(rows, sliced, season_, week, source_path, source_files, generated_at),
+        metadata=run_metadata(rows, season_, week, source_path, source_files, generated_at),
     )
 
 
@@ -191,16 +191,24 @@ def run_documents(
     generated_at: str | None = None,
 ) -> Run:
     """Load JSON documents and analyse them."""
-    docs = documents.scan_documents(spark, path)
+    docs = documents.parsed_once(documents.scan_documents(spark, path))
     return analyse(
         documents.load_rows(docs), season_, week, path, docs.count(),
         documents.declared_provenance(docs), generated_at,
     )
 
 
-def candidate_report(spark: SparkSession, path: str, expectation=coverage.FULL_SEASON_2024) -> DataFrame:
+class Rehearsal(NamedTuple):
+    """Report of a candidate document, and the coverage problems that its counts stand for."""
+
+    report: DataFrame
+    problems: DataFrame
+
+
+def candidate_report(spark: SparkSession, path: str, expectation=coverage.FULL_SEASON_2024) -> Rehearsal:
     """Rehearsal report of a candidate document."""
-    return readiness.rehearse(governed.consume_candidate(documents.scan_documents(spark, path)), expectation)
+    used = governed.consume_candidate(documents.scan_documents(spark, path))
+    return Rehearsal(readiness.rehearse(used, expectation), readiness.coverage_problems(used, expectation))
 
 
 class ForecastRun(NamedTuple):
@@ -210,6 +218,7 @@ class ForecastRun(NamedTuple):
     rows: DataFrame
     evidence: DataFrame
     manifest: DataFrame
+    problems: DataFrame
 
 
 def governed_export(
@@ -228,10 +237,11 @@ def governed_export(
             len(expectation.teams) * expectation.games_per_team,
         ),
         checksum.manifest(used, digest),
+        readiness.coverage_problems(used, expectation),
     )
 
 
-# neutral placeholder metrics, the same for every team and week
+# Neutral placeholder metrics, the same for every team and week.
 PLACEHOLDER_METRICS = {
     "pointsFor": 21, "pointsAgainst": 21, "offensivePlays": 64, "neutralPlays": 44,
     "secondsPerPlay": 28, "passRate": 0.5, "neutralPassRate": 0.5, "rushRate": 0.5,
@@ -246,8 +256,6 @@ PLACEHOLDER_METRICS = {
 
 def scaffold_features(spark: SparkSession, options: features.FeatureOptions) -> features.FeatureTable:
     """Placeholder league through the whole chain to the feature table."""
-    from sideline import schemas
-
     grid = coverage.league_grid(
         spark, PLACEHOLDER_METRICS, options.feature_season,
         options.expected_teams or config.LEAGUE_TEAMS,

@@ -12,16 +12,12 @@ from sideline.functions.session import prepare
 from sideline.functions.text import normalized_path, path_type
 from sideline.operators import context_tables, coverage, features, forecast, movement, profiles
 from sideline.operators import provenance, quality, ranking, readiness, scoring, season, season_report
-from sideline.plans import jobs
+from sideline.plans import jobs, lanes
 from sideline.sources import documents, governed, star_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 _GRAIN = ("season", "week", "team")
-NATIONS = tuple(f"NATION_{i}" for i in range(25))
-# one team too many, one too few, and a window that ends a week early: every rule has cases
-LEAGUE = coverage.Expectation(
-    tuple(t for t in NATIONS if t != "NATION_3") + ("NATION_X",), tuple(range(1, 12)), 12, 2011
-)
+NATIONS, LEAGUE = lanes.NATIONS, lanes.LEAGUE
 PROFILE_PATH = "./export/data/sample/season.json"
 
 
@@ -115,14 +111,15 @@ def _rank_all(latest: bool) -> Query:
     """All seven rankings from one sort."""
 
     def run(spark, folder):
-        ranked = ranking.rank_states(_states(spark, folder), latest_week=latest)
+        ranked = ranking.rank_states(_states(spark, folder), latest_week=latest, text=False)
         return ranked.select("ranking", "rank", "season", "week", "team", "score")
 
     return run
 
 
 def _rank_volatility_asc(spark, folder):
-    ranked = ranking.rank_by(_states(spark, folder), "volatilityScore", descending=False)
+    ranked = ranking.rank_states(
+        _states(spark, folder), {"volatilityScore": "volatilityScore"}, descending=False, text=False)
     return ranked.select("rank", "season", "week", "team", "score")
 
 
@@ -203,16 +200,15 @@ def _scope(spark, folder):
 
 
 def _run_metadata(spark, folder):
-    rows = _rows(spark, folder)
-    sliced = jobs.slice_rows(rows, 2011, 5)
-    return jobs.run_metadata(rows, sliced, 2011, 5).selectExpr(
+    return jobs.run_metadata(_rows(spark, folder), 2011, 5).selectExpr(
         "sourceRowCount", "mappedRowCount", "filteredRowCount", "selectedSeason", "selectedWeek",
         _numbers("seasonsIncluded"), _BY_SEASON,
     )
 
 
 def _slice(spark, folder):
-    return jobs.slice_rows(_rows(spark, folder), 2011, 5).select(*schemas.KEYS, "pointsFor")
+    rows = star_schema.team_weeks(spark, folder, season=2011, last_week=5)
+    return jobs.slice_rows(rows, 2011, 5).select(*schemas.KEYS, "pointsFor")
 
 
 # --- movement, profiles, features ---
@@ -307,7 +303,8 @@ def _feature_guards(spark, folder):
 
 def _feature_table(spark, folder):
     """Feature table of one season, built with its guards."""
-    moved = jobs.slice_rows(_movement_v1_frame(spark, folder), 2011)
+    rows = jobs.slice_rows(star_schema.team_weeks(spark, folder, season=2011), 2011)
+    moved = movement.movement_v1(movement.movement_v0(scoring.score_rows(rows)))
     table = features.build_features(moved, _options())
     return table.header.selectExpr(
         "artifact", "featureSeason", "targetSeason", "governance.governanceStatus AS governanceStatus",
@@ -320,7 +317,7 @@ def _feature_table(spark, folder):
 def _feature_problems(spark, folder):
     """Validator over all seasons at once: wrong team count, and offense_tier spoiled by strength."""
     moved = written(_movement_v1_frame(spark, folder), "movement")
-    one = features.build_features(jobs.slice_rows(moved, 2011), _options())
+    one = features.build_features(jobs.slice_rows(moved, 2011), _options(), stored=True)
     spoiled = features.feature_rows(moved, _options()).withColumn(
         "features",
         F.col("features").withField(
@@ -349,7 +346,7 @@ def _coverage(build) -> Query:
 
 def _coverage_summary(build) -> Query:
     def run(spark, folder):
-        rows = _rows(spark, folder)
+        rows = coverage.counted(_rows(spark, folder))
         return coverage.coverage_summary(rows, build(rows, LEAGUE), LEAGUE).selectExpr(
             "valid", "errorCount", "teamCount", "totalRowCount", "isFullLeague",
             "array_join(transform(map_entries(errorsByKind), e -> concat(e.key, ':', e.value)), ',')"
@@ -400,7 +397,7 @@ def _report(spark, folder):
 
 
 def _report_problems(spark, folder):
-    rows = star_schema.governed_weeks(spark, folder)
+    rows = written(star_schema.governed_weeks(spark, folder), "governed")
     report = season_report.season_report(rows)
     spoiled = report.withColumn("redZoneTdRate", F.expr("if(drivesTotal % 7 = 0, NULL, redZoneTdRate)"))
     return season_report.report_problems(
@@ -512,8 +509,7 @@ def _governed_gate(spark, folder):
 def _governed_row_problems(spark, folder):
     """Production rows read as governed ones: fantasy and pressure values are refused."""
     docs = envelope_documents(star_schema.candidate_weeks(spark, folder), _GOVERNED_MD)
-    found = governed.row_violations(docs, quality.governed_rules())
-    return quality.first_violations(found, ["sourceFile"]).select("sourceFile", "message")
+    return governed.row_violations(docs, quality.governed_rules()).select("sourceFile", "message")
 
 
 # --- context tables made of the team-seasons ---
@@ -680,4 +676,5 @@ def queries() -> dict[str, Query]:
             "cutoff_status": _cutoffs,
         }
     )
+    found |= lanes.queries()
     return {name: _prepared(query) for name, query in found.items()}

@@ -4,7 +4,7 @@ A document is one JSON value per file, so a file is the unit of parallelism here
 belong in parquet or JSON lines with the canonical columns (``read_table_rows``).
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,13 +20,27 @@ _ENVELOPE = (
 )
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(where) and files.getFileStatus(where).isFile()
+
+
+def plain_path(uri: Column) -> Column:
+    """A file's address as a path: no file: scheme, no percent escapes."""
+    text = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(text, "^file:(//)?(?=/)", "")
+
+
 def scan_documents(spark: SparkSession, path: str) -> DataFrame:
-    """All ``*.json`` files of a file or folder (any case, not recursive): (sourceFile, text)."""
+    """One file of any name, or all ``*.json`` files of a folder (any case, not recursive):
+    (sourceFile, text)."""
+    only = {} if _is_file(spark, path) else {"pathGlobFilter": "*.[jJ][sS][oO][nN]"}
     docs = (
-        spark.read.text(path, wholetext=True, pathGlobFilter="*.[jJ][sS][oO][nN]")
-        .select(F.col("_metadata.file_path").alias("sourceFile"), F.col("value").alias("text"))
+        spark.read.text(path, wholetext=True, **only)
+        .select(plain_path(F.col("_metadata.file_path")).alias("sourceFile"), F.col("value").alias("text"))
     )
-    if docs.isEmpty():
+    if not docs.inputFiles():
         raise QualityError(f"No .json files found in input directory: {path}")
     return docs
 
@@ -68,9 +82,14 @@ def document_rules() -> list[quality.Rule]:
     ]
 
 
-def _exploded(parsed: DataFrame, texts: str, schema: StructType, keep=()) -> DataFrame:
-    """One row per record: its typed fields, and ``raw`` with the text of every key present."""
+def _exploded(parsed: DataFrame, texts: str, schema: StructType, keep=(), spread: bool = False) -> DataFrame:
+    """One row per record: its typed fields, and ``raw`` with the text of every key present.
+
+    ``spread`` deals the records of a document to all tasks before their fields are parsed.
+    """
     rows = parsed.selectExpr("sourceFile", *keep, f"posexplode({texts}) AS (rowIndex, record)")
+    if spread:
+        rows = rows.repartition("sourceFile", "rowIndex")
     # a generator parses each record once, however many rules read its fields
     fields = f"from_json(record, 'array<struct<{schema.toDDL()}>>', {_STRICT_JSON})"
     return rows.selectExpr(
@@ -81,17 +100,17 @@ def _exploded(parsed: DataFrame, texts: str, schema: StructType, keep=()) -> Dat
     )
 
 
-def array_records(parsed: DataFrame) -> DataFrame:
+def array_records(parsed: DataFrame, spread: bool = False) -> DataFrame:
     """Records of array documents, in snake_case."""
-    return _exploded(parsed.where("isArray"), "arrayRows", schemas.RAW_ROW)
+    return _exploded(parsed.where("isArray"), "arrayRows", schemas.RAW_ROW, spread=spread)
 
 
-def envelope_records(parsed: DataFrame) -> DataFrame:
+def envelope_records(parsed: DataFrame, spread: bool = False) -> DataFrame:
     """Records of envelope documents, in camelCase, with the declared provenance."""
     texts = f"from_json(rows, 'array<string>', {_STRICT_JSON})"
     status = "get_json_object(metadata, '$.provenanceStatus') AS provenanceStatus"
     docs = parsed.where("isEnvelope").selectExpr("*", status)
-    return _exploded(docs, texts, schemas.ENVELOPE_ROW, ["provenanceStatus"])
+    return _exploded(docs, texts, schemas.ENVELOPE_ROW, ["provenanceStatus"], spread)
 
 
 def _renamed(records: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -124,21 +143,27 @@ def raw_violations(parsed: DataFrame) -> DataFrame:
     return _violations(parsed, array_records(parsed), envelope_records(parsed))
 
 
+def parsed_once(docs: DataFrame) -> DataFrame:
+    """Parsed documents as a stored table: their texts are read and parsed a single time."""
+    return docs if "malformed" in docs.columns else written(parse_documents(docs), "documents")
+
+
 def load_rows(docs: DataFrame) -> DataFrame:
     """Canonical rows of checked documents, with their file and position. Raises on the first error.
 
-    The records are read by the check and by every later step, so they are parsed once and kept.
+    Documents and records are read by the check and by every later step, so both are parsed once and
+    kept. ``docs`` are scanned or already parsed documents.
     """
-    parsed = parse_documents(docs)
-    arrays = written(array_records(parsed), "arrays")
-    envelopes = written(envelope_records(parsed), "envelopes")
+    parsed = parsed_once(docs)
+    arrays = written(array_records(parsed, spread=True), "arrays")
+    envelopes = written(envelope_records(parsed, spread=True), "envelopes")
     quality.require_clean(_violations(parsed, arrays, envelopes), schemas.ORIGIN)
     return canonical_from_array(arrays).unionByName(canonical_from_envelope(envelopes))
 
 
 def declared_provenance(docs: DataFrame) -> str | None:
     """Provenance of the last file, in name order, that declares one."""
-    declared = parse_documents(docs).selectExpr(
+    declared = parsed_once(docs).selectExpr(
         "sourceFile", "get_json_object(metadata, '$.provenanceStatus') AS status"
     )
     key = F.collate(F.col("sourceFile"), "UNICODE")
@@ -148,7 +173,7 @@ def declared_provenance(docs: DataFrame) -> str | None:
 
 def read_canonical(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a document that already has the canonical column names (not yet checked)."""
-    parsed = parse_documents(scan_documents(spark, path))
+    parsed = parsed_once(scan_documents(spark, path))
     if not parsed.where("malformed OR NOT isArray").isEmpty():
         raise QualityError("Expected an array of team-week rows in input JSON.")
     records = _exploded(parsed, "arrayRows", schemas.CANONICAL_ROW)

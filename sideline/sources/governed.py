@@ -30,7 +30,7 @@ class Consumption(NamedTuple):
 
 def declared_context(docs: DataFrame) -> DataFrame:
     """One row per document with its declared metadata, unchecked."""
-    parsed = documents.parse_documents(docs)
+    parsed = docs if "malformed" in docs.columns else documents.parse_documents(docs)
     with_md = parsed.selectExpr(
         "*", f"from_json(metadata, '{_METADATA}') AS md", "coalesce(startswith(ltrim(metadata), '{'), false) AS hasMetadata",
     ).selectExpr(
@@ -117,8 +117,9 @@ def gate_violations(docs: DataFrame, gate: list[Rule]) -> DataFrame:
     return quality.violations(declared_context(docs), gate, ["sourceFile"])
 
 
-def _records(docs: DataFrame) -> DataFrame:
-    return documents.envelope_records(documents.parse_documents(docs))
+def _records(docs: DataFrame, spread: bool = False) -> DataFrame:
+    parsed = docs if "malformed" in docs.columns else documents.parse_documents(docs)
+    return documents.envelope_records(parsed, spread)
 
 
 def _candidate(records: DataFrame) -> DataFrame:
@@ -152,11 +153,12 @@ def row_violations(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def _consume(docs: DataFrame, gate: list[Rule], rules: list[Rule], shape) -> Consumption:
+    docs = documents.parsed_once(docs)
     if docs.limit(2).count() != 1:
         raise QualityError("one document is needed: its declared context belongs to all rows")
     quality.require_clean(gate_violations(docs, gate), ["sourceFile"])
     # coverage, null profile and export read the rows again: parse them once
-    records = written(_records(docs), "records")
+    records = written(_records(docs, spread=True), "records")
     located = list(schemas.ORIGIN)
     quality.require_clean(quality.violations(records, rules, located), located)
     context = declared_context(docs).orderBy(F.collate("sourceFile", "UNICODE")).limit(1).first()

@@ -44,14 +44,23 @@ _LINE_SUMS = {
 }
 
 
-def weekly_sums(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole-number sums per (team, season, week).
+def _shipped(season: int | None, last_week: int | None) -> str:
+    """The slice as a range of ship dates, which the scan can compare with its statistics."""
+    if season is None:
+        return "true"
+    year, month = season - SEASON_OFFSET, last_week if last_week and last_week < 12 else 12
+    until = f"{year + 1}-01-01" if month == 12 else f"{year}-{month + 1:02d}-01"
+    return f"l_shipdate >= DATE '{year}-01-01' AND l_shipdate < DATE '{until}'"
+
+
+def weekly_sums(spark: SparkSession, folder: str, season: int | None = None, last_week: int | None = None) -> DataFrame:
+    """Whole-number sums per (team, season, week), of one season up to a week if asked.
 
     Lines are summed per supplier and month before the supplier join, so that a supplier table too
     large to broadcast is joined to sums and not to lines. No side is forced to broadcast: the
     planner broadcasts a side only when its measured size allows it.
     """
-    line = read_table(spark, folder, "lineitem").selectExpr(
+    line = read_table(spark, folder, "lineitem").where(_shipped(season, last_week)).selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus",
         f"year(l_shipdate) + {SEASON_OFFSET} AS season", "month(l_shipdate) AS week",
@@ -135,11 +144,11 @@ _METRICS = {
 }
 
 
-def candidate_weeks(spark: SparkSession, folder: str) -> DataFrame:
+def candidate_weeks(spark: SparkSession, folder: str, season: int | None = None, last_week: int | None = None) -> DataFrame:
     """Team-week rows in which a week without red-zone trips has a null redZoneTdRate."""
     slot = f"(n_nationkey + week) % {LEAGUE_SIZE}"
     return (
-        weekly_sums(spark, folder)
+        weekly_sums(spark, folder, season, last_week)
         .selectExpr("team", "season", "week", "n_nationkey", "n", "z", "zr",
                     *[f"{sql} AS `{name}`" for name, sql in _SHARES.items()])
         .selectExpr(
@@ -151,15 +160,15 @@ def candidate_weeks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def team_weeks(spark: SparkSession, folder: str) -> DataFrame:
+def team_weeks(spark: SparkSession, folder: str, season: int | None = None, last_week: int | None = None) -> DataFrame:
     """Canonical rows: complete, so they can be scored."""
     rate = F.expr("coalesce(redZoneTdRate, 0.5D)")
-    return candidate_weeks(spark, folder).withColumn("redZoneTdRate", rate)
+    return candidate_weeks(spark, folder, season, last_week).withColumn("redZoneTdRate", rate)
 
 
-def governed_weeks(spark: SparkSession, folder: str) -> DataFrame:
+def governed_weeks(spark: SparkSession, folder: str, season: int | None = None) -> DataFrame:
     """Null-preserving rows without fantasy fields and with pressure withheld."""
     kept = [m for m in schemas.GOVERNED_METRICS if m != config.PRESSURE_FIELD]
-    return candidate_weeks(spark, folder).selectExpr(
+    return candidate_weeks(spark, folder, season).selectExpr(
         *schemas.KEYS, *kept, f"double(NULL) AS {config.PRESSURE_FIELD}"
     )
