@@ -125,15 +125,30 @@ def _up(x: str, y: str) -> str:
     return f"(({x} + {y} - 1) div {y})"
 
 
+def _overlap(a: str, b: str, percent: int) -> str:
+    """Common shingles that linked sets of sizes a and b have: ceil(p (a + b) / (100 + p))."""
+    return _up(f"{percent} * ({a} + {b})", str(100 + percent))
+
+
+def _may_share(a: str, i: str, b: str, j: str, percent: int) -> str:
+    """Whether sets of sizes a and b with a common shingle at places i and j (from 0) can be linked.
+
+    Their sizes must fit, and besides that shingle only the smaller number of those before it and of
+    those after it can be common.
+    """
+    most = f"least({i}, {j}) + least({a} - {i}, {b} - {j})"
+    return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b}) AND {most} >= {_overlap(a, b, percent)}"
+
+
 def _needed(a: str, b: str, percent: int) -> str:
     """Common prefix shingles below which sets of sizes a and b cannot be linked.
 
-    A link needs ceil(p (a + b) / (100 + p)) common shingles. Of two prefixes, every shingle up to
+    Of two prefixes, every shingle up to
     the end of the one that ends first is in both prefixes or not common, and the rest of that set
     has ceil(p n / 100) - 1 shingles.
     """
     rest = f"greatest({_up(f'{percent} * {a}', '100')}, {_up(f'{percent} * {b}', '100')}) - 1"
-    return f"{_up(f'{percent} * ({a} + {b})', str(100 + percent))} - ({rest})"
+    return f"{_overlap(a, b, percent)} - ({rest})"
 
 
 def jaccard_components(
@@ -149,13 +164,16 @@ def jaccard_components(
        last in the order of shingles, the others first, by hash.
     2. A document's prefix is its first n - ceil(p n / 100) + 1 shingles. Documents of equal set are
        one class; classes of equal prefix and size are one group.
-    3. Groups meet by prefix shingle. Neighbours in the order of size under a shingle are counted
-       per pair; pairs with enough common prefix shingles for a link, and neighbours inside a group,
-       are expanded to classes and verified on whole sets. Their links give first components, which
-       takes in the large groups of near copies with as many pairs as they have prefix shingles.
-    4. Under shingles whose groups are in several components, all pairs of different components of
-       fitting size are counted, cut by the number of common shingles a link needs, expanded to
-       their classes and verified. Pairs inside a component can't change it and are left out.
+    3. Groups meet by prefix shingle. Under a shingle they are ordered by its place in their
+       prefixes: a group with few shingles of its own ahead of it comes first and is nearest to all
+       others. Each group is paired with the first and with the one before it, as many pairs as there
+       are prefix shingles. Pairs with enough common prefix shingles for a link, and neighbours
+       inside a group, are expanded to classes and verified on whole sets. Their links give first
+       components, which take in large groups of near copies.
+    4. Under shingles whose groups are in several components, all pairs of different components are
+       formed whose sizes, places and numbers of such shingles allow a link, counted, cut by the
+       number of common shingles a link needs, expanded to their classes and verified. Pairs inside
+       a component can't change it and are left out.
 
     Returns one row per row of ``docs``: id, n_shingles, component_id (smallest id reachable). Null,
     empty and wordless texts have no shingles and link with nothing. Rows that share an id are one
@@ -172,12 +190,13 @@ def jaccard_components(
     groups = usable.groupBy("prefix_key").agg(F.min("id").alias("grp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     members = written(classes.join(classes.groupBy("prefix_key").agg(F.min("cls").alias("grp")), "prefix_key").select("grp", "cls", "n"), "members")
 
-    # shingles under which several groups meet, and the neighbour before
-    ordered = Window.partitionBy("token").orderBy("n", "grp")
-    entries = groups.select(F.explode("prefix").alias("token"), "grp", "n")
+    # shingles under which several groups meet, with the first group and the one before
+    ordered = Window.partitionBy("token").orderBy("pos", "n", "grp")
+    entries = groups.select(F.posexplode("prefix").alias("pos", "token"), "grp", "n")
+    group = F.struct("grp", "n", "pos")
     met = written(
-        entries.withColumn("before", F.lag(F.struct("grp", "n")).over(ordered))
-        .withColumn("after", F.lead("grp").over(ordered)).filter("before IS NOT NULL OR after IS NOT NULL").drop("after"), "met")
+        entries.withColumns({"first": F.first(group).over(ordered), "before": F.lag(group).over(ordered), "after": F.lead("grp").over(ordered)})
+        .filter("before IS NOT NULL OR after IS NOT NULL").drop("after"), "met")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs of classes (a, b) that are linked, by their whole sets.
@@ -196,13 +215,12 @@ def jaccard_components(
         common = "size(array_intersect(held_a, held_b))"
         return both.filter(f"100 * {common} >= {percent} * (size(held_a) + size(held_b) - {common})").select("a", "b").distinct()
 
-    def fits(a: str, b: str) -> str:
-        return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
-
+    pairs = met.filter("before IS NOT NULL").select(
+        "grp", "n", "pos", F.explode(F.array_distinct(F.array("first", "before"))).alias("other"))
     near = (
-        met.filter("before IS NOT NULL").filter(fits("n", "before.n"))
-        .groupBy(F.col("before.grp").alias("a"), F.col("grp").alias("b"), F.col("before.n").alias("m"), "n").count()
-        .filter(f"count >= {_needed('m', 'n', percent)}").select("a", "b")
+        pairs.filter(_may_share("n", "pos", "other.n", "other.pos", percent))
+        .groupBy(F.least("grp", "other.grp").alias("a"), F.greatest("grp", "other.grp").alias("b"), F.least("n", "other.n").alias("m"), F.greatest("n", "other.n").alias("n")).count()
+        .filter(f"a < b AND count >= {_needed('m', 'n', percent)}").select("a", "b")
     )
     inside = members.withColumn("a", F.lag("cls").over(Window.partitionBy("grp").orderBy("cls"))).filter("a IS NOT NULL").select("a", F.col("cls").alias("b"))
     # an id with several texts is one document: its classes belong together
@@ -217,12 +235,16 @@ def jaccard_components(
 
     members = written(labelled(members), "members")
     of_group = members.select("grp", "comp").distinct()
-    placed = written(met.select("token", "grp", "n").join(of_group, "grp"), "placed")
+    placed = written(met.select("token", "grp", "n", "pos").join(of_group, "grp"), "placed")
     several = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("token")
-    mixed = placed.join(several, "token")
-    left, right = (mixed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "comp")]) for s in "ab")
+    mixed = written(placed.join(several, "token"), "mixed")
+    # a pair has no more common shingles than either side has under which components meet
+    shares = mixed.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("m"))
+    mixed = mixed.join(shares, ["grp", "comp"])
+    left, right = (mixed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "pos", "comp", "m")]) for s in "ab")
     across = (
-        left.join(right, "token").filter("comp_a < comp_b").filter(fits("n_a", "n_b"))
+        left.join(right, "token").filter("comp_a < comp_b").filter(_may_share("n_a", "pos_a", "n_b", "pos_b", percent))
+        .filter(f"least(m_a, m_b) >= {_needed('n_a', 'n_b', percent)}")
         .groupBy("grp_a", "comp_a", "n_a", "grp_b", "comp_b", "n_b").count()
         .filter(f"count >= {_needed('n_a', 'n_b', percent)}").select("grp_a", "comp_a", "grp_b", "comp_b")
     )

@@ -69,6 +69,9 @@ def test_needed_is_a_bound():
         pa, pb = a[: jaccard_join.prefix_size(len(a), percent)], b[: jaccard_join.prefix_size(len(b), percent)]
         need = eval(jaccard_join._needed(str(len(a)), str(len(b)), percent).replace("greatest", "max").replace("div", "//"))
         assert len({*pa} & {*pb}) >= max(1, need)
+        for x in {*a} & {*b}:
+            said = jaccard_join._may_share(str(len(a)), str(a.index(x)), str(len(b)), str(b.index(x)), percent)
+            assert eval(said.replace("greatest", "max").replace("least", "min").replace("div", "//").replace("AND", "and"))
 
 
 def test_components(spark):
