@@ -5,6 +5,7 @@ import pytest
 from sideline import schemas
 from sideline.operators import quality
 from sideline.operators.quality import QualityError
+from sideline.operators.ranking import origin_order
 from sideline.plans import jobs
 from sideline.sources import checksum, documents
 from tests.rows import docs, envelope, frame, raw_record, row, write
@@ -43,6 +44,21 @@ def test_single_file_and_empty_folder(spark, tmp_path):
         documents.scan_documents(spark, str(tmp_path / "empty"))
 
 
+def test_a_file_of_any_name_and_plain_paths(spark, tmp_path):
+    path = write(tmp_path / "b 100%+ü.txt", [raw_record(row())])
+    rows = documents.load_rows(documents.scan_documents(spark, path))
+    assert rows.first()["sourceFile"] == path
+
+
+def test_files_are_ordered_by_locale(spark, tmp_path):
+    write(tmp_path / "B.json", [raw_record(row(week=1, pointsFor=1.0))])
+    write(tmp_path / "a.json", [raw_record(row(week=1, pointsFor=2.0))])
+    rows = documents.typed_keys(documents.load_rows(documents.scan_documents(spark, str(tmp_path))))
+    first = rows.orderBy(*origin_order(rows)).first()
+    assert first["pointsFor"] == 2.0 and first["sourceFile"].endswith("a.json")
+    assert rows.orderBy(*origin_order(rows, backwards=True)).first()["pointsFor"] == 1.0
+
+
 def test_broken_documents(spark):
     good = json.dumps([raw_record(row())])
     got = _messages(spark, "{oops", good + " tail", "7", {"artifact": "other", "rows": []},

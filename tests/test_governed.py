@@ -110,6 +110,9 @@ def test_forecast_input(spark):
     assert got["forecastCutoff"]["cutoffBeforeTargetSeason"]
     assert forecast.forecast_rows(used, art).columns == ["season", "week", "team", *want]
     evidence = forecast.coverage_evidence(used, art, "abc").first()
+    assert list(evidence.asDict()) == ["kind", "source", "input", "emitted", "nullSemantics", "forecastGateProjection"]
+    assert evidence["source"]["sha256"] == "abc"
+    evidence = evidence["input"].asDict() | evidence["nullSemantics"].asDict()
     assert evidence["presentTeams"] == ["ATL", "BUF", "DET", "KC"] and len(evidence["missingTeams"]) == 28
     per = {c["column"]: c for c in evidence["perColumn"]}
     assert per["redZoneTdRate"]["nullCount"] == 1 and per["redZoneTdRate"]["forecastInput"]
@@ -152,9 +155,11 @@ def test_governed_export(spark, tmp_path):
     man = run.manifest.first()
     assert (man["rowCount"], man["teamCount"], man["sha256"]) == (4, 4, digest)
     assert run.rows.count() == 4
-    assert run.evidence.first()["coversLeague"]
+    assert run.evidence.first()["forecastGateProjection"]["coversAllTeams"] and run.problems.isEmpty()
     with pytest.raises(QualityError, match="sha256"):
         jobs.governed_export(spark, path, forecast.DEFAULT_CUTOFF, "0" * 64, coverage.EXCERPT_2024)
-    assert jobs.candidate_report(
-        spark, write(tmp_path / "c.json", candidate(ROWS)), coverage.EXCERPT_2024
-    ).first()["rehearsalStatus"] == "rehearsed"
+    rehearsal = jobs.candidate_report(spark, write(tmp_path / "c.json", candidate(ROWS)), coverage.EXCERPT_2024)
+    assert rehearsal.report.first()["rehearsalStatus"] == "rehearsed" and rehearsal.problems.isEmpty()
+    short = jobs.candidate_report(spark, write(tmp_path / "c.json", candidate(ROWS[1:])), coverage.EXCERPT_2024)
+    assert {r["kind"]: r["n"] for r in short.problems.groupBy("kind").agg({"occurrences": "sum"}).toDF("kind", "n").collect()} == {
+        k: n for k, n in short.report.first()["coverage"]["errorsByKind"].items()}

@@ -54,7 +54,10 @@ def test_offense_table_teams(spark):
     assert sorted(_found(df.where("team <> 'WAS'"), ct.OFFENSE)) == ["Expected 32 teams, found 31.", "Missing team: WAS"]
     got = _found(df.replace("WAS", "ARI", "team"), ct.OFFENSE)
     assert sorted(got) == ["Missing team: WAS", "duplicate team code 'ARI' (2 rows)."]
-    assert _found(df.drop("notes"), ct.OFFENSE) == ["missing required fields: ['notes']"]
+    got = _found(df.drop("notes"), ct.OFFENSE)
+    assert "missing required fields: ['notes']" in got and sum("notes must be a string." in m for m in got) == 32
+    got = _found(df.limit(0).withColumn("extra", F.lit(1)), ct.OFFENSE)
+    assert "unexpected fields: ['extra']" in got and "Expected 32 teams, found 0." in got and len(got) == 34
 
 
 @pytest.mark.parametrize("column, value, message", [
@@ -133,4 +136,37 @@ def test_report_values_and_columns(spark):
         {"epaPerPlay": F.lit(0.5), "redZoneTdRate": F.lit(None).cast("double"), "passRate": F.lit(0.0), "mood": F.lit(1)})
     got = {r["code"] for r in season_report.report_problems(report, rows, GOOD, ["DET", "KC"], 7).collect()}
     assert got == {"E_UNWEIGHTED_AGGREGATION_USED", "E_REDZONE_NULL_INVARIANT_VIOLATED", "E_WITHHELD_FIELD_PRESENT",
-                   "E_UNDOCUMENTED_FIELD_PRESENT", "E_COVERAGE_TEAM_MISSING", "E_COVERAGE_ROW_COUNT_MISMATCH"}
+                   "E_UNDOCUMENTED_FIELD_PRESENT", "E_COVERAGE_TEAM_MISSING", "E_COVERAGE_ROW_COUNT_MISMATCH",
+                   "E_APPROXIMATED_DENOMINATOR_UNAUTHORIZED", "E_WITHHELD_FIELD_ZERO_FILLED"}
+
+
+def test_report_lines_on_one_side(spark):
+    rows = frame(spark, _weeks())
+    report = season_report.season_report(rows)
+    moved = report.withColumn("season", F.col("season") + 1)
+    got = [r["detail"] for r in season_report.report_problems(moved, rows, GOOD, ["DET"], 6).collect()]
+    assert len(got) == 2 and any("reported without rows" in d for d in got) and any("rows without a report line" in d for d in got)
+
+
+@pytest.mark.parametrize("change, code", [
+    ({"upstreamChecksums": {"plays": "a" * 64, "games": "b"}}, "E_UPSTREAM_SOURCE_CHECKSUM_MISSING"),
+    ({"upstreamChecksums": {"plays": None}}, "E_UPSTREAM_SOURCE_CHECKSUM_MISSING"),
+    ({"methodologyVersion": "x"}, "E_METHODOLOGY_VERSION_UNKNOWN"),
+    ({"methodologyVersion": "public_offensive_environment_2024_v1"}, None),
+    ({"timeOrigins": {"dataThrough": "a.t", "generatedAt": "a.t"}}, "E_TEMPORAL_METADATA_CONFLATED"),
+    ({"timeOrigins": {"dataThrough": "a.t", "generatedAt": "b.t"}}, None),
+])
+def test_declared_report_metadata(spark, change, code):
+    rows = frame(spark, _weeks())
+    got = season_report.report_problems(season_report.season_report(rows), rows, GOOD | change, ["DET"], 6).collect()
+    assert [r["code"] for r in got] == ([code] if code else [])
+
+
+def test_withheld_zero_and_blocked_columns(spark):
+    rows = frame(spark, _weeks())
+    report = season_report.season_report(rows).withColumns({"passRate": F.lit(0.0), "successRate": F.lit(0.4), "pointsAgainstTotal": F.lit(0)})
+    got = [(r["code"], r["detail"]) for r in season_report.report_problems(report, rows, GOOD, ["DET"], 6).collect()]
+    assert sorted(got) == sorted([
+        *[("E_WITHHELD_FIELD_PRESENT", c) for c in ("passRate", "successRate", "pointsAgainstTotal")],
+        *[("E_APPROXIMATED_DENOMINATOR_UNAUTHORIZED", c) for c in ("passRate", "successRate")],
+        *[("E_WITHHELD_FIELD_ZERO_FILLED", c) for c in ("passRate", "pointsAgainstTotal")]])
