@@ -27,6 +27,16 @@ def _is_type(kind: Column, value: Column) -> Column:
     return F.when(kind == "array", found.startswith("ARRAY")).otherwise(known)
 
 
+def _parsed(text: Column) -> Column:
+    """The JSON value of a text as a variant; null for what is not exactly one JSON value.
+
+    The parser passes over what follows a value, so the text is parsed inside an array and inside an
+    object: what follows cannot end both.
+    """
+    array, field = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when(array.isNotNull() & field.isNotNull(), F.try_variant_get(array, "$[0]", "variant"))
+
+
 def levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """(id, level): 0 for a call that needs no other, else one more than the highest it needs.
 
@@ -86,7 +96,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     answers = results.filter("id IS NOT NULL").groupBy("id").agg(
         F.min("content").alias("content"), (F.count(F.lit(1)) - 1).alias("more"), F.lit(True).alias("answered"))
     both = known.join(answers, "id", "full").unionByName(nameless, allowMissingColumns=True)
-    value = F.try_parse_json("arguments")
+    value = _parsed(F.col("arguments"))
     both = both.withColumn("value", F.when(F.schema_of_variant(value).startswith("OBJECT"), value))
 
     order = levels(known, known.select("id", F.explode("needs").alias("needed")))
@@ -108,15 +118,18 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         F.when(called & F.col("id").isNotNull() & F.col("level").isNull(), "cycle"),
     )
     judged = both.withColumn("args", args).withColumn("problems", F.array_sort(F.array_compact(F.concat(
-        texts, F.coalesce(checked, none), F.coalesce(extra, none)))))
+        texts, F.when(args.isNotNull(), F.coalesce(checked, none)).otherwise(none), F.coalesce(extra, none)))))
     status = F.when(~called, "no_call").when(F.col("id").isNull(), "no_id").when(F.col("answered"), "linked").otherwise("no_result")
     judged = judged.withColumn("status", status).withColumn("repeats", F.coalesce("repeats", F.lit(0)) + F.coalesce("more", F.lit(0)))
     json = F.to_json(F.struct(
         F.col("value").alias("arguments"), F.col("content"), F.col("conv"), F.col("id"), F.col("level"), F.col("name"),
         F.coalesce("needs", none).alias("needs"), F.col("problems"), F.col("status")), {"ignoreNullFields": "false"})
     shown = judged.select("conv", "id", "name", "status", "level", "repeats", "problems", json.alias("json"))
-    placed = number_rows(shown, [F.col("level").asc_nulls_last(), F.col("id").asc_nulls_last(), F.col("json").asc()], by=["conv"])
-    return placed.withColumnRenamed("rank", "position")
+    # rows without a conversation are numbered too
+    keyed = shown.withColumns({"_none": F.col("conv").isNull(), "_conv": F.coalesce("conv", F.lit(""))})
+    order = [F.col("level").asc_nulls_last(), F.col("id").asc_nulls_last(), F.col("json").asc()]
+    placed = number_rows(keyed, order, by=["_none", "_conv"])
+    return placed.withColumnRenamed("rank", "position").drop("_none", "_conv")
 
 
 def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
