@@ -407,9 +407,9 @@ def build() -> dict[str, str]:
         f" AS rank, season, week, team, {rnd(col, 2)} AS score FROM latest" for name, col in RANKED.items()))
     sql["rank_volatility_ascending"] = query(SCORED, f"""SELECT row_number() OVER (ORDER BY volatilityScore,
     season DESC, week DESC, team) AS rank, season, week, team, {rnd('volatilityScore', 2)} AS score FROM scored""")
-    sql["state_records"] = query(STATES, f"""SELECT season, week, team, pointsFor, teSplitAllowed,
-    {rnd('teamPowerScore', 2)} AS teamPowerScore, {rnd('volatilityScore', 2)} AS volatilityScore,
-    {rnd('fantasyEnvironment_pace', 2)} AS pace, tagText AS tags, summary FROM states""")
+    parts = [f"{part}_{n}" for part, items in COMPONENTS.items() for n, _, _ in items]
+    sql["state_records"] = query(STATES, f"""SELECT {KEYS}, {', '.join(METRICS + SPLITS)},
+    {', '.join(f'{rnd(s, 6)} AS {s}' for s in SCORES + parts)}, tagText AS tags, strengthText AS strengths, riskText AS risks, summary FROM states""")
     sql["latest_week_by_season"] = query(ROWS, "SELECT season, max(week) AS latestWeek FROM tw GROUP BY season")
     sql["slice_rows"] = query(ROWS, f"SELECT {KEYS}, pointsFor FROM tw WHERE season=2011 AND week<=5")
     _seasons(sql)
@@ -478,7 +478,8 @@ def _movement(sql: dict[str, str]) -> None:
     sql["movement_at_week_5"] = query(movement("week<=5"), f"SELECT {columns} FROM moves")
     sql["movement_at_week_3"] = query(movement("week<=3"), f"SELECT {columns} FROM moves")
     kept = [n for n in names if "fantasy" not in n]
-    sql["movement_v1"] = query(movement(), f"SELECT season, team, weeksCovered, {', '.join(kept)}, verdict FROM moves")
+    sql["movement_v1"] = query(movement(), f"SELECT season, team, weeksCovered, earlyWeeks, lateWeeks, offenseDirection, passEnvironmentDirection, "
+                               f"paceDirection, pressureDirection, volatilityDirection, warnings, {', '.join(kept)}, verdict FROM moves")
     sql["movement_metadata"] = query(ROWS, """SELECT CASE WHEN count(DISTINCT team)=25 THEN 'governed_real_data' ELSE 'partial_real_data' END AS provenanceStatus,
     CASE WHEN count(DISTINCT team)=25 THEN 'governed' ELSE 'ungoverned' END AS governanceStatus, 'explicit_marker' AS governanceSource,
     CAST(count(DISTINCT team) AS INTEGER) AS teamCount, string_agg(DISTINCT team, '|' ORDER BY team) AS teams,

@@ -86,10 +86,12 @@ def _summary(spark, folder):
 
 def _state_records(spark, folder):
     return scoring.as_state_records(_states(spark, folder)).selectExpr(
-        *_GRAIN, "input.pointsFor AS pointsFor", "input.teSplitAllowed AS teSplitAllowed",
-        *rounded(["teamPowerScore", "volatilityScore"], 2, "scores."),
-        *rounded(["pace"], 2, "components.fantasyEnvironment."),
-        _joined("tags", "explanation.tags"), "explanation.summary AS summary",
+        *_GRAIN, "opponent", *[f"input.{n} AS {n}" for n in (*schemas.METRICS, *schemas.SPLITS)],
+        *rounded(config.SCORE_FIELDS, 6, "scores."),
+        *[f"{sql} AS {part}_{name}" for part, (_, weights) in scoring.SCORE_PARTS.items()
+          for name, sql in ((n, rounded([n], 6, f"components.{part}.")[0].rpartition(" AS ")[0]) for n in weights)],
+        _joined("tags", "explanation.tags"), _joined("strengths", "explanation.strengths"),
+        _joined("risks", "explanation.risks"), "explanation.summary AS summary",
     )
 
 
@@ -239,6 +241,9 @@ def _movement_v1(spark, folder):
     v1 = movement.with_covered_weeks(_movement_v1_frame(spark, folder))
     return v1.selectExpr(
         "season", "teamId AS team", _numbers("weeksCovered"),
+        "array_join(earlyWindow.weeks, ',') AS earlyWeeks", "array_join(lateWindow.weeks, ',') AS lateWeeks",
+        *[f"movement.{d} AS {d}" for d in ("offenseDirection", "passEnvironmentDirection", "paceDirection",
+                                           "pressureDirection", "volatilityDirection")], _joined("warnings"),
         *[f"{side}Window.averages.{m} AS {side}_{m}" for side in ("early", "late") for m in kept],
         *[f"deltas.{m} AS delta_{m}" for m in kept if m != "volatilityScore"],
         "movement.verdict AS verdict",

@@ -1,5 +1,6 @@
 import pytest
 
+from sideline.functions.lineage import discard
 from tests.session import session
 
 
@@ -8,4 +9,5 @@ def spark():
     spark = session()
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     yield spark
+    discard(spark)
     spark.stop()
