@@ -25,11 +25,6 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def tasks(df: DataFrame) -> int:
-    """As many partitions as a shuffle of the session has."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def byte_words(text: str) -> list[bytes]:
     """Words between ASCII white space, A-Z in lower case and every other byte as it is."""
     return text.encode("utf-8", "surrogatepass").lower().split()
