@@ -130,13 +130,15 @@ def _overlap(a: str, b: str, percent: int) -> str:
     return _up(f"{percent} * ({a} + {b})", str(100 + percent))
 
 
-def _may_share(a: str, i: str, b: str, j: str, percent: int) -> str:
+def _may_share(a: str, i: str, b: str, j: str, percent: int, before: tuple[str, str] | None = None) -> str:
     """Whether sets of sizes a and b with a common shingle at places i and j (from 0) can be linked.
 
     Their sizes must fit, and besides that shingle only the smaller number of those before it and of
-    those after it can be common.
+    those after it can be common. ``before`` has the numbers of those before it that can be, if
+    they are known to be fewer.
     """
-    most = f"least({i}, {j}) + least({a} - {i}, {b} - {j})"
+    x, y = before or (i, j)
+    most = f"least({x}, {y}) + least({a} - {i}, {b} - {j})"
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b}) AND {most} >= {_overlap(a, b, percent)}"
 
 
@@ -151,6 +153,24 @@ def _needed(a: str, b: str, percent: int) -> str:
     return f"{_overlap(a, b, percent)} - ({rest})"
 
 
+def _promising(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups (a, b) worth a verification, from rows (grp, n, pos, other) per shingle.
+
+    Counted are the shingles under which two groups happen to be paired, at most their common ones.
+    Kept are the pairs with enough of them for a link and, for every group, its best pair if it has
+    a third of that. What is left out here is looked at again, whole, in the last step.
+    """
+    counted = (
+        pairs.filter(_may_share("n", "pos", "other.n", "other.pos", percent))
+        .groupBy(F.least("grp", "other.grp").alias("a"), F.greatest("grp", "other.grp").alias("b"), F.least("n", "other.n").alias("m"), F.greatest("n", "other.n").alias("n"))
+        .count().filter("a < b").withColumn("need", F.expr(_needed("m", "n", percent)))
+    )
+    sides = counted.select("a", "b", "count", "need", F.explode(F.array("a", "b")).alias("x"))
+    best = Window.partitionBy("x").orderBy(F.desc("count"), "a", "b")
+    best = sides.withColumn("place", F.row_number().over(best)).filter("place = 1 AND 3 * count >= need")
+    return counted.filter("count >= need").select("a", "b").unionByName(best.select("a", "b")).distinct()
+
+
 def jaccard_components(
     docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
     most_frequent: int = 1 << 20,
@@ -167,9 +187,10 @@ def jaccard_components(
     3. Groups meet by prefix shingle. Under a shingle they are ordered by its place in their
        prefixes: a group with few shingles of its own ahead of it comes first and is nearest to all
        others. Each group is paired with the first and with the one before it, as many pairs as there
-       are prefix shingles. Pairs with enough common prefix shingles for a link, and neighbours
-       inside a group, are expanded to classes and verified on whole sets. Their links give first
-       components, which take in large groups of near copies.
+       are prefix shingles. Pairs that promise a link, and neighbours inside a group, are verified on
+       whole sets; their links give first components. Where components still meet under a shingle,
+       each group is paired with the first group of another one, and the same follows. This takes in
+       large groups of near copies.
     4. Under shingles whose groups are in several components, all pairs of different components are
        formed whose sizes, places and numbers of such shingles allow a link, counted, cut by the
        number of common shingles a link needs, expanded to their classes and verified. Pairs inside
@@ -217,33 +238,39 @@ def jaccard_components(
 
     pairs = met.filter("before IS NOT NULL").select(
         "grp", "n", "pos", F.explode(F.array_distinct(F.array("first", "before"))).alias("other"))
-    near = (
-        pairs.filter(_may_share("n", "pos", "other.n", "other.pos", percent))
-        .groupBy(F.least("grp", "other.grp").alias("a"), F.greatest("grp", "other.grp").alias("b"), F.least("n", "other.n").alias("m"), F.greatest("n", "other.n").alias("n")).count()
-        .filter(f"a < b AND count >= {_needed('m', 'n', percent)}").select("a", "b")
-    )
+    near = _promising(pairs, percent)
     inside = members.withColumn("a", F.lag("cls").over(Window.partitionBy("grp").orderBy("cls"))).filter("a IS NOT NULL").select("a", F.col("cls").alias("b"))
     # an id with several texts is one document: its classes belong together
     several_sets = usable.groupBy("id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).filter("low <> high").select("id")
     of_id = usable.join(several_sets, "id", "left_semi").select("id", "set_key").join(classes.select("set_key", "cls"), "set_key")
     same = of_id.select(F.col("id").alias("a"), F.col("cls").alias("b")).filter("a <> b").distinct()
     first = written(linked(near.unionByName(inside)).unionByName(same), "linked")
-    parts = components(first)
-
-    def labelled(df: DataFrame) -> DataFrame:
-        return df.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
-
-    members = written(labelled(members), "members")
-    of_group = members.select("grp", "comp").distinct()
-    placed = written(met.select("token", "grp", "n", "pos").join(of_group, "grp"), "placed")
-    several = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("token")
-    mixed = written(placed.join(several, "token"), "mixed")
-    # a pair has no more common shingles than either side has under which components meet
-    shares = mixed.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("m"))
-    mixed = mixed.join(shares, ["grp", "comp"])
-    left, right = (mixed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "pos", "comp", "m")]) for s in "ab")
+
+    def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Members and groups with their components, and the entries of shingles with several."""
+        parts = components(links).withColumnRenamed("node", "cls")
+        known = written(members.join(parts, "cls", "left").select("grp", "cls", F.coalesce("component", "cls").alias("comp")), "members")
+        of_group = known.select("grp", "comp").distinct()
+        placed = written(met.select("token", "grp", "n", "pos").join(of_group, "grp"), "placed")
+        several = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("token")
+        return known, of_group, written(placed.join(several, "token"), "mixed")
+
+    # once more between components: each group with the first group of another component
+    _, _, mixed = labelled(first)
+    whole = Window.partitionBy("token").orderBy("pos", "n", "grp")
+    every = Window.partitionBy("token")
+    entry = F.struct("pos", "n", "grp", "comp")
+    ends = mixed.withColumn("one", F.first(entry).over(whole)).withColumn(
+        "two", F.min(F.when(F.col("comp") != F.col("one.comp"), entry)).over(every))
+    again = ends.select("grp", "n", "pos", F.when(F.col("comp") != F.col("one.comp"), F.col("one")).otherwise(F.col("two")).alias("other"))
+    first = written(first.unionByName(linked(_promising(again, percent))), "linked")
+    members, of_group, mixed = labelled(first)
+    # only shingles under which components meet can be common: r of them before this one, m in all
+    own_group = Window.partitionBy("grp", "comp")
+    mixed = mixed.withColumns({"r": F.row_number().over(own_group.orderBy("pos")) - 1, "m": F.count(F.lit(1)).over(own_group)})
+    left, right = (mixed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "pos", "comp", "r", "m")]) for s in "ab")
     across = (
-        left.join(right, "token").filter("comp_a < comp_b").filter(_may_share("n_a", "pos_a", "n_b", "pos_b", percent))
+        left.join(right, "token").filter("comp_a < comp_b").filter(_may_share("n_a", "pos_a", "n_b", "pos_b", percent, ("r_a", "r_b")))
         .filter(f"least(m_a, m_b) >= {_needed('n_a', 'n_b', percent)}")
         .groupBy("grp_a", "comp_a", "n_a", "grp_b", "comp_b", "n_b").count()
         .filter(f"count >= {_needed('n_a', 'n_b', percent)}").select("grp_a", "comp_a", "grp_b", "comp_b")
