@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,6 +20,21 @@ from sideline.llm.training import learning_ids, sampled, texts_of
 _LONG = 64
 
 
+#: features that stand for a word that follows itself, each time; and for any text, so that a few
+#: words alone say little
+_SAME, _SAME_TIMES = "<same word>", 3
+_TEXT, _TEXT_TIMES = "<text>", 30
+
+
+def bucket(part: str, buckets: int) -> int:
+    return zlib.crc32(part.encode("utf-8", "surrogatepass")) % buckets
+
+
+def repeats(words: list[str]) -> int:
+    """How often a word follows itself."""
+    return sum(map(operator.eq, words, words[1:]))
+
+
 def features(word: str, buckets: int, low: int, high: int) -> np.ndarray:
     """Buckets of a word: the word itself and its character n-grams between < and >."""
     framed = f"<{word}>"
@@ -27,7 +43,7 @@ def features(word: str, buckets: int, low: int, high: int) -> np.ndarray:
     parts = [f"={word}"]
     for n in range(low, high + 1):
         parts += [framed[i : i + n] for i in range(len(framed) - n + 1)]
-    return np.array([zlib.crc32(p.encode("utf-8", "surrogatepass")) % buckets for p in parts], np.int64)
+    return np.array([bucket(p, buckets) for p in parts], np.int64)
 
 
 @dataclass(frozen=True)
@@ -44,8 +60,11 @@ class Settings:
     seed: int = 17
 
 
-def train(texts: list[str], y: list[int], s: Settings = Settings()) -> tuple[np.ndarray, float]:
-    """(weight per bucket, bias): the log-odds of label 1 is the mean weight of a text's features.
+def train(texts: list[str], y: list[int], s: Settings = Settings()) -> np.ndarray:
+    """Weight per bucket: the log-odds of label 1 is the mean weight of a text's features.
+
+    Features are the hashed words, their character n-grams, one for each word that follows itself,
+    and a constant one.
 
     The embeddings of a document's features are averaged and go through a softmax over both labels;
     stochastic gradient descent runs over single documents in a fixed random order with a linearly
@@ -53,38 +72,33 @@ def train(texts: list[str], y: list[int], s: Settings = Settings()) -> tuple[np.
     embedding and output weights of the trained model fold into one number per bucket.
     """
     made = Remembered(lambda w: features(w, s.buckets, s.low, s.high))
+    same, any_text = np.array([bucket(_SAME, s.buckets)]), np.array([bucket(_TEXT, s.buckets)])
     bags = []
     for text in texts:
-        parts = [made[w] for w in text.split()]
-        bags.append(np.unique(np.concatenate(parts), return_counts=True) if parts else None)
+        words = text.split()
+        parts = [made[w] for w in words] + [np.repeat(any_text, _TEXT_TIMES), np.repeat(same, _SAME_TIMES * repeats(words))]
+        bags.append(np.unique(np.concatenate(parts), return_counts=True))
     share = max(1, sum(y)), max(1, len(y) - sum(y))
     weight = [len(y) / (2 * share[0 if v else 1]) for v in y]
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.width, 1 / s.width, (s.buckets, s.width)).astype(np.float32)
-    out, bias = rng.normal(0, 0.1, (2, s.width)).astype(np.float32), np.zeros(2, np.float32)
+    out = rng.normal(0, 0.1, (2, s.width)).astype(np.float32)
     total, at = s.epochs * max(1, len(texts)), 0
     for _ in range(s.epochs):
         for d in rng.permutation(len(texts)):
             step = s.step * (1 - at / total) * min(weight[d], 4.0)
             at += 1
-            if bags[d] is None:
-                hidden = np.zeros(s.width, np.float32)
-            else:
-                ids, n = bags[d]
-                n = (n / n.sum()).astype(np.float32)
-                hidden = n @ vectors[ids]
-            logits = out @ hidden + bias
+            ids, n = bags[d]
+            n = (n / n.sum()).astype(np.float32)
+            hidden = n @ vectors[ids]
+            logits = out @ hidden
             p = np.exp(logits - logits.max())
             p /= p.sum()
             p[y[d]] -= 1
             back = p @ out
             out -= step * np.outer(p, hidden)
-            if bags[d] is None:
-                bias -= 0.1 * step * p
-            else:
-                vectors[ids] -= step * np.outer(n, back)
-    folded = vectors @ (out[1] - out[0])
-    return folded.astype(np.float64), float(bias[1] - bias[0])
+            vectors[ids] -= step * np.outer(n, back)
+    return (vectors @ (out[1] - out[0])).astype(np.float64)
 
 
 def fit(labels: DataFrame, docs: DataFrame, column: str = "quality", settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"):
@@ -100,14 +114,14 @@ def score_of(spark: SparkSession, text: Column, model, settings: Settings = Sett
     """Score (0 to 1, of label 1) of a whole text.
 
     The model reaches the tasks as one array of fixed size. A worker remembers the sum and the
-    number of features of the words it has seen. Null and empty texts have no features: their score
-    comes from the bias.
+    number of features of the words it has seen. Null and empty texts have the constant feature only.
     """
-    shared = spark.sparkContext.broadcast((*model, settings))
+    shared = spark.sparkContext.broadcast((model, settings))
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        weights, bias, s = shared.value
+        weights, s = shared.value
+        same, any_text = (times * weights[bucket(part, s.buckets)] for part, times in ((_SAME, _SAME_TIMES), (_TEXT, _TEXT_TIMES)))
 
         def word(w: str) -> tuple[float, int]:
             ids = features(w, s.buckets, s.low, s.high)
@@ -116,8 +130,11 @@ def score_of(spark: SparkSession, text: Column, model, settings: Settings = Sett
         known = Remembered(word)
 
         def logit(text: str | None) -> float:
-            pairs = [known[w] for w in (text or "").split()]
-            return bias + (sum(p[0] for p in pairs) / sum(p[1] for p in pairs) if pairs else 0.0)
+            words = (text or "").split()
+            pairs = [known[w] for w in words]
+            again = repeats(words)
+            total = sum(p[0] for p in pairs) + again * same + any_text
+            return total / (sum(p[1] for p in pairs) + again * _SAME_TIMES + _TEXT_TIMES)
 
         for part in parts:
             yield pd.Series(1 / (1 + np.exp(-np.clip([logit(t) for t in part], -50, 50))), dtype=np.float64)
