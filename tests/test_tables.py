@@ -80,7 +80,7 @@ def test_context_table(spark, column, value, message):
     (None, None, None),
     ("context_tags", ["calm"], "context_tags must match"),
     ("context_tags", ["calm", "risky", "third"], "context_tags must match"),
-    ("risk_context_tags", ["risky", "risky"], "must not contain duplicates."),
+    ("risk_context_tags", ["risky", "risky"], "risk_context_tags must not include duplicate tags."),
     ("source_status", "x", "invalid source_status 'x'."),
 ])
 def test_landing_table(spark, column, value, message):
