@@ -167,12 +167,11 @@ def column_evidence(profile: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def team_evidence(rows: DataFrame, teams: Sequence[str] = config.LEAGUE_TEAMS) -> DataFrame:
-    """One row: present and missing teams against the league. Only expected teams are listed by
-    name, so the lists are as long as the league; ``unexpected_teams`` has the others as rows."""
+    """One row: present and missing teams against the league. Teams are told apart before they are
+    listed; ``unexpected_teams`` has those outside the league as rows."""
     league = F.array(*[F.lit(t) for t in teams])
-    known = F.when(F.col("team").isin(list(teams)), F.col("team"))
     present = rows.groupBy("team").agg(F.count(F.lit(1)).alias("n")).agg(
-        F.sort_array(F.collect_list(known)).alias("presentTeams"),
+        F.sort_array(F.collect_list("team")).alias("presentTeams"),
         F.count(F.lit(1)).cast("int").alias("teamCount"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rowCount"),
     )
