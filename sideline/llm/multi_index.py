@@ -60,6 +60,23 @@ class Grid:
         order = np.argsort(d1[rows, u] + d2[rows, v], axis=1, kind="stable")[:, :count]
         return (u * d2.shape[1] + v)[rows, order].astype(np.int32)
 
+    def least_squares(self, x: np.ndarray) -> list[np.ndarray]:
+        """By half: a lower bound of each row's squared distance to whatever has a centre as its nearest.
+
+        What is nearest to centre u lies on u's side of the plane between u and any other centre a, and
+        the row is (|x - u|^2 - |x - a|^2) / (2 |u - a|) away from that plane. Centres that nearly
+        coincide give no bound, as rounding would outweigh it.
+        """
+        out = []
+        for d, book in zip(self.distances(x), self.books, strict=True):
+            apart = np.sqrt(np.maximum(((book[:, None, :] - book[None, :, :]) ** 2).sum(2), 0.0))
+            low = np.zeros_like(d)
+            for a in range(len(book)):
+                far = np.where(apart[a] > 1e-3, 2 * apart[a], np.inf)
+                np.maximum(low, (d - d[:, a : a + 1]) / far, out=low)
+            out.append(low**2)
+        return out
+
 
 def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Smallest node connected to each of ``n`` nodes by the links (a[i], b[i])."""
@@ -73,25 +90,50 @@ def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             return label
 
 
+def _groups(cells: np.ndarray, counts: np.ndarray, block: int) -> tuple[dict[int, tuple[int, int]], np.ndarray, np.ndarray]:
+    """Cells put together in groups of at most ``block`` entries; a larger cell is several groups.
+
+    Returns (first group, number of groups) by cell, and the cells of all groups one after another
+    with the place where each group starts.
+    """
+    home, members, starts, held = {}, [], [], block
+    for cell, n in zip(cells.tolist(), counts.tolist(), strict=True):
+        parts = -(-n // block)
+        if parts > 1 or held + n > block:
+            for _ in range(parts):
+                starts.append(len(members))
+                members.append(cell)
+            held = block if parts > 1 else n
+        else:
+            members.append(cell)
+            held += n
+        home[cell] = len(starts) - parts, parts
+    return home, np.array(members, np.int64), np.array(starts, np.int64)
+
+
 def near_duplicates(
     data: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding",
-    recall: float = 0.999, sample: int = 4096, probes: int = 512, cell_rows: int = 64,
-    most_codes: int = 128, block: int = 2048,
+    recall: float = 1.0, sample: int = 4096, probes: int = 0, cell_rows: int = 64,
+    most_codes: int = 128, block: int = 4096,
 ) -> DataFrame:
-    """Vectors linked by cosine >= ``threshold``, and their components.
+    """All vectors linked by cosine >= ``threshold``, and their components.
 
     Equal vectors are one entry with a count. The vectors' halves get independent codebooks, fitted
     on ``sample`` entries (those with the smallest hashes, a fixed number); the pairs of codes form
     a grid of about one cell per ``cell_rows`` entries, up to ``most_codes`` squared. Every entry is
-    stored in one cell and asks the cells nearest to it, in multi-sequence order. How many cells it
-    asks is measured: ``probes`` entries are compared with all others, and the count is the smallest
-    at which at least ``recall`` of their true links lie in an asked cell, in one of the two
-    directions. Every pair that meets in a cell is verified by its cosine in double precision, so no
-    link is below the threshold.
+    stored in one cell, and cells are put together in groups of at most ``block`` entries.
+
+    Unit vectors at the threshold are sqrt(2 - 2 threshold) apart. An entry meets another group unless
+    lower bounds of its distance to every cell of that group exceed this, so no link can be missed,
+    however rare links are and whatever group has most of them. ``recall`` and ``probes`` are of a
+    former, measured number of cells; they change nothing. Every pair that meets is verified by its
+    cosine in double precision, so no link is below the threshold.
 
-    A cell is solved in blocks of ``block`` entries and ``block`` askers, so a cell that holds a
-    third of all entries is many tasks of bounded memory. A block gives sums per entry and a
-    spanning forest of its links, never the pairs.
+    Two groups meet in one tile, which each linked pair shares exactly once; a tile has at most
+    ``block`` entries a side, so a cell that holds a third of all entries is many tasks of bounded
+    memory. A tile gives sums per entry and a spanning forest of its links, never the pairs. Where
+    vectors have no clusters the bounds exclude little: then every entry is sent to every group and
+    the pairs compared grow with the square of the table.
 
     Returns one row per row of ``data``: id, n_links (other rows linked directly), component_id
     (smallest id reachable) and kept (the row is the smallest of its component). Vectors that are
@@ -110,48 +152,59 @@ def near_duplicates(
     fit = unit(some or [[1.0]], width)
     codes = max(1, min(most_codes, round(math.sqrt(max(1, n / cell_rows)))))
     grid = Grid(codebook(fit[:, : width // 2], codes), codebook(fit[:, width // 2 :], codes))
-    asked = _visits_for(entries, grid, fit[:probes], width, threshold, recall)
+    kind = entries.schema["vec"].dataType.simpleString()
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x = unit(pdf["vec"], width)
-            seen = grid.visits(x, asked)
-            yield pd.DataFrame({"rep": pdf["rep"], "mult": pdf["mult"], "vec": list(x), "cell": seen[:, 0], "visits": list(seen)})
-
-    coded = written(entries.mapInPandas(place, "rep long, mult long, vec array<double>, cell int, visits array<int>"), "cells")
-    # both counts have a row per cell of the grid at most
-    stored = coded.groupBy("cell").agg(F.count(F.lit(1)).alias("n_stored"))
-    askers = coded.select(F.explode("visits").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n_asking"))
-    size = stored.join(askers, "cell").select(
-        "cell", F.ceil(F.col("n_stored") / block).cast("int").alias("down"), F.ceil(F.col("n_asking") / block).cast("int").alias("across"))
-
-    def dealt(df: DataFrame, own: str, own_count: str, other: str, other_count: str) -> DataFrame:
-        """Each row in one block of its own kind, next to every block of the other kind."""
-        return df.join(size, "cell").withColumn(own, F.pmod(F.xxhash64("rep"), F.col(own_count)).cast("int")).withColumn(
-            other, F.explode(F.expr(f"sequence(0, {other_count} - 1)"))).drop("down", "across")
-
-    data_side = dealt(coded, "d", "down", "q", "across")
-    asking = coded.select(*[F.col(c).alias(c) for c in ("rep", "mult", "vec")], F.col("cell").alias("home"), F.explode("visits").alias("cell"))
-    query_side = dealt(asking, "q", "across", "d", "down")
-
-    def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(x):
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("rep", "links", "root")})
-        q_rep, x_rep = q["rep"].to_numpy(), x["rep"].to_numpy()
-        near = matrix(q["vec"], width) @ matrix(x["vec"], width).T >= threshold
-        near &= q_rep[:, None] != x_rep[None, :]
-        i, j = np.nonzero(near)
-        # the pair also meets where x asks q's cell; it is credited to x there
-        again = (np.stack(x["visits"].to_numpy())[j] == q["home"].to_numpy()[i][:, None]).any(1) if len(i) else np.empty(0, bool)
-        nodes, at = np.unique(np.concatenate([q_rep[i], x_rep[j]]), return_inverse=True)
-        links = np.zeros(len(nodes), np.int64)
-        np.add.at(links, at[: len(i)], x["mult"].to_numpy()[j])
-        np.add.at(links, at[len(i) :], np.where(again, 0, q["mult"].to_numpy()[i]))
-        root = nodes[_roots(at[: len(i)], at[len(i) :], len(nodes))] if len(nodes) else nodes
-        return pd.DataFrame({"rep": nodes, "links": links, "root": root})
-
-    keys = ["cell", "d", "q"]
-    met = written(query_side.groupBy(*keys).cogroup(data_side.groupBy(*keys)).applyInPandas(solve, "rep long, links long, root long"), "met")
+            yield pdf[["rep", "mult", "vec"]].assign(cell=grid.visits(unit(pdf["vec"], width), 1)[:, 0])
+
+    coded = written(entries.mapInPandas(place, f"rep long, mult long, vec {kind}, cell int"), "cells")
+    # a row per cell of the grid at most
+    stored = coded.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).orderBy("cell").toPandas()
+    groups, members, starts = _groups(stored["cell"].to_numpy(), stored["n"].to_numpy(), block)
+    far = 2 - 2 * threshold + 1e-9
+
+    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Each entry with its own group and all groups that may hold a link of it."""
+        u, v = np.divmod(members, len(grid.books[1]))
+        for pdf in batches:
+            first, parts = np.array([groups[c] for c in pdf["cell"]], np.int64).reshape(-1, 2).T
+            home = first + pdf["deal"].to_numpy() % parts
+            met = []
+            for at in range(0, len(pdf), 128):
+                low = grid.least_squares(unit(pdf["vec"].iloc[at : at + 128], width))
+                near = np.logical_or.reduceat(low[0][:, u] + low[1][:, v] <= far, starts, axis=1)
+                near[np.arange(len(near)), home[at : at + 128]] = True
+                met += [np.flatnonzero(r).astype(np.int32) for r in near]
+            yield pdf[["rep", "mult", "vec"]].assign(home=home.astype(np.int32), met=met)
+
+    dealt = coded.withColumn("deal", F.pmod(F.xxhash64("rep"), F.lit(2**31 - 1)))
+    reaching = dealt.mapInPandas(reach, f"rep long, mult long, vec {kind}, home int, met array<int>")
+    tiles = reaching.select("rep", "mult", "vec", "home", F.explode("met").alias("other")).select(
+        "rep", "mult", "vec", "home", F.least("home", "other").alias("lo"), F.greatest("home", "other").alias("hi"))
+
+    def solve(key: tuple[int, int], pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep", kind="stable")
+        rep, mult, home = (pdf[c].to_numpy() for c in ("rep", "mult", "home"))
+        down, across = np.flatnonzero(home == key[0]), np.flatnonzero(home == key[1])
+        links, label = np.zeros(len(pdf), np.int64), np.arange(len(pdf))
+        x = unit(pdf["vec"], width) if len(down) and len(across) else None
+        for at in range(0, len(down) if len(across) else 0, 512):
+            part = down[at : at + 512]
+            i, j = np.nonzero(x[part] @ x[across].T >= threshold)
+            i, j = part[i], across[j]
+            real = rep[i] != rep[j]
+            if key[0] == key[1]:
+                real &= i < j
+            i, j = i[real], j[real]
+            if len(i):
+                np.add.at(links, i, mult[j])
+                np.add.at(links, j, mult[i])
+                label = _roots(np.concatenate([np.arange(len(pdf)), i]), np.concatenate([label, j]), len(pdf))
+        linked = links > 0
+        return pd.DataFrame({"rep": rep[linked], "links": links[linked], "root": rep[label[linked]]})
+
+    met = written(tiles.groupBy("lo", "hi").applyInPandas(solve, "rep long, links long, root long"), "met")
     found = components(met.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = met.groupBy("rep").agg(F.sum("links").alias("links"))
     answer = (
@@ -162,42 +215,3 @@ def near_duplicates(
     alone = rows.filter(~fits).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(
         F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
-
-
-#: cells in multi-sequence order among which the number to ask is chosen
-_HORIZON = 1024
-
-
-def _turns(seen: np.ndarray, cells: int) -> np.ndarray:
-    """Position of every cell in each row's order; _HORIZON for later ones."""
-    out = np.full((len(seen), cells), _HORIZON, np.int32)
-    np.put_along_axis(out, seen, np.arange(seen.shape[1], dtype=np.int32)[None, :], axis=1)
-    return out
-
-
-def _visits_for(entries: DataFrame, grid: Grid, probe: np.ndarray, width: int, threshold: float, recall: float) -> int:
-    """Cells to ask, so that ``recall`` of the probes' links with all entries lie in one of them."""
-    cells = len(grid.books[0]) * len(grid.books[1])
-    seen = grid.visits(probe, min(cells, _HORIZON))
-    places, homes = _turns(seen, cells), seen[:, 0]
-
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ranks = []
-            for at in range(0, len(pdf), 256):
-                x = unit(pdf["vec"].iloc[at : at + 256], width)
-                score = probe @ x.T
-                i, j = np.nonzero((score >= threshold) & (score < 1 - 1e-12))
-                if len(i):
-                    kinds, back = np.unique(j, return_inverse=True)
-                    seen = grid.visits(x[kinds], min(cells, _HORIZON))
-                    ranks.append(np.minimum(places[i, seen[back, 0]], _turns(seen, cells)[back, homes[i]]))
-            rank, n = np.unique(np.concatenate(ranks), return_counts=True) if ranks else (np.empty(0, np.int32), np.empty(0, np.int64))
-            yield pd.DataFrame({"rank": rank, "n": n})
-
-    # one row per position in the order of cells, at most
-    found = entries.mapInPandas(compare, "rank int, n long").groupBy("rank").agg(F.sum("n").alias("n")).toPandas().sort_values("rank")
-    if not len(found):
-        return min(cells, 4)
-    share = found["n"].cumsum() / found["n"].sum()
-    return min(cells, max(4, int(found["rank"][share >= recall].iloc[0]) + 1))

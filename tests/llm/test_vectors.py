@@ -102,6 +102,33 @@ def test_recall_of_the_visits(spark):
     assert all(got[i] <= true[i] for i in got) and found >= 0.95 * true.sum()
 
 
+def _pairs(n, width, cosine, seed):
+    """``n`` random unit vectors and a neighbour of each at the cosine."""
+    rng = np.random.default_rng(seed)
+    a, b = rng.normal(size=(2, n, width))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    return np.concatenate([a, cosine * a + np.sqrt(1 - cosine**2) * b])
+
+
+@pytest.mark.parametrize("large", [0, 200])
+def test_every_link_at_the_threshold(spark, large):
+    """Few links next to many vectors, without and with a group of near copies that has most links."""
+    rng = np.random.default_rng(8)
+    alone, pairs = rng.normal(size=(800, 32)), _pairs(40 if not large else 200, 32, 0.9505, 4)
+    hot = rng.normal(size=32) + rng.normal(scale=0.01, size=(large, 32))
+    x = np.concatenate([pairs, alone, hot])
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in multi_index.near_duplicates(df, cell_rows=2, block=256).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= 0.95
+    np.fill_diagonal(near, False)
+    comp = components_of(list(range(len(x))), list(zip(*map(np.ndarray.tolist, np.nonzero(np.triu(near))), strict=True)))
+    assert [got[i].n_links for i in range(len(x))] == near.sum(1).tolist()
+    assert all(got[i].component_id == comp[i] for i in range(len(x)))
+
+
 def test_multi_sequence_order():
     rng = np.random.default_rng(3)
     grid = multi_index.Grid(rng.normal(size=(7, 3)), rng.normal(size=(5, 3)))
