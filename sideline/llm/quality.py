@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from sideline.llm.common import Remembered, held_out
 from sideline.llm.training import learning_ids, sampled, texts_of
 
-#: longest n-gram source: a longer word gives the n-grams of its first and last characters only,
-#: next to the hash of the whole word, so that a word of a megabyte costs no more than any other
-_LONG = 64
+#: a word of more characters is hashed by numpy, this many of its characters at a time after the
+#: first, and is not remembered
+_LONG, _CHUNK = 128, 1 << 16
 
 
 #: features that stand for a word that follows itself, each time; and for any text, so that a few
@@ -35,15 +35,51 @@ def repeats(words: list[str]) -> int:
     return sum(map(operator.eq, words, words[1:]))
 
 
-def features(word: str, buckets: int, low: int, high: int) -> np.ndarray:
-    """Buckets of a word: the word itself and its character n-grams between < and >."""
+def _crc_table() -> np.ndarray:
+    t = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        t = np.where(t & 1, (t >> 1) ^ np.uint32(0xEDB88320), t >> 1).astype(np.uint32)
+    return t
+
+
+_CRC = _crc_table()
+
+
+def _gram_buckets(text: str, buckets: int, low: int, high: int, starts: int) -> np.ndarray:
+    """``bucket`` of the n-grams at the first ``starts`` characters: CRC32 of all at once, by numpy."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    size = np.diff(np.append(first, len(data)))
+    crc, out = np.full(min(starts, len(first)), 0xFFFFFFFF, np.uint32), []
+    for n in range(min(high, len(first))):
+        # state of each start that has n + 1 characters, taken on by the bytes of the last of them
+        crc = crc[: len(first) - n]
+        at, left = first[n : n + len(crc)], size[n : n + len(crc)]
+        for i in range(int(left.max(initial=0))):
+            has = left > i
+            crc[has] = _CRC[(crc[has] ^ data[at[has] + i]) & 0xFF] ^ (crc[has] >> 8)
+        if n + 1 >= low:
+            out.append((crc ^ np.uint32(0xFFFFFFFF)).astype(np.int64) % buckets)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def pieces(word: str, buckets: int, low: int, high: int) -> Iterator[np.ndarray]:
+    """The features of a word in parts of bounded size, every n-gram in one of them."""
     framed = f"<{word}>"
-    if len(framed) > 2 * _LONG:
-        framed = framed[:_LONG] + "\n" + framed[-_LONG:]
-    parts = [f"={word}"]
-    for n in range(low, high + 1):
-        parts += [framed[i : i + n] for i in range(len(framed) - n + 1)]
-    return np.array([bucket(p, buckets) for p in parts], np.int64)
+    if len(framed) <= _LONG:
+        parts = [f"={word}"]
+        for n in range(low, high + 1):
+            parts += [framed[i : i + n] for i in range(len(framed) - n + 1)]
+        yield np.array([bucket(p, buckets) for p in parts], np.int64)
+        return
+    yield np.array([bucket(f"={word}", buckets)], np.int64)
+    for at in range(0, len(framed), _CHUNK):
+        yield _gram_buckets(framed[at : at + _CHUNK + high - 1], buckets, low, high, _CHUNK)
+
+
+def features(word: str, buckets: int, low: int, high: int) -> np.ndarray:
+    """Buckets of a word: the word itself and all its character n-grams between < and >."""
+    return np.concatenate(list(pieces(word, buckets, low, high)))
 
 
 @dataclass(frozen=True)
@@ -76,7 +112,7 @@ def train(texts: list[str], y: list[int], s: Settings = Settings()) -> np.ndarra
     bags = []
     for text in texts:
         words = text.split()
-        parts = [made[w] for w in words] + [np.repeat(any_text, _TEXT_TIMES), np.repeat(same, _SAME_TIMES * repeats(words))]
+        parts = [made[w] if len(w) <= _LONG else features(w, s.buckets, s.low, s.high) for w in words] + [np.repeat(any_text, _TEXT_TIMES), np.repeat(same, _SAME_TIMES * repeats(words))]
         bags.append(np.unique(np.concatenate(parts), return_counts=True))
     share = max(1, sum(y)), max(1, len(y) - sum(y))
     weight = [len(y) / (2 * share[0 if v else 1]) for v in y]
@@ -124,14 +160,16 @@ def score_of(spark: SparkSession, text: Column, model, settings: Settings = Sett
         same, any_text = (times * weights[bucket(part, s.buckets)] for part, times in ((_SAME, _SAME_TIMES), (_TEXT, _TEXT_TIMES)))
 
         def word(w: str) -> tuple[float, int]:
-            ids = features(w, s.buckets, s.low, s.high)
-            return float(weights[ids].sum()), len(ids)
+            total, count = 0.0, 0
+            for ids in pieces(w, s.buckets, s.low, s.high):
+                total, count = total + float(weights[ids].sum()), count + len(ids)
+            return total, count
 
         known = Remembered(word)
 
         def logit(text: str | None) -> float:
             words = (text or "").split()
-            pairs = [known[w] for w in words]
+            pairs = [known[w] if len(w) <= _LONG else word(w) for w in words]
             again = repeats(words)
             total = sum(p[0] for p in pairs) + again * same + any_text
             return total / (sum(p[1] for p in pairs) + again * _SAME_TIMES + _TEXT_TIMES)

@@ -57,6 +57,30 @@ def test_quality(spark, corpus):
     _check(quality.scores(docs, model, quality.Settings(buckets=1 << 14)), rows, known, 1, 0.97)
 
 
+@pytest.mark.parametrize("word", ["a", "x" * 126, "x" * 127, "aé漢😀" * 70, "\ud800b" * 90, "".join(map(chr, range(0x4E00, 0x4E00 + 20_000))) * 7])
+def test_every_ngram_of_a_word_is_a_feature(word):
+    framed = f"<{word}>"
+    want = [f"={word}"] + [framed[i : i + n] for n in (3, 4, 5) for i in range(len(framed) - n + 1)]
+    got = quality.features(word, 1 << 18, 3, 5)
+    assert sorted(got.tolist()) == sorted(zlib.crc32(p.encode("utf-8", "surrogatepass")) % (1 << 18) for p in want)
+
+
+def test_quality_of_texts_without_spaces(spark):
+    """Only the middle of one long word tells the labels apart."""
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(400):
+        good = i % 2
+        middle = "".join(_word(rng) if good else _word(rng).upper() for _ in range(60))
+        rows.append((i, "q" * 70 + middle + "z" * 70))
+        labels.append((i, good))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    model = quality.fit(known, docs, settings=quality.Settings(buckets=1 << 14))
+    got = [r for r in quality.scores(docs, model, quality.Settings(buckets=1 << 14), threshold=0.5).collect() if r.held_out]
+    assert len(got) > 50 and all(r.predicted == r.doc_id % 2 for r in got)
+
+
 def test_toxicity(spark, corpus):
     docs, labels, rows, known = corpus
     model = toxicity.fit(labels, docs)
