@@ -48,8 +48,9 @@ def top_k(
     1. ``pivots`` data vectors (those with the smallest id hashes; a fixed number) divide the space
        into Voronoi cells. One pass finds each row's cell and its distance to that pivot.
     2. Summaries, a few numbers per cell: rows, the largest distance of a query, and the k + 1
-       smallest distances of data. They bound, for all queries of a cell, the distance of the k-th
-       neighbour by the triangle inequality over pivots (k + 1, as a query can be data itself).
+       smallest distances of data with different ids. They bound, for all queries of a cell, the
+       distance of the k-th neighbour by the triangle inequality over pivots (k + 1 ids, as a query
+       can be data itself, in any number of rows and cells).
     3. Cells of queries are put together in groups of about ``query_rows``, larger cells are split.
        A data row goes to a group only if its distance to a pivot of the group is within the
        group's bound: no other row can be among the k.
@@ -87,18 +88,20 @@ def top_k(
     in_cells = written(queries.mapInPandas(lambda it: cells(it, False), coded), "knn-queries")
     near = Window.partitionBy("cell").orderBy("distance")
     closest = (
-        data.mapInPandas(lambda it: cells(it, True), coded).select("cell", "distance")
+        data.mapInPandas(lambda it: cells(it, True), coded).groupBy("cell", "id").agg(F.min("distance").alias("distance"))
         .withColumn("n", F.row_number().over(near)).filter(F.col("n") <= k + 1)
     )
     # both are bounded by the number of pivots
-    near_pivots = closest.select("cell", "distance").toPandas()
+    near_pivots = closest.select("cell", "id", "distance").orderBy("id").toPandas()
     counts = in_cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("distance").alias("far")).toPandas()
 
     between = _distances(p, p_lift, p, p_lift)
     ids = counts["cell"].to_numpy(np.int64)
     far = counts["far"].to_numpy(np.float64)
-    # by cell of queries: the (k + 1)-th smallest upper bound over the summaries of data
+    # by cell of queries: the (k + 1)-th smallest upper bound over the ids in the summaries of data
     upper = far[:, None] + between[np.ix_(ids, near_pivots["cell"].to_numpy(np.int64))] + near_pivots["distance"].to_numpy()[None, :]
+    if len(near_pivots):
+        upper = np.minimum.reduceat(upper, np.unique(near_pivots["id"].to_numpy(np.int64), return_index=True)[1], axis=1)
     kth = np.sort(upper, axis=1)[:, k] if upper.shape[1] > k else np.full(len(ids), np.inf)
     reach = (far + kth) * (1 + 1e-9) + 1e-6
 

@@ -48,6 +48,15 @@ def test_top_k(spark, blocks):
     assert sorted(map(tuple, got)) == _top(rows, queries, 6)
 
 
+def test_top_k_of_a_repeated_query(spark):
+    """The longest vector comes more than k + 1 times under one id, in one cell and in several."""
+    others = [(i, [3.0, i / 64]) for i in range(2, 20)]
+    for own in ([(1, [4.0, 0.0])] * 30, [(1, [4.0, i / 64]) for i in range(12)]):
+        df = _frame(spark, own + others)
+        got = knn_join.top_k(df.filter("vec_id = 1"), df, k=3).collect()
+        assert sorted(map(tuple, got)) == _top(own + others, {1}, 3)
+
+
 def test_top_k_small_and_empty(spark):
     df = _frame(spark, _vectors()[:3])
     got = knn_join.top_k(df, df).collect()
