@@ -90,9 +90,79 @@ s AS (SELECT conv, id, name, status, level, repeats, problems, '{"arguments":' |
 SELECT *, row_number() OVER (PARTITION BY conv ORDER BY level NULLS LAST, id NULLS LAST, json) AS position FROM s"""
 
 
+#: CRC-32 of the bytes of a text, by a table made from the reversed polynomial
+_CRC = r"""crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t)"""
+
+
+def _crc(text: str) -> str:
+    """SQL of the unsigned CRC-32; crc_table must be joined."""
+    byte = "strpos('123456789ABCDEF', substr(h, i, 1)) * 16 + strpos('123456789ABCDEF', substr(h, i + 1, 1))"
+    return (
+        f"xor(4294967295, list_reduce(list_transform([hex({text})], lambda h: list_transform(range(1, length(h), 2), lambda i: {byte}))[1],"
+        " lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))")
+
+
+_OP11 = rf"""
+WITH {_CRC},
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+v AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM w),
+b AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM v),
+k AS (SELECT g, {_crc("g")} % 10000 AS k FROM (SELECT g FROM g UNION SELECT g FROM b), crc_table),
+s AS (SELECT k, count(*) AS s FROM g JOIN k USING (g) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM b JOIN k USING (g) GROUP BY k),
+f AS (SELECT k, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+  / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain FROM (SELECT DISTINCT k FROM k) LEFT JOIN s USING (k) LEFT JOIN t USING (k)),
+m AS (SELECT doc_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM g JOIN k USING (g) JOIN f USING (k) GROUP BY doc_id),
+d AS (SELECT w.doc_id, len(w) AS n_words, len(w) + greatest(0, len(w) - 1) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+  + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(w.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN m ON m.doc_id = w.doc_id),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM d WHERE n_words >= 20)
+SELECT d.doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN rank <= 25 * (SELECT count(*) FROM r) // 100 THEN rank END AS rank, n_words::BIGINT AS n_words
+FROM d LEFT JOIN r ON r.doc_id = d.doc_id"""
+
+#: The states of a conversation's roles: 0 none, 1 system, 2 asked, 3 answered. One row per turn and state,
+#: first after inserts ahead of the turn, then after its own edit; of equal cost the least audit.
+_OP13 = rf"""
+WITH RECURSIVE {_CRC},
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fate FROM conversations, crc_table),
+d AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+  CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c WHERE fate <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), copy) AS i,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM d),
+x AS (SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank, substr(role, 1, 1) AS ini,
+  count(*) OVER (PARTITION BY conv_id) AS n, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) || substr(role, 1, 1) AS pair FROM o),
+y AS (SELECT *, NOT blank AND again AS dup, NOT blank AND NOT again AND NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut FROM x),
+ins AS (SELECT * FROM (VALUES (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, ''), (0, 2, 'I'), (1, 2, 'I'), (3, 2, 'I'), (2, 3, 'I'), (0, 3, 'II'), (1, 3, 'II')) v(a, b, e)),
+ed AS (SELECT * FROM (VALUES (0, 's', 1, 'K', 0), (0, 'u', 2, 'K', 0), (1, 'u', 2, 'K', 0), (2, 'a', 3, 'K', 0), (3, 'u', 2, 'K', 0),
+  (0, '', 0, 'K', 0), (1, '', 1, 'K', 0), (2, '', 2, 'K', 0), (3, '', 3, 'K', 0),
+  (0, NULL, 2, 'R', 3), (1, NULL, 2, 'R', 3), (2, NULL, 3, 'R', 3), (3, NULL, 2, 'R', 3), (0, NULL, 0, 'D', 4), (1, NULL, 1, 'D', 4), (2, NULL, 2, 'D', 4), (3, NULL, 3, 'D', 4)) v(b, ini, c, e, cost)),
+p(conv_id, i, state, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'said': NULL::VARCHAR}} FROM (SELECT DISTINCT conv_id FROM y)
+  UNION ALL
+  SELECT p.conv_id, y.i, ed.c, min({{'cost': p.best.cost + 3 * length(ins.e) + ed.cost + CASE WHEN y.cut AND ed.e <> 'D' THEN 3 ELSE 0 END, 'audit': p.best.audit || ins.e || ed.e,
+    'said': nullif(concat_ws(chr(10), p.best.said,
+      CASE ins.e WHEN 'I' THEN CASE WHEN ins.b = 3 THEN 'assistant:' ELSE 'user:' END WHEN 'II' THEN 'user:' || chr(10) || 'assistant:' END,
+      CASE ed.e WHEN 'K' THEN y.role || ':' || y.text WHEN 'R' THEN CASE WHEN ed.c = 3 THEN 'assistant:' ELSE 'user:' END || y.text END), '')}})
+  FROM p JOIN y ON y.conv_id IS NOT DISTINCT FROM p.conv_id AND y.i = p.i + 1 JOIN ins ON ins.a = p.state JOIN ed ON ed.b = ins.b AND (ed.ini IS NULL OR ed.ini = y.ini)
+    AND (ed.e = 'D' OR NOT (y.blank OR y.dup)) GROUP BY p.conv_id, y.i, ed.c),
+e AS (SELECT p.conv_id, min({{'cost': best.cost + CASE state WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END, 'audit': best.audit || CASE state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END,
+    'said': concat_ws(chr(10), best.said, CASE state WHEN 1 THEN 'user:' || chr(10) || 'assistant:' WHEN 2 THEN 'assistant:' END)}}) AS best
+  FROM p JOIN (SELECT conv_id, count(*) AS n FROM y GROUP BY conv_id) z ON z.conv_id IS NOT DISTINCT FROM p.conv_id AND z.n = p.i GROUP BY p.conv_id),
+q AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE dup) AS duplicate,
+  count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM y GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.best.cost, 0)::BIGINT AS cost, coalesce(e.best.audit, '') AS audit, sha256(coalesce(e.best.said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
 def build() -> dict[str, str]:
     return {
         "op1_exact_top_k": _OP1, "op2_ngram_jaccard_join": _OP2, "op3_mix_sources": _OP3,
         "op4_embedding_near_dedup": _OP4,
         "op6_line_dedup": _OP6, "op7_url_filter": _OP7, "op10_tool_call_linking": _OP10,
+        "op11_importance_resampling": _OP11, "op13_conversation_repair": _OP13,
     }

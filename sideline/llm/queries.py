@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sideline.llm import (
+    fertility,
+    importance,
     jaccard_join,
     knn_join,
     line_dedup,
@@ -17,6 +19,7 @@ from sideline.llm import (
     quality,
     tool_calls,
     toxicity,
+    turn_repair,
     url_filter,
 )
 from sideline.llm.common import table
@@ -99,6 +102,21 @@ def op10_tool_call_linking(spark: SparkSession, folder: str) -> DataFrame:
     return tool_calls.link(calls, results, schemas)
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of all documents, drawn towards the benchmark's n-grams."""
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_tokeniser_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and fertility bands of every document."""
+    return fertility.judge(table(spark, folder, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest repair and audit of every damaged conversation."""
+    return turn_repair.audit_of_damage(table(spark, folder, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -111,4 +129,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece_nbest": op8_sentencepiece_nbest,
         "op9_toxicity": op9_toxicity,
         "op10_tool_call_linking": op10_tool_call_linking,
+        "op11_importance_resampling": op11_importance_resampling,
+        "op12_tokeniser_fertility": op12_tokeniser_fertility,
+        "op13_conversation_repair": op13_conversation_repair,
     }
