@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space, as the contracts of the operators write it
 SPACE = r"\x20\x09-\x0D"
-#: so many words are remembered by one Python worker
-REMEMBERED = 500_000
+#: bytes that one Python worker spends on remembering words, about; longer words are not remembered
+REMEMBERED, LONGEST = 64 << 20, 200
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,15 +31,27 @@ def byte_words(text: str) -> list[bytes]:
 
 
 class Remembered(dict):
-    """A value per word, computed once per worker; starts anew when it holds too many words."""
+    """A value per word, computed once while it is remembered.
 
-    def __init__(self, make):
-        self.make = make
+    Takes about ``REMEMBERED`` bytes at most: when half of them are used, the words of the half
+    before are forgotten, unless they came up again. ``weight`` is what a value and its entry take,
+    beside the word.
+    """
+
+    def __init__(self, make, weight=lambda value: 200):
+        self.make, self.weight, self.before, self.used = make, weight, {}, 0
 
     def __missing__(self, word):
-        if len(self) >= REMEMBERED:
+        value = self.before.pop(word, None)
+        if value is None:
+            value = self.make(word)
+            if len(word) > LONGEST:
+                return value
+        self.used += len(word) + self.weight(value)
+        if self.used > REMEMBERED // 2:
+            self.before, self.used = dict(self), 0
             self.clear()
-        value = self[word] = self.make(word)
+        self[word] = value
         return value
 
 
@@ -80,12 +92,25 @@ def list_rows(column: pa.Array) -> list[np.ndarray]:
     return np.split(flat, ends[:-1]) if len(ends) else []
 
 
-def each_batch(make) -> object:
-    """A function for ``mapInArrow`` from one that turns a batch into a batch."""
+def by_size(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about ``size`` bytes of a text column, one row at least."""
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def each_batch(make, size: int | None = None) -> object:
+    """A function for ``mapInArrow`` from one that turns a batch into a batch; by ``size`` bytes of text, if given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
+            if size:
+                yield from map(make, by_size(batch, "_text", size))
+            elif batch.num_rows:
                 yield make(batch)
 
     return run

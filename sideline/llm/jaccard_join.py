@@ -15,8 +15,8 @@ from sideline.llm.bloom import bloom_words, may_contain, words_for
 from sideline.llm.common import arrays, byte_words, each_batch, shingles, word_hashes
 from sideline.llm.components import components
 
-#: shingles that one pass of counting holds at a time (8 bytes each)
-_CHUNK = 4_000_000
+#: shingles that one pass of counting holds at a time (8 bytes each), and bytes of text made into sets together
+_CHUNK, _TEXT = 1_000_000, 2 << 20
 
 
 def _repeated(n: int):
@@ -102,7 +102,7 @@ def _prefixes(n: int, percent: int, shared):
                  arrays([p.view(np.int64) for p in prefixes], pa.int64())],
                 names=["id", "n", "set_key", "prefix_key", "prefix"])
 
-        yield from each_batch(batch)(batches)
+        yield from each_batch(batch, _TEXT)(batches)
 
     return run
 
@@ -115,7 +115,7 @@ def _sets(n: int):
             held = [shingles(byte_words(t or ""), n, hashes).view(np.int64) for t in b.column("_text").to_pylist()]
             return pa.RecordBatch.from_arrays([b.column("_id"), arrays(held, pa.int64())], names=["id", "held"])
 
-        yield from each_batch(batch)(batches)
+        yield from each_batch(batch, _TEXT)(batches)
 
     return run
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sideline.llm.common import Remembered, arrays
+from sideline.llm.common import Remembered, arrays, by_size
 
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,6 +37,11 @@ class Pieces:
     starts: frozenset[str]
     split: re.Pattern | None
 
+    @cached_property
+    def longest(self) -> int:
+        """Characters of the longest piece."""
+        return max(map(len, self.ids), default=1)
+
     @classmethod
     def load(cls, path: str = MODEL) -> Pieces:
         import sentencepiece
@@ -66,123 +73,154 @@ def best_segmentations(text: str, pieces: Pieces, count: int) -> list[tuple[floa
 
     Forward: the best score from the start to every position (Viterbi). Backward: A-star from the
     end, with that score as the exact value of what is missing, so hypotheses complete in the order
-    of their totals; of equal ones the one nearer to the start goes first. A character without a
-    piece of its own is one unknown edge and is written as its bytes.
+    of their totals; of equal ones the one nearer to the start goes first. As every hypothesis
+    completes with exactly its total, no more of them than segmentations still wanted are kept. A
+    character without a piece of its own is one unknown edge and is written as its bytes.
+
+    Edges are looked up where they are needed, so memory is a number per character and two per
+    piece of the hypotheses, however long the text is.
     """
     n = len(text)
-    edges: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: (start, score)
-    best = [0.0] + [float("-inf")] * n
-    scores, starts = pieces.scores, pieces.starts
+    best = array("d", [float("-inf")]) * (n + 1)
+    best[0] = 0.0
+    scores, starts, unknown = pieces.scores, pieces.starts, pieces.unknown
     for i in range(n):
-        here, single = best[i], False
+        here = best[i]
         for j in range(i + 1, n + 1):
             part = text[i:j]
             score = scores.get(part)
-            if score is not None:
-                single |= j == i + 1
-                edges[j].append((i, score))
-                if here + score > best[j]:
-                    best[j] = here + score
+            if score is None and j == i + 1:
+                score = unknown
+            if score is not None and here + score > best[j]:
+                best[j] = here + score
             if part not in starts:
                 break
-        if not single:
-            edges[i + 1].append((i, pieces.unknown))
-            best[i + 1] = max(best[i + 1], here + pieces.unknown)
     found: list[tuple[float, list[int]]] = []
     tick = itertools.count()
-    agenda = [(-best[n], n, next(tick), 0.0, None)]
+    # hypotheses as linked nodes: position, and the node before (nearer to the end)
+    places, links = array("q", [n]), array("q", [-1])
+    agenda = [(-best[n], n, next(tick), 0.0, -1)]
     while agenda and len(found) < count:
-        total, at, _, done, path = heapq.heappop(agenda)
+        total, at, _, done, link = heapq.heappop(agenda)
+        places.append(at)
+        links.append(link)
+        node = len(places) - 1
         if at == 0:
             ids: list[int] = []
-            while path:
-                (i, j), path = path
-                piece = text[i:j]
+            while (after := links[node]) >= 0:
+                piece = text[places[node] : places[after]]
                 ids += [pieces.ids[piece]] if piece in pieces.ids else [pieces.bytes_[b] for b in piece.replace(_LITERAL, SPACE).encode("utf-8", "surrogatepass")]
+                node = after
             found.append((-total, ids))
             continue
-        for i, score in edges[at]:
-            heapq.heappush(agenda, (-(done + score + best[i]), i, next(tick), done + score, ((i, at), path)))
+        for i in range(at - 1, max(-1, at - 1 - pieces.longest), -1):
+            score = scores.get(text[i:at])
+            if score is None and i == at - 1:
+                score = unknown
+            if score is not None:
+                heapq.heappush(agenda, (-(done + score + best[i]), i, next(tick), done + score, node))
+        wanted = count - len(found)
+        if len(agenda) > wanted:
+            agenda = heapq.nsmallest(wanted, agenda)  # sorted, so a heap
     return found
 
 
-def segments(text: str, pieces: Pieces) -> list[str]:
+def segments(text: str, pieces: Pieces) -> Iterator[str]:
     """The text with spaces as ``SPACE`` and one in front, cut where no piece can cross."""
     marked = SPACE + text.replace(SPACE, _LITERAL).replace(" ", SPACE)
-    return pieces.split.findall(marked) if pieces.split else [marked]
+    return (m[0] for m in pieces.split.finditer(marked)) if pieces.split else iter((marked,))
 
 
-def best_of_document(parts: list[list[tuple[float, np.ndarray]]], count: int) -> list[tuple[float, np.ndarray]]:
+Choices = tuple[tuple[float, bytes], ...]
+
+
+def best_of_document(parts: Iterable[Choices], count: int) -> list[tuple[float, np.ndarray]]:
     """The ``count`` best segmentations of a document from those of its segments.
 
     The best takes every segment's best. A further one differs from it in segments whose second
     choice costs least: of ``count`` segmentations only the ``count - 1`` cheapest such segments can
-    differ, so only their combinations are sorted.
+    differ. Their choices are joined one segment at a time, and the ``count`` best of what is joined
+    so far are kept.
     """
-    base = sum(p[0][0] for p in parts)
-    best = [p[0][1] for p in parts]
-    costs = [(p[0][0] - p[1][0], i) for i, p in enumerate(parts) if len(p) > 1]
-    free = sorted(i for _, i in heapq.nsmallest(count - 1, costs))
-    combos = []
-    for choice in itertools.product(*[range(len(parts[i])) for i in free]):
-        loss = sum(parts[i][0][0] - parts[i][c][0] for i, c in zip(free, choice, strict=True))
-        combos.append((loss, choice))
+    base, best = 0.0, bytearray()
+    costs: list[tuple[float, int, int, Choices]] = []  # the cheapest second choices, dearest first
+    for i, part in enumerate(parts):
+        base += part[0][0]
+        if len(part) > 1 and count > 1:
+            entry = (part[1][0] - part[0][0], -i, len(best), part)
+            if len(costs) < count - 1:
+                heapq.heappush(costs, entry)
+            elif entry[:2] > costs[0][:2]:
+                heapq.heapreplace(costs, entry)
+        best += bytes(part[0][1])
+    free = sorted((at, part) for _, _, at, part in costs)
+    combos: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+    for _, part in free:
+        combos = heapq.nsmallest(count, (
+            (loss + part[0][0] - some[0], (*choice, c)) for loss, choice in combos for c, some in enumerate(part)))
     out = []
-    for loss, choice in heapq.nsmallest(count, combos):
-        ids = list(best)
-        for i, c in zip(free, choice, strict=True):
-            ids[i] = parts[i][c][1]
-        out.append((base - loss, np.concatenate(ids) if ids else np.empty(0, np.int32)))
+    for loss, choice in combos:
+        ids, at = [], 0
+        for (start, part), c in zip(free, choice, strict=True):
+            ids += [best[at:start], bytes(part[c][1])]
+            at = start + len(bytes(part[0][1]))
+        out.append((base - loss, np.frombuffer(b"".join([*ids, best[at:]]), np.int32)))
     return out
 
 
-def encode(docs: DataFrame, count: int = 1, model: str = MODEL, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(
+    docs: DataFrame, count: int = 1, model: str = MODEL, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+    restored: str | None = None,
+) -> DataFrame:
     """The ``count`` best segmentations of every whole text.
 
     The text gets one space in front and spaces become ``SPACE``; a character without a piece is
     written as byte pieces, so decoding gives the text back exactly, whatever it holds. The lattice
     falls apart at places that no piece crosses (before spaces, around line ends); a worker
-    remembers the segmentations of the parts it has seen, and a document's best are put together
+    remembers segmentations of the parts it has seen, in a bounded memory, and a document's best are put together
     from them exactly. Scores are sums of the model's piece scores. The vocabulary is read once
-    from ``model`` by the driver and handed to the tasks; it is of fixed size.
+    from ``model`` by the driver and handed to the tasks; it is of fixed size. Texts go through one
+    after another, and rows leave in slices of about a megabyte of text, so a task holds the
+    numbers of one long text or of a few short ones.
 
-    Returns the columns of ``keep`` (a column called scores or ids is not possible there), scores
-    (array, best first) and ids (array of arrays of piece ids). Null and empty texts have one
+    Returns the columns of ``keep`` (as they are; columns called scores or ids there are an error), scores
+    (array, best first), ids (array of arrays of piece ids) and, if ``restored`` names it, a column that says
+    whether decoding the best ids gives the text back. Null and empty texts have one
     segmentation, without pieces and of score 0; a text with fewer than ``count`` segmentations
-    gives fewer.
+    gives fewer. Repeated rows are rows of their own; an empty table gives no rows; other columns are
+    not read.
     """
+    added = ("scores", "ids", *[restored] * bool(restored))
+    if clash := set(keep) & set(added):
+        raise ValueError(f"columns to keep have names of the result: {sorted(clash)}")
     shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(model))
 
+    def choices(part: str, pieces: Pieces) -> Choices:
+        return tuple((score, np.array(ids, np.int32).tobytes()) for score, ids in best_segmentations(part, pieces, count))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
-        known = Remembered(lambda part: [(s, np.array(ids, np.int32)) for s, ids in best_segmentations(part, pieces, count)])
+        known = Remembered(lambda part: choices(part, pieces), lambda value: 250 + sum(120 + len(ids) for _, ids in value))
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            # a few megabytes of text at a time
-            at = 0
-            while at < len(texts):
-                size, end = 0, at
-                while end < len(texts) and size < 4_000_000:
-                    size += len(texts[end] or "")
-                    end += 1
-                best = [best_of_document([known[p] for p in segments(t, pieces)] if t else [], count) for t in texts[at:end]]
+            for rows in by_size(batch, "_text"):
+                texts = [x.as_py() or "" for x in rows.column("_text")]
+                best = [best_of_document(map(known.__getitem__, segments(t, pieces) if t else ()), count) for t in texts]
                 ids = arrays([x[1] for b in best for x in b], pa.int32())
                 ends = pa.array(np.cumsum([0, *map(len, best)]), pa.int32())
-                scores = arrays([np.array([x[0] for x in b]) for b in best], pa.float64())
-                rest = batch.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays(
-                    [*[rest.column(c) for c in keep], scores, pa.ListArray.from_arrays(ends, ids)], names=[*keep, "scores", "ids"])
-                at = end
+                columns = [*[rows.column(c) for c in keep], arrays([np.array([x[0] for x in b]) for b in best], pa.float64()), pa.ListArray.from_arrays(ends, ids)]
+                if restored:
+                    columns.append(pa.array([decode_ids(b[0][1], pieces) == t for b, t in zip(best, texts, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *added])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    kinds += ", " * bool(keep) + "scores array<double>, ids array<array<int>>"
+    kinds += ", " * bool(keep) + "scores array<double>, ids array<array<int>>" + f", {restored} boolean" * bool(restored)
     return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, kinds)
 
 
 def decode_ids(ids, pieces: Pieces) -> str:
     """The text of piece ids: pieces joined, byte pieces put together, the space in front taken off."""
     out, run = [], bytearray()
-    for piece in map(pieces.texts.__getitem__, ids):
+    for piece in map(pieces.texts.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids):
         if isinstance(piece, int):
             run.append(piece)
             continue
@@ -203,6 +241,6 @@ def decode(ids: Column, spark, model: str = MODEL) -> Column:
     def text(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pieces = shared.value
         for part in parts:
-            yield pd.Series([None if x is None else decode_ids(x.tolist(), pieces) for x in part], dtype=object)
+            yield pd.Series([None if x is None else decode_ids(x, pieces) for x in part], dtype=object)
 
     return text(ids)

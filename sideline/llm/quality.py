@@ -9,10 +9,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sideline.llm.common import Remembered, held_out
+from sideline.llm.common import Remembered, arrays, by_size, held_out
 from sideline.llm.training import learning_ids, sampled, texts_of
 
 #: a word of more characters is hashed by numpy, this many of its characters at a time after the
@@ -96,7 +97,30 @@ class Settings:
     seed: int = 17
 
 
+def bag(text: str | None, made: Remembered, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Features of a text and how often each occurs: words, n-grams, repeats and the constant one."""
+    words = (text or "").split()
+    held = np.zeros(s.buckets, np.int32)
+    for w in words:
+        for part in [made[w]] if len(w) <= _LONG else pieces(w, s.buckets, s.low, s.high):
+            np.add.at(held, part, 1)
+    held[bucket(_SAME, s.buckets)] += _SAME_TIMES * repeats(words)
+    held[bucket(_TEXT, s.buckets)] += _TEXT_TIMES
+    ids = np.flatnonzero(held).astype(np.int32)
+    return ids, held[ids]
+
+
+def features_of_words(s: Settings) -> Remembered:
+    return Remembered(lambda w: features(w, s.buckets, s.low, s.high), lambda value: 200 + value.nbytes)
+
+
 def train(texts: list[str], y: list[int], s: Settings = Settings()) -> np.ndarray:
+    """``learn`` from texts."""
+    made = features_of_words(s)
+    return learn([bag(t, made, s) for t in texts], y, s)
+
+
+def learn(bags: list[tuple[np.ndarray, np.ndarray]], y: list[int], s: Settings = Settings()) -> np.ndarray:
     """Weight per bucket: the log-odds of label 1 is the mean weight of a text's features.
 
     Features are the hashed words, their character n-grams, one for each word that follows itself,
@@ -107,21 +131,14 @@ def train(texts: list[str], y: list[int], s: Settings = Settings()) -> np.ndarra
     falling step. Both labels have the same total weight. As the model is linear after averaging,
     embedding and output weights of the trained model fold into one number per bucket.
     """
-    made = Remembered(lambda w: features(w, s.buckets, s.low, s.high))
-    same, any_text = np.array([bucket(_SAME, s.buckets)]), np.array([bucket(_TEXT, s.buckets)])
-    bags = []
-    for text in texts:
-        words = text.split()
-        parts = [made[w] if len(w) <= _LONG else features(w, s.buckets, s.low, s.high) for w in words] + [np.repeat(any_text, _TEXT_TIMES), np.repeat(same, _SAME_TIMES * repeats(words))]
-        bags.append(np.unique(np.concatenate(parts), return_counts=True))
     share = max(1, sum(y)), max(1, len(y) - sum(y))
     weight = [len(y) / (2 * share[0 if v else 1]) for v in y]
     rng = np.random.default_rng(s.seed)
     vectors = rng.uniform(-1 / s.width, 1 / s.width, (s.buckets, s.width)).astype(np.float32)
     out = rng.normal(0, 0.1, (2, s.width)).astype(np.float32)
-    total, at = s.epochs * max(1, len(texts)), 0
+    total, at = s.epochs * max(1, len(bags)), 0
     for _ in range(s.epochs):
-        for d in rng.permutation(len(texts)):
+        for d in rng.permutation(len(bags)):
             step = s.step * (1 - at / total) * min(weight[d], 4.0)
             at += 1
             ids, n = bags[d]
@@ -138,12 +155,36 @@ def train(texts: list[str], y: list[int], s: Settings = Settings()) -> np.ndarra
 
 
 def fit(labels: DataFrame, docs: DataFrame, column: str = "quality", settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"):
-    """Train on a bounded number of labelled rows outside the held-out fold, half of each label."""
+    """Train on a bounded number of labelled rows outside the held-out fold, half of each label.
+
+    A document labelled twice counts by its larger label; of rows that share an id the smallest text
+    counts. Rows with null ids or labels are not learnt from, null and empty texts have the constant
+    feature only. Without rows all scores are 0.5.
+    """
     known = learning_ids(labels, column, id_col)
     half = settings.rows // 2
     ids = sampled(known.filter("y = 1"), half).unionByName(sampled(known.filter("y = 0"), half))
-    rows = texts_of(ids, docs, id_col, text_col).orderBy("id").collect()
-    return train([r.text for r in rows], [r.y for r in rows], settings)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = features_of_words(settings)
+        for batch in batches:
+            for rows in by_size(batch, "text"):
+                held = [bag(t.as_py(), made, settings) for t in rows.column("text")]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("id"), rows.column("y"), arrays([i for i, _ in held], pa.int32()), arrays([n for _, n in held], pa.int32())], names=["id", "y", "ids", "n"])
+
+    # the driver gets features, at most one number per bucket and row, and no texts
+    found = texts_of(ids, docs, id_col, text_col).select("id", "y", "text").mapInArrow(run, "id long, y int, ids array<int>, n array<int>").toArrow().sort_by("id")
+    bags = [(i.values.to_numpy(), n.values.to_numpy()) for i, n in zip(found.column("ids"), found.column("n"), strict=True)]
+    return learn(bags, found.column("y").to_pylist(), settings)
+
+
+def score_text(text: str | None, model: np.ndarray, s: Settings = Settings()) -> float:
+    """Score of one text, in plain steps: the mean weight of its features, then the sigmoid."""
+    words = (text or "").split()
+    ids = [i for w in words for i in features(w, s.buckets, s.low, s.high).tolist()]
+    ids += [bucket(_SAME, s.buckets)] * (_SAME_TIMES * repeats(words)) + [bucket(_TEXT, s.buckets)] * _TEXT_TIMES
+    return float(1 / (1 + np.exp(-np.clip(sum(model[i] for i in ids) / len(ids), -50, 50))))
 
 
 def score_of(spark: SparkSession, text: Column, model, settings: Settings = Settings()) -> Column:
@@ -184,7 +225,11 @@ def scores(
     docs: DataFrame, model, settings: Settings = Settings(), id_col: str = "doc_id",
     text_col: str = "text", threshold: float = 0.7,
 ) -> DataFrame:
-    """id, held_out, score and predicted of every row; rows with a null id count as held out."""
+    """id, held_out, score and predicted of every row.
+
+    Rows with a null id are scored and count as held out; repeated rows are scored each, an empty
+    table gives no rows. Other columns are not read, so their names may clash.
+    """
     scored = docs.select(F.col(id_col), score_of(docs.sparkSession, F.col(text_col), model, settings).alias("score"))
     return scored.select(
         id_col, held_out(F.col(id_col)).alias("held_out"), "score",

@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from sideline.llm import quality, toxicity
@@ -113,5 +114,55 @@ def test_the_class_prior_correction_stays_non_negative():
     assert weights["a"] > 0 > bias
 
 
-def test_long_words_have_few_features():
-    assert len(quality.features("x" * 100_000, 1000, 3, 5)) < 1000
+def test_scores_are_those_of_a_plain_scorer(spark, corpus):
+    docs, labels, rows, _ = corpus
+    small = quality.Settings(rows=300, buckets=1 << 14, epochs=2)
+    model = quality.fit(labels, docs, settings=small)
+    toxic = toxicity.fit(labels, docs)
+    assert toxic[0]
+    odd = [(9000, "q" * 300 + "grumbling" * 40 + " snarlish,VEXO", "en", "x", 0.0, 0), (9001, "漢字" * 100 + " é grumble", "en", "x", 0.0, 0), (9002, "  \n", "en", "x", 0.0, 0)]
+    some = [r for r in rows if len(r[1] or "") < 20_000] + odd
+    frame = spark.createDataFrame(some, SCHEMA)
+    plain = {(r[0], r[1]): (quality.score_text(r[1], model, small), toxicity.score_text(r[1], toxic)) for r in some}
+    texts = {}
+    for i, t, *_ in some:
+        texts.setdefault(i, []).append((i, t))
+    for at, scored in enumerate((quality.scores(frame, model, small), toxicity.scores(frame, toxic))):
+        for r in scored.collect():
+            assert any(abs(r.score - plain[k][at]) < 1e-9 for k in texts[r.doc_id])
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.9])
+def test_risk_and_its_slope(prior):
+    rng = np.random.default_rng(3)
+    width = 12
+    bags = [[np.unique(rng.integers(0, width, rng.integers(0, 6))) for _ in range(n)] for n in (9, 30)]
+    positive, unlabelled = map(toxicity.batch_of, bags)
+
+    def plain(theta, bias):
+        mean = lambda texts, sign: np.mean([np.log1p(np.exp(-sign * (theta[b].sum() + bias))) for b in texts])
+        return prior * mean(bags[0], 1), mean(bags[1], -1) - prior * mean(bags[0], -1)
+
+    below = 0
+    for scale in (0.1, 1, 30):
+        for shift in (-40, 0, 5):
+            theta, bias = rng.normal(0, scale, width), float(rng.normal(shift, scale))
+            value, w, c = toxicity.risk(positive, unlabelled, theta, bias, prior)
+            up, bracket = plain(theta, bias)
+            below += bracket < 0
+            assert np.isclose(value, up + max(0, bracket))
+            # below zero the step goes up the bracket
+            of = (lambda t, b: sum(plain(t, b))) if bracket >= 0 else (lambda t, b: -plain(t, b)[1])
+            step = 1e-5
+            for i in range(width):
+                e = np.eye(width)[i] * step
+                assert np.isclose((of(theta + e, bias) - of(theta - e, bias)) / (2 * step), w[i], atol=1e-5)
+            assert np.isclose((of(theta, bias + step) - of(theta, bias - step)) / (2 * step), c, atol=1e-5)
+    assert 0 < below < 9 or prior < 0.5
+
+
+def test_the_driver_gets_no_texts(spark, corpus):
+    """A bag of any text has at most one number per bucket."""
+    small = quality.Settings(buckets=1 << 10)
+    ids, n = quality.bag("word " * 50_000 + "x" * 50_000, quality.features_of_words(small), small)
+    assert len(ids) <= 1 << 10 and n.sum() > 100_000
