@@ -418,9 +418,9 @@ def build() -> dict[str, str]:
     _documents(sql)
     _contexts(sql)
     _labels(sql)
-    from checks import oracle_lanes
+    from checks import oracle_lanes, oracle_stored
 
-    return sql | oracle_lanes.build()
+    return sql | oracle_lanes.build() | oracle_stored.build()
 
 
 def _seasons(sql: dict[str, str]) -> None:

@@ -12,7 +12,7 @@ from sideline.functions.session import prepare
 from sideline.functions.text import normalized_path, path_type
 from sideline.operators import context_tables, coverage, features, forecast, movement, profiles
 from sideline.operators import provenance, quality, ranking, readiness, scoring, season, season_report
-from sideline.plans import jobs, lanes
+from sideline.plans import jobs, lanes, stored
 from sideline.sources import documents, governed, star_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -681,5 +681,5 @@ def queries() -> dict[str, Query]:
             "cutoff_status": _cutoffs,
         }
     )
-    found |= lanes.queries()
+    found |= lanes.queries() | stored.queries()
     return {name: _prepared(query) for name, query in found.items()}
