@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: ASCII white space, as the contracts of the operators write it
 SPACE = r"\x20\x09-\x0D"
 #: bytes that one Python worker spends on remembering words, about; longer words are not remembered
-REMEMBERED, LONGEST = 64 << 20, 200
+REMEMBERED, LONGEST = 96 << 20, 200
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,13 +33,13 @@ def byte_words(text: str) -> list[bytes]:
 class Remembered(dict):
     """A value per word, computed once while it is remembered.
 
-    Takes about ``REMEMBERED`` bytes at most: when half of them are used, the words of the half
+    Takes about ``most`` bytes: when half of them are used, the words of the half
     before are forgotten, unless they came up again. ``weight`` is what a value and its entry take,
     beside the word.
     """
 
-    def __init__(self, make, weight=lambda value: 200):
-        self.make, self.weight, self.before, self.used = make, weight, {}, 0
+    def __init__(self, make, weight=lambda value: 200, most: int = REMEMBERED):
+        self.make, self.weight, self.most, self.before, self.used = make, weight, most, {}, 0
 
     def __missing__(self, word):
         value = self.before.pop(word, None)
@@ -48,7 +48,7 @@ class Remembered(dict):
             if len(word) > LONGEST:
                 return value
         self.used += len(word) + self.weight(value)
-        if self.used > REMEMBERED // 2:
+        if self.used > self.most // 2:
             self.before, self.used = dict(self), 0
             self.clear()
         self[word] = value

@@ -20,6 +20,8 @@ VOCABULARIES = ("/opt/tokenizers/piece_bpe_32k.model", "/opt/tokenizers/byte_bpe
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: a text is handed to a tokeniser so many characters at a time, cut before a space
 _BLOCK = 1 << 20
+#: bands that are handed to every task at most
+_FEW = 10_000
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: of each vocabulary: thousandths of characters per token, ten-thousandths of tokens that are single
 #: bytes of a character, thousandths of bits of the distribution of its tokens
@@ -231,8 +233,11 @@ def judge(
     rows = rows.withColumn("_class", F.floor(F.log2(F.greatest("tokens_0", F.lit(1))) / 2).cast("int"))
     # measures are whole numbers, so an exact quartile holds a bounded number of values
     different = rows.filter("tokens_0 > 0").select("band", "_class", *names).distinct()
-    bands = different.groupBy("band", "_class").agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.expr(f"percentile({m}, array(0.25D, 0.75D))").alias(f"_{m}") for m in names])
+    bands = written(different.groupBy("band", "_class").agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.expr(f"percentile({m}, array(0.25D, 0.75D))").alias(f"_{m}") for m in names]), "bands")
+    bands = bands.filter(F.col("_rows") >= least)
+    # few languages in few classes: every task gets them, where they are few
+    bands = F.broadcast(bands) if bands.count() <= _FEW else bands
 
     def outside(m: str) -> str:
         low, high = f"_{m}[0]", f"_{m}[1]"
@@ -240,7 +245,7 @@ def judge(
         below = "" if m.startswith("fallback") else f"{m} < {low} - {reach} OR "
         return f"IF({below}{m} > {high} + {reach}, '{m}', NULL)"
 
-    found = rows.join(bands.filter(F.col("_rows") >= least), ["band", "_class"], "left")
+    found = rows.join(bands, ["band", "_class"], "left")
     found = found.withColumn("outside", F.expr(f"array_compact(array({', '.join(map(outside, names))}))"))
     failed = f"n_words < {min_words} OR 100 * n_repeat_words > {most_repeats} * n_words"
     return found.select(

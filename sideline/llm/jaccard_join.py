@@ -73,16 +73,31 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+#: words of the signature of a set
+_WORDS = 4
+
+
+def signature(held: np.ndarray) -> np.ndarray:
+    """Four 64-bit words: for each of 256 classes of shingles whether their number is odd.
+
+    Every shingle that only one of two sets has changes one bit, so sets differ in at least as many
+    shingles as their signatures differ in bits.
+    """
+    odd = np.bincount((held >> np.uint64(56)).astype(np.int64), minlength=64 * _WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def _prefixes(n: int, percent: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         frequent, levels = shared.value
 
         def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-            sizes, keys, groups, prefixes = [], [], [], []
+            sizes, keys, groups, prefixes, marks = [], [], [], [], []
             for text in b.column("_text").to_pylist():
                 held = shingles(byte_words(text), n, hashes) if text else np.empty(0, np.uint64)
                 sizes.append(len(held))
+                marks.append(signature(held))
                 if not len(held):
                     keys.append(None)
                     groups.append(None)
@@ -99,8 +114,9 @@ def _prefixes(n: int, percent: int, shared):
                 prefixes.append(prefix)
             return pa.RecordBatch.from_arrays(
                 [b.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.binary()),
-                 arrays([p.view(np.int64) for p in prefixes], pa.int64())],
-                names=["id", "n", "set_key", "prefix_key", "prefix"])
+                 arrays([p.view(np.int64) for p in prefixes], pa.int64()),
+                 arrays(marks, pa.int64())],
+                names=["id", "n", "set_key", "prefix_key", "prefix", "mark"])
 
         yield from each_batch(batch, _TEXT)(batches)
 
@@ -130,18 +146,30 @@ def _overlap(a: str, b: str, percent: int) -> str:
     return _up(f"{percent} * ({a} + {b})", str(100 + percent))
 
 
-def _may_share(a: str, i: str, b: str, j: str, percent: int, before: tuple[str, str] | None = None) -> str:
+def _may_share(a: str, i: str, b: str, j: str, percent: int) -> str:
     """Whether sets of sizes a and b with a common shingle at places i and j (from 0) can be linked.
 
     Their sizes must fit, and besides that shingle only the smaller number of those before it and of
-    those after it can be common. ``before`` has the numbers of those before it that can be, if
-    they are known to be fewer.
+    those after it can be common.
     """
-    x, y = before or (i, j)
-    most = f"least({x}, {y}) + least({a} - {i}, {b} - {j})"
+    most = f"least({i}, {j}) + least({a} - {i}, {b} - {j})"
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b}) AND {most} >= {_overlap(a, b, percent)}"
 
 
+def _first_shared(a: str, i: str, b: str, j: str, percent: int) -> str:
+    """Whether a common shingle at places i and j can be the first one of linked sets of sizes a and b.
+
+    All others come after it in both. Linked sets have a first one, so no other has to be looked at.
+    """
+    return f"{i} <= {a} - {_overlap(a, b, percent)} AND {j} <= {b} - {_overlap(a, b, percent)}"
+
+
+def _alike(a: str, x: str, b: str, y: str, percent: int) -> str:
+    """Whether sets of sizes a and b with signatures x and y can be linked; an unknown signature can."""
+    bits = " + ".join(f"bit_count({x}[{i}] ^ {y}[{i}])" for i in range(_WORDS))
+    return f"coalesce({bits} <= {a} + {b} - 2 * {_overlap(a, b, percent)}, true)"
+
+
 def _needed(a: str, b: str, percent: int) -> str:
     """Common prefix shingles below which sets of sizes a and b cannot be linked.
 
@@ -191,11 +219,15 @@ def jaccard_components(
        whole sets; their links give first components. Where components still meet under a shingle,
        each group is paired with the first group of another one, and the same follows. This takes in
        large groups of near copies.
-    4. Under shingles whose groups are in several components, all pairs of different components are
-       formed whose sizes, places and numbers of such shingles allow a link, counted, cut by the
-       number of common shingles a link needs, expanded to their classes and verified. Pairs inside
+    4. Under shingles whose groups are in several components, pairs of different components are
+       formed for which the shingle can be the first common one of linked sets, by sizes and places,
+       and whose signatures do not differ in more bits than linked sets differ in shingles. They are
+       expanded to their classes, held against signatures again and verified. Pairs inside
        a component can't change it and are left out.
 
+    Texts of any length are read whole, a few at a time; a document's set takes 8 bytes per shingle
+    in the task that makes it.
+
     Returns one row per row of ``docs``: id, n_shingles, component_id (smallest id reachable). Null,
     empty and wordless texts have no shingles and link with nothing. Rows that share an id are one
     document, linked with what any of its texts is linked with; a row with a null id links with nothing and has a null component. An empty
@@ -205,15 +237,18 @@ def jaccard_components(
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     shared = spark.sparkContext.broadcast(frequent_shingles(texts.filter("_id IS NOT NULL").select("_text"), n, most_frequent))
     rows = written(
-        texts.mapInArrow(_prefixes(n, percent, shared), "id long, n long, set_key binary, prefix_key binary, prefix array<long>"), "prefixes")
+        texts.mapInArrow(_prefixes(n, percent, shared), "id long, n long, set_key binary, prefix_key binary, prefix array<long>, mark array<long>"), "prefixes")
     usable = rows.filter("id IS NOT NULL AND n > 0")
-    classes = written(usable.groupBy("prefix_key", "set_key", "n").agg(F.min("id").alias("cls")), "classes")
-    groups = usable.groupBy("prefix_key").agg(F.min("id").alias("grp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    members = written(classes.join(classes.groupBy("prefix_key").agg(F.min("cls").alias("grp")), "prefix_key").select("grp", "cls", "n"), "members")
+    classes = written(usable.groupBy("prefix_key", "set_key", "n").agg(F.min("id").alias("cls"), F.first("mark").alias("mark")), "classes")
+    groups = usable.groupBy("prefix_key").agg(
+        F.min("id").alias("grp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
+        # sets of a group differ past its prefix: its signature counts if it has one set only
+        F.when(F.min("set_key") == F.max("set_key"), F.first("mark")).alias("mark"))
+    members = written(classes.join(classes.groupBy("prefix_key").agg(F.min("cls").alias("grp")), "prefix_key").select("grp", "cls", "n", "mark"), "members")
 
     # shingles under which several groups meet, with the first group and the one before
     ordered = Window.partitionBy("token").orderBy("pos", "n", "grp")
-    entries = groups.select(F.posexplode("prefix").alias("pos", "token"), "grp", "n")
+    entries = groups.select(F.posexplode("prefix").alias("pos", "token"), "grp", "n", "mark")
     group = F.struct("grp", "n", "pos")
     met = written(
         entries.withColumns({"first": F.first(group).over(ordered), "before": F.lag(group).over(ordered), "after": F.lead("grp").over(ordered)})
@@ -249,9 +284,9 @@ def jaccard_components(
     def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Members and groups with their components, and the entries of shingles with several."""
         parts = components(links).withColumnRenamed("node", "cls")
-        known = written(members.join(parts, "cls", "left").select("grp", "cls", F.coalesce("component", "cls").alias("comp")), "members")
+        known = written(members.join(parts, "cls", "left").select("grp", "cls", "n", "mark", F.coalesce("component", "cls").alias("comp")), "members")
         of_group = known.select("grp", "comp").distinct()
-        placed = written(met.select("token", "grp", "n", "pos").join(of_group, "grp"), "placed")
+        placed = written(met.select("token", "grp", "n", "pos", "mark").join(of_group, "grp"), "placed")
         several = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("token")
         return known, of_group, written(placed.join(several, "token"), "mixed")
 
@@ -265,20 +300,19 @@ def jaccard_components(
     again = ends.select("grp", "n", "pos", F.when(F.col("comp") != F.col("one.comp"), F.col("one")).otherwise(F.col("two")).alias("other"))
     first = written(first.unionByName(linked(_promising(again, percent))), "linked")
     members, of_group, mixed = labelled(first)
-    # only shingles under which components meet can be common: r of them before this one, m in all
-    own_group = Window.partitionBy("grp", "comp")
-    mixed = mixed.withColumns({"r": F.row_number().over(own_group.orderBy("pos")) - 1, "m": F.count(F.lit(1)).over(own_group)})
-    left, right = (mixed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "pos", "comp", "r", "m")]) for s in "ab")
+    # m shingles of a group can be common: those under which components meet
+    mixed = mixed.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("grp", "comp")))
+    left, right = (mixed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "pos", "comp", "m", "mark")]) for s in "ab")
     across = (
-        left.join(right, "token").filter("comp_a < comp_b").filter(_may_share("n_a", "pos_a", "n_b", "pos_b", percent, ("r_a", "r_b")))
-        .filter(f"least(m_a, m_b) >= {_needed('n_a', 'n_b', percent)}")
-        .groupBy("grp_a", "comp_a", "n_a", "grp_b", "comp_b", "n_b").count()
-        .filter(f"count >= {_needed('n_a', 'n_b', percent)}").select("grp_a", "comp_a", "grp_b", "comp_b")
+        left.join(right, "token").filter("comp_a < comp_b").filter(_first_shared("n_a", "pos_a", "n_b", "pos_b", percent))
+        .filter(f"least(m_a, m_b) >= {_needed('n_a', 'n_b', percent)}").filter(_alike("n_a", "mark_a", "n_b", "mark_b", percent))
+        .select("grp_a", "comp_a", "grp_b", "comp_b").distinct()
     )
     own = of_group.select("grp", F.col("comp").alias("comp_a")).join(of_group.select("grp", F.col("comp").alias("comp_b")), "grp").filter("comp_a < comp_b")
     across = across.unionByName(own.select(F.col("grp").alias("grp_a"), "comp_a", F.col("grp").alias("grp_b"), "comp_b"))
-    side = {s: members.select(F.col("grp").alias(f"grp_{s}"), F.col("comp").alias(f"comp_{s}"), F.col("cls").alias(s)) for s in "ab"}
-    more = linked(across.join(side["a"], ["grp_a", "comp_a"]).join(side["b"], ["grp_b", "comp_b"]).select("a", "b").distinct())
+    side = {s: members.select(F.col("grp").alias(f"grp_{s}"), F.col("comp").alias(f"comp_{s}"), F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("mark").alias(f"mark_{s}")) for s in "ab"}
+    expanded = across.join(side["a"], ["grp_a", "comp_a"]).join(side["b"], ["grp_b", "comp_b"]).filter(_alike("n_a", "mark_a", "n_b", "mark_b", percent))
+    more = linked(expanded.select("a", "b").distinct())
     found = components(first.unionByName(more))
 
     of_class = classes.select("set_key", F.col("cls").alias("node")).join(found, "node", "left").select(

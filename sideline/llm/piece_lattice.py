@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import heapq
-import itertools
 import re
 from array import array
+from bisect import insort
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -21,6 +21,10 @@ from sideline.llm.common import Remembered, arrays, by_size
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNKNOWN_PENALTY = 10.0
+#: bytes of remembered parts per worker
+_MEMORY = 192 << 20
+#: characters of a text from which on its edges are not kept
+_LONG = 1000
 #: stands for a SPACE character of the text itself; no text holds a lone surrogate
 _LITERAL = "\udc81"
 
@@ -42,6 +46,18 @@ class Pieces:
         """Characters of the longest piece."""
         return max(map(len, self.ids), default=1)
 
+    @cached_property
+    def prefixes(self) -> dict[str, float]:
+        """Score of every piece, and minus infinity for what only begins one."""
+        return dict.fromkeys(self.starts, float("-inf")) | self.scores
+
+    def edges_to(self, text: str, at: int) -> Iterator[tuple[int, float]]:
+        """(start, score) of the edges of a text that end at a place."""
+        for i in range(max(0, at - self.longest), at):
+            score = self.scores.get(text[i:at], self.unknown if i == at - 1 else None)
+            if score is not None:
+                yield i, score
+
     @classmethod
     def load(cls, path: str = MODEL) -> Pieces:
         import sentencepiece
@@ -77,31 +93,48 @@ def best_segmentations(text: str, pieces: Pieces, count: int) -> list[tuple[floa
     completes with exactly its total, no more of them than segmentations still wanted are kept. A
     character without a piece of its own is one unknown edge and is written as its bytes.
 
-    Edges are looked up where they are needed, so memory is a number per character and two per
-    piece of the hypotheses, however long the text is.
+    The edges of a short text are kept, those of a long one are looked up again where they are
+    needed, so memory is a number per character and two per piece of the hypotheses, however long the text is.
     """
     n = len(text)
-    best = array("d", [float("-inf")]) * (n + 1)
+    prefixes, unknown = pieces.prefixes, pieces.unknown
+    lowest = float("-inf")
+    best = array("d", [lowest]) * (n + 1) if n > _LONG else [lowest] * (n + 1)
     best[0] = 0.0
-    scores, starts, unknown = pieces.scores, pieces.starts, pieces.unknown
+    ends: list[list[tuple[int, float]]] | None = [[] for _ in range(n + 1)] if n <= _LONG else None
     for i in range(n):
         here = best[i]
-        for j in range(i + 1, n + 1):
-            part = text[i:j]
-            score = scores.get(part)
-            if score is None and j == i + 1:
-                score = unknown
-            if score is not None and here + score > best[j]:
-                best[j] = here + score
-            if part not in starts:
+        j = i + 1
+        score = prefixes.get(text[i], lowest)
+        if score == lowest:
+            total = here + unknown
+            if total > best[j]:
+                best[j] = total
+            if ends is not None:
+                ends[j].append((i, unknown))
+            if text[i] not in prefixes:
+                continue
+        while True:
+            if score > lowest:
+                total = here + score
+                if total > best[j]:
+                    best[j] = total
+                if ends is not None:
+                    ends[j].append((i, score))
+            j += 1
+            if j > n:
+                break
+            score = prefixes.get(text[i:j])
+            if score is None:
                 break
     found: list[tuple[float, list[int]]] = []
-    tick = itertools.count()
     # hypotheses as linked nodes: position, and the node before (nearer to the end)
     places, links = array("q", [n]), array("q", [-1])
-    agenda = [(-best[n], n, next(tick), 0.0, -1)]
-    while agenda and len(found) < count:
-        total, at, _, done, link = heapq.heappop(agenda)
+    # total (negative), position, number of the hypothesis, score so far, node before
+    agenda = [(-best[n], n, 0, 0.0, -1)]
+    numbered = 0
+    while agenda:
+        total, at, _, done, link = agenda.pop(0)
         places.append(at)
         links.append(link)
         node = len(places) - 1
@@ -112,16 +145,17 @@ def best_segmentations(text: str, pieces: Pieces, count: int) -> list[tuple[floa
                 ids += [pieces.ids[piece]] if piece in pieces.ids else [pieces.bytes_[b] for b in piece.replace(_LITERAL, SPACE).encode("utf-8", "surrogatepass")]
                 node = after
             found.append((-total, ids))
+            if len(found) == count:
+                break
             continue
-        for i in range(at - 1, max(-1, at - 1 - pieces.longest), -1):
-            score = scores.get(text[i:at])
-            if score is None and i == at - 1:
-                score = unknown
-            if score is not None:
-                heapq.heappush(agenda, (-(done + score + best[i]), i, next(tick), done + score, node))
         wanted = count - len(found)
-        if len(agenda) > wanted:
-            agenda = heapq.nsmallest(wanted, agenda)  # sorted, so a heap
+        for i, score in ends[at] if ends is not None else pieces.edges_to(text, at):
+            so_far = done + score
+            total = -(so_far + best[i])
+            if len(agenda) < wanted or (total, i) < agenda[-1][:2]:
+                numbered += 1
+                insort(agenda, (total, i, numbered, so_far, node))
+                del agenda[wanted:]
     return found
 
 
@@ -200,7 +234,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
-        known = Remembered(lambda part: choices(part, pieces), lambda value: 250 + sum(120 + len(ids) for _, ids in value))
+        known = Remembered(lambda part: choices(part, pieces), lambda value: 220 + sum(120 + len(ids) for _, ids in value), _MEMORY)
         for batch in batches:
             for rows in by_size(batch, "_text"):
                 texts = [x.as_py() or "" for x in rows.column("_text")]
