@@ -103,8 +103,29 @@ def _found() -> list[list[tuple[str, str]]]:
     return [*out, d("invalid JSON"), d("artifact must be an object")]
 
 
+def _published() -> str:
+    """Rows of every data set of a run."""
+    seasons = "(SELECT count(*) FROM (SELECT DISTINCT season, team FROM tw))"
+    top = f"least(10, {seasons})"
+    weekly, season = len(o.RANKED), len(o.SEASON_RANKED) + 8
+    rows = {
+        "weekly_states": "(SELECT count(*) FROM tw)", "pipeline_metadata": "1", "team_seasons": seasons, "current_snapshot": f"{3 + len(o.SEASON_RANKED)}*{top}",
+        "current_offense_environments": f"4*{top}", "current_matchup_environments": f"4*{top}", "snapshot_scope": "1",
+        "team_environment_profiles_v0": seasons, "team_environment_profiles_v0_metadata": "1", "team_environment_movement_v0": seasons,
+        "team_environment_movement_v1": seasons, "team_environment_movement_metadata": "1",
+        "rankings": f"{weekly}*(SELECT count(*) FROM tw)+{weekly}*(SELECT count(*) FROM latest)+{season}*{seasons}",
+    }
+    parts = " UNION ALL ".join(f"SELECT '{name}' AS dataset, CAST({n} AS BIGINT) AS rows, CAST(0 AS BIGINT) AS wrong" for name, n in rows.items())
+    return o.query(o.ROWS + o.LATEST.replace("states", "tw"), parts)
+
+
 def build() -> dict[str, str]:
     sql = {f"context_files_{name}": _context(kind) for name, kind in (("offense", "offense"), ("team", "context"), ("landing", "landing"))}
+    sql["published_run"] = _published()
+    sql["manifest_findings"] = o.query(o.ROWS + f""",
+p AS (SELECT season || '-' || team AS name, (season+{NATION})%6 AS code FROM (SELECT DISTINCT season, team FROM tw))""", """
+SELECT name, false AS invented, CASE code WHEN 0 THEN 'changed' WHEN 1 THEN 'extra' ELSE 'listed twice' END AS problem, code<>1 AS listed, true AS there FROM p WHERE code IN (0, 1, 3)
+UNION ALL SELECT name, true, 'missing', true, false FROM p WHERE code=2""")
     found = _found()
     values = ", ".join(f"({i}, '{part}', {_quoted(m)})" for i, some in enumerate(found) for part, m in some)
     sql["feature_files"] = o.query(o.ROWS, f"""SELECT season || '-' || team AS sourceFile, part, message FROM (SELECT DISTINCT season, team FROM tw)

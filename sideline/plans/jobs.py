@@ -11,6 +11,7 @@ from sideline.functions.session import prepare
 from sideline.operators import coverage, features, forecast, movement, profiles, provenance
 from sideline.operators import quality, ranking, readiness, scoring, season
 from sideline.operators.quality import QualityError
+from sideline.sinks import publication
 from sideline.sinks.artifacts import write_dataset
 from sideline.sources import checksum, documents, governed
 
@@ -163,9 +164,9 @@ def all_rankings(run: Run) -> DataFrame:
     return out
 
 
-def publish(run: Run, folder: str, fmt: str = "json") -> list[str]:
-    """Write all data sets of a run."""
-    tables = {
+def datasets(run: Run) -> dict[str, DataFrame]:
+    """All data sets of a run but the rankings, by name."""
+    return {
         "weekly_states": scoring.as_state_records(run.states),
         "pipeline_metadata": run.metadata,
         "team_seasons": run.seasons,
@@ -181,6 +182,18 @@ def publish(run: Run, folder: str, fmt: str = "json") -> list[str]:
         config.ARTIFACT_MOVEMENT_V1: movement.with_covered_weeks(run.movement_v1),
         "team_environment_movement_metadata": run.movement_metadata,
     }
+
+
+def publish_run(run: Run, folder: str, fmt: str = "parquet") -> str:
+    """Publish all data sets of a run and its rankings together; readers see all of them or none."""
+    named = {name: publication.Dataset(df) for name, df in datasets(run).items()}
+    named["rankings"] = publication.Dataset(all_rankings(run), ("family", "metric"))
+    return publication.publish(run.metadata.sparkSession, named, folder, fmt)
+
+
+def publish(run: Run, folder: str, fmt: str = "json") -> list[str]:
+    """Write all data sets of a run in place, one after another (see ``publish_run``)."""
+    tables = datasets(run)
     paths = [write_dataset(df, folder, name, fmt) for name, df in tables.items()]
     rankings = all_rankings(run)
     return [*paths, write_dataset(rankings, folder, "rankings", fmt, by=("family", "metric"))]
@@ -198,6 +211,18 @@ def run_documents(
     )
 
 
+def publish_pinned(
+    spark: SparkSession, path: str, pinned: DataFrame, out: str, season_: int | None = None, week: int | None = None,
+    generated_at: str | None = None,
+) -> str:
+    """Analyse and publish a folder of documents that is exactly what its manifest lists.
+
+    All files are held against the manifest before anything is read for the run or written.
+    """
+    checksum.require_manifest(spark, path, pinned)
+    return publish_run(run_documents(spark, path, season_, week, generated_at), out)
+
+
 class Rehearsal(NamedTuple):
     """Report of a candidate document, and the coverage problems that its counts stand for."""
 

@@ -12,8 +12,10 @@ from sideline import config, schemas
 from sideline.functions import lineage
 from sideline.operators import context_documents, context_tables, feature_documents
 from sideline.operators.features import FeatureOptions
+from sideline.plans import jobs
 from sideline.plans.lanes import LEAGUE, SEASON
-from sideline.sources import star_schema, variant_documents
+from sideline.sinks import publication
+from sideline.sources import checksum, star_schema, variant_documents
 
 NATION = "int(substring(team, 8))"
 
@@ -152,8 +154,49 @@ def _features(spark, folder):
     return feature_documents.document_problems(values, OPTIONS).select("sourceFile", "part", "message")
 
 
+# --- manifests and publication ---
+
+
+def _manifest(spark, folder):
+    """A file per team and season against a manifest that is wrong in four ways."""
+    weeks = star_schema.team_weeks(spark, folder).groupBy("season", "team").agg(F.sort_array(F.collect_list(F.struct("week", "pointsFor"))).alias("weeks"))
+    path = _folder(spark, "pinned")
+    weeks.selectExpr("concat(season, '-', team) AS name", "to_json(weeks) AS text").write.partitionBy("name").text(path)
+    found = lineage.written(checksum.folder_manifest(spark, path), "digests")
+    name = "regexp_extract(file, 'name=([^/]*)', 1)"
+    coded = found.selectExpr("file", "sha256", f"pmod(int(substring({name}, 13)) + int(substring({name}, 1, 4)), 6) AS code")
+    listed = coded.where("code <> 1").selectExpr("file", "if(code = 0, repeat('0', 64), sha256) AS sha256")
+    gone = coded.where("code = 2").selectExpr("concat(file, '.gone') AS file", "sha256")
+    twice = coded.where("code = 3").selectExpr("file", "repeat('1', 64) AS sha256")
+    equal = coded.where("code = 4").select("file", "sha256")
+    problems = checksum.manifest_problems(found, listed.unionByName(gone).unionByName(twice).unionByName(equal))
+    return problems.selectExpr(f"{name} AS name", "endswith(file, '.gone') AS invented", "problem", "expected IS NOT NULL AS listed", "found IS NOT NULL AS there")
+
+
+def _published(spark, folder):
+    """A run, published; then one that fails half-way. Every data set of the first is read back."""
+    run = jobs.analyse(star_schema.team_weeks(spark, folder), generated_at="now")
+    out = _folder(spark, "published")
+    jobs.publish_run(run, out)
+    names = [*jobs.datasets(run), "rankings"]
+    broken = spark.range(1).select(F.raise_error(F.lit("half-way")).cast("int").alias("x"))
+    try:
+        publication.publish(spark, {"weekly_states": publication.Dataset(run.metadata), "last": publication.Dataset(broken)}, out)
+    except Exception as error:  # noqa: BLE001
+        if "half-way" not in str(error):
+            raise
+    counts = None
+    for name in names:
+        rows = publication.read_dataset(spark, out, name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
+        counts = rows if counts is None else counts.unionByName(rows)
+    wrong = publication.published_problems(spark, out).agg(F.count(F.lit(1)).alias("wrong"))
+    return counts.join(publication.contents(spark, out).where("bytes > 0").select("dataset"), "dataset").crossJoin(wrong)
+
+
 def queries() -> dict:
     return {
+        "manifest_findings": _manifest,
+        "published_run": _published,
         "context_files_offense": _context("offense"),
         "context_files_team": _context("context"),
         "context_files_landing": _context("landing"),
