@@ -31,7 +31,8 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     bound = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1]
     if bound < _FIT:
         return (q @ x.T).astype(np.int64)
-    exact = q.astype(object).dot(x.T.astype(object)) if q.size and x.size else np.zeros((len(q), len(x)), object)
+    whole = np.vectorize(int, otypes=[object])
+    exact = whole(q).dot(whole(x.T)) if q.size and x.size else np.zeros((len(q), len(x)), object)
     return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
 
 

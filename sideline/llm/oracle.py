@@ -70,21 +70,22 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 
 _OP10 = r"""
 WITH RECURSIVE t AS (SELECT conv_id::VARCHAR AS conv, turn, role, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM conversations),
-c AS (SELECT conv, concat_ws('-', conv, turn) AS id, (['search', 'fetch', 'sum'])[(n % 3 + 1)::INT] AS name, n, turn, md5(text) AS q,
-    concat_ws('-', conv, turn % 2 + 2 * ((turn - turn % 2) // 4)) AS need, turn % 2 + 2 * ((turn - turn % 2) // 4) < turn AS has
+c AS (SELECT conv, conv || '-' || turn AS id, true AS called, (['search', 'fetch', 'sum'])[(n % 3 + 1)::INT] AS name, n, turn, md5(text) AS q,
+    conv || '-' || (turn % 2 + 2 * ((turn - turn % 2) // 4)) AS need, turn % 2 + 2 * ((turn - turn % 2) // 4) < turn AS has
   FROM t WHERE role = 'user'),
-r AS (SELECT concat_ws('-', conv, turn - 1) AS id, min(md5(text)) AS content, count(*) - 1 AS more FROM t WHERE role = 'assistant' GROUP BY 1),
+a AS (SELECT conv || '-' || (turn - 1) AS id, md5(text) AS content FROM t WHERE role = 'assistant'),
+r AS (SELECT id, min(content) AS content, count(*) - 1 AS more FROM a WHERE id IS NOT NULL GROUP BY id UNION ALL SELECT id, content, 0 FROM a WHERE id IS NULL),
 l(id, level) AS (SELECT id, 0 FROM c WHERE NOT (has AND need IN (SELECT id FROM c)) UNION ALL SELECT c.id, l.level + 1 FROM c JOIN l ON c.need = l.id WHERE has),
 j AS (SELECT conv, coalesce(c.id, r.id) AS id, name, level, coalesce(more, 0) AS repeats, content, has, need,
-    CASE WHEN c.id IS NULL THEN 'no_call' WHEN r.id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
-    CASE WHEN c.id IS NULL OR n % 13 = 0 THEN 'null' ELSE '{' || CASE WHEN n % 11 = 0 THEN '"exact":true,' ELSE '' END
+    CASE WHEN called IS NULL THEN 'no_call' WHEN c.id IS NULL THEN 'no_id' WHEN r.id IS NULL THEN 'no_result' ELSE 'linked' END AS status,
+    CASE WHEN called IS NULL OR n % 13 = 0 THEN 'null' ELSE '{' || CASE WHEN n % 11 = 0 THEN '"exact":true,' ELSE '' END
       || CASE WHEN n % 7 <> 0 THEN '"limit":' || n || ',' ELSE '' END || '"query":"' || q || '","turn":' || turn || '}' END AS args,
     list_filter([CASE WHEN n % 13 = 0 THEN 'malformed arguments' END, CASE WHEN name = 'search' AND n % 13 <> 0 AND n % 7 = 0 THEN 'missing: limit' END,
       CASE WHEN name = 'fetch' AND n % 13 <> 0 AND n % 11 = 0 THEN 'not in schema: exact' END, CASE WHEN name = 'sum' THEN 'unknown tool' END,
       CASE WHEN name = 'fetch' AND n % 13 <> 0 THEN 'wrong type: turn' END], lambda x: x IS NOT NULL) AS problems
   FROM c FULL JOIN r ON c.id = r.id LEFT JOIN l ON l.id = c.id),
 s AS (SELECT conv, id, name, status, level, repeats, problems, '{"arguments":' || args || ',"content":' || coalesce('"' || content || '"', 'null')
-  || ',"conv":' || coalesce('"' || conv || '"', 'null') || ',"id":"' || id || '","level":' || coalesce(level::VARCHAR, 'null')
+  || ',"conv":' || coalesce('"' || conv || '"', 'null') || ',"id":' || coalesce('"' || id || '"', 'null') || ',"level":' || coalesce(level::VARCHAR, 'null')
   || ',"name":' || coalesce('"' || name || '"', 'null') || ',"needs":[' || CASE WHEN has THEN '"' || need || '"' ELSE '' END
   || '],"problems":[' || coalesce(array_to_string(list_transform(problems, lambda x: '"' || x || '"'), ','), '') || '],"status":"' || status || '"}' AS json FROM j)
 SELECT *, row_number() OVER (PARTITION BY conv ORDER BY level NULLS LAST, id NULLS LAST, json) AS position FROM s"""

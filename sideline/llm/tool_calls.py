@@ -73,9 +73,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
 
     - Calls and results meet in a full outer hash join on the identifier. Of calls or results that
       repeat an identifier the smallest record counts; ``repeats`` is the number of further ones.
-      A call without an identifier can't be linked: each is a row of its own, status no_id, and
-      results without one are left out.
-    - status: linked, no_result, no_call.
+      Without an identifier nothing can be linked: each such call is a row of its own, status no_id,
+      and each such result one of status no_call.
+    - status: linked, no_result, no_call, no_id.
     - level: topological order by ``needs``; rows of a cycle have none. position: from 1 inside the
       conversation by (level, id), rows without level last. Positions come from a range-split sort,
       so one conversation may hold any share of the rows.
@@ -95,7 +95,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("id"), record.alias("r")).select("id", "r.*", F.lit(0).cast("long").alias("repeats"), F.lit(True).alias("called"))
     answers = results.filter("id IS NOT NULL").groupBy("id").agg(
         F.min("content").alias("content"), (F.count(F.lit(1)) - 1).alias("more"), F.lit(True).alias("answered"))
-    both = known.join(answers, "id", "full").unionByName(nameless, allowMissingColumns=True)
+    unasked = results.filter("id IS NULL").select(F.lit(None).cast("string").alias("id"), "content", F.lit(0).cast("long").alias("more"), F.lit(True).alias("answered"))
+    both = known.join(answers, "id", "full").unionByName(nameless, allowMissingColumns=True).unionByName(unasked, allowMissingColumns=True)
     value = _parsed(F.col("arguments"))
     both = both.withColumn("value", F.when(F.schema_of_variant(value).startswith("OBJECT"), value))
 
@@ -137,11 +138,11 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A user turn is a call: its tool is chosen by the length of its text, its arguments describe the
     text, and it needs the call at about half its turn number. The assistant turn after it is its
-    result.
+    result. Turns of no conversation and turns without a number have no identifier.
     """
     t = turns.select(
         F.col("conv_id").cast("string").alias("conv"), F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
-    name = lambda n: F.concat_ws("-", "conv", n)
+    name = lambda n: F.concat("conv", F.lit("-"), F.when(n.isNotNull(), n.cast("string")))
     size = F.length("text")
     arguments = F.to_json(F.struct(
         F.col("turn").alias("turn"), F.md5("text").alias("query"),
@@ -150,7 +151,7 @@ def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     odd = F.col("turn") % 2
     earlier = odd + 2 * F.floor((F.col("turn") - odd) / 4)
     calls = t.filter("role = 'user'").select(
-        "conv", name("turn").alias("id"), F.element_at(F.array(F.lit("search"), F.lit("fetch"), F.lit("sum")), (size % 3 + 1).cast("int")).alias("name"),
+        "conv", name(F.col("turn")).alias("id"), F.element_at(F.array(F.lit("search"), F.lit("fetch"), F.lit("sum")), (size % 3 + 1).cast("int")).alias("name"),
         arguments.alias("arguments"), F.when(earlier < F.col("turn"), F.array(name(earlier))).alias("needs"))
     results = t.filter("role = 'assistant'").select(name(F.col("turn") - 1).alias("id"), F.md5("text").alias("content"))
     return calls, results

@@ -80,7 +80,7 @@ def test_link(spark, given):
             content.setdefault(i, []).append(c)
     needs = {i: [n for n in (c[4] or []) if n in unique] for i, c in unique.items()}
     levels = _levels(needs)
-    assert Counter(r.id for r in got) == Counter([*unique, None, None, "lost"])
+    assert Counter(r.id for r in got) == Counter([*unique, None, None, None, "lost"])
     times = Counter(c[1] for c in calls)
     for r in got:
         record = json.loads(r.json)
@@ -88,7 +88,7 @@ def test_link(spark, given):
         if r.status == "no_id":
             assert r.id is None and r.conv == "no"
         elif r.status == "no_call":
-            assert r.id == "lost" and r.repeats == 1 and r.problems == []
+            assert (r.id, r.repeats, record["content"]) in (("lost", 1, "z"), (None, 0, "q")) and r.problems == []
         else:
             c = unique[r.id]
             problems, args = _problems(c[2], c[3] or "", r.id not in levels)
@@ -115,5 +115,17 @@ def test_link_empty(spark, given):
 def test_from_conversations(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 2, "user", None), (1, 4, "user", "x" * 13), (2, 0, "assistant", "alone"), (None, 0, "user", "q"), (3, 0, None, None)]
     calls, results = tool_calls.from_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    assert {r.id: r.needs for r in calls.collect()} == {"1-0": None, "1-2": ["1-0"], "1-4": ["1-2"], "0": None}
+    assert {r.id: r.needs for r in calls.collect()} == {"1-0": None, "1-2": ["1-0"], "1-4": ["1-2"], None: None}
     assert {r.id for r in results.collect()} == {"1-0", "2--1"}
+
+
+def test_turns_without_a_conversation_stay_apart(spark):
+    rows = [(None, 0, "user", "a"), (None, 0, "user", "b"), (None, 0, "user", "b"), (4, None, "user", "c"), (None, 1, "assistant", "d"), (4, None, "assistant", "e"), (5, 0, "user", "f"), (5, 1, "assistant", "g")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    schemas = spark.createDataFrame(SCHEMAS, "name string, field string, type string, required boolean")
+    got = tool_calls.link(*tool_calls.from_conversations(turns), schemas).collect()
+    assert Counter(r.status for r in got) == {"no_id": 4, "no_call": 2, "linked": 1}
+    assert all(r.repeats == 0 for r in got)
+    for conv in (None, "4", "5"):
+        mine = [r.position for r in got if r.conv == conv]
+        assert sorted(mine) == list(range(1, len(mine) + 1))

@@ -32,13 +32,24 @@ def _run(spark, urls, rules):
     return sorted(map(tuple, got.collect()), key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("rules", [RULES, [], RULES + [("b.example.net", "/fr", "allow"), ("a.example.net", "/en/1", "block"), ("net", "/", "allow")]])
+MANY = [(f"{'a.' * (i % 7)}example.net", "/" + "en/" * (i % 3) + "p" * (i // 3), ("block", "allow")[i % 2]) for i in range(3000)]
+
+
+@pytest.mark.parametrize("rules", [RULES, [], [("", "", "block")], [("", "/x", "block"), ("net", "", "block")], RULES + [("b.example.net", "/fr", "allow"), ("a.example.net", "/en/1", "block"), ("net", "/", "allow")]])
 def test_verdicts(spark, rules):
     strict = {(h, p): min(v for a, b, v in rules if (a, b) == (h, p)) for h, p, _ in rules}
     want = [(i, *_judge(u, [(h, p, v) for (h, p), v in strict.items()])) for i, u in enumerate(URLS + URLS[:3])]
     assert _run(spark, URLS + URLS[:3], rules) == want
 
 
+def test_a_list_of_any_shape(spark):
+    """Thousands of path lengths and host labels: nothing is refused."""
+    urls = [f"http://{'a.' * (i % 9)}example.net/{'en/' * (i % 3)}{'p' * (i * 7 % 1100)}/x" for i in range(60)] + [None, "", "http://b.net/"]
+    strict = {(h, p): min(v for a, b, v in MANY if (a, b) == (h, p)) for h, p, _ in MANY}
+    assert len({(h.count("."), len(p)) for h, p, _ in MANY}) > 1000
+    assert _run(spark, urls, MANY) == [(i, *_judge(u, [(h, p, v) for (h, p), v in strict.items()])) for i, u in enumerate(urls)]
+
+
 def test_empty_pages(spark):
     assert _run(spark, [], RULES) == []
 

@@ -1,5 +1,7 @@
 """Exact top-k search and near-duplicate vectors against brute force."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -72,6 +74,21 @@ def test_top_k_large_numbers(spark):
     assert got[1, 1] == (2, min(big + 192 * 320, 2**63 - 1)) and got[1, 2][0] == 3
 
 
+def test_top_k_between_doubles_and_longs(spark):
+    """Products beyond 2^53 that fit a long are exact, and ranks follow their last digits."""
+    rng = random.Random(7)
+    rows = [(i, [float(rng.randrange(-10**7, 10**7)) + 0.5 for _ in range(4)]) for i in range(30)]
+    rows += [(100, [1e7, 0.0, 1e7, 1.0]), (101, [1e7, 0.0, 1e7, 2.0]), (102, [1e7, 0.0, 1e7, 1.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+    got = knn_join.top_k(df, df, k=5).collect()
+    want = []
+    for i, v in whole.items():
+        best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in whole.items() if j != i)[:5]
+        want += [(i, n, j, -s) for n, (s, j) in enumerate(best, 1)]
+    assert sorted(map(tuple, got)) == sorted(want) and any(2**53 < abs(w[3]) < 2**63 for w in want)
+
+
 def _near(rows, threshold):
     ok = lambda v: _whole(v) and any(v)
     pad = lambda v: np.pad(np.array(v, float), (0, 8 - len(v)))
