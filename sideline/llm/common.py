@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,13 +89,13 @@ def arrays(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 def list_rows(column: pa.Array) -> list[np.ndarray]:
     """One array per row of a list column without nulls."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    ends = np.cumsum(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))
     return np.split(flat, ends[:-1]) if len(ends) else []
 
 
 def by_size(batch: pa.RecordBatch, column: str, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in slices of about ``size`` bytes of a text column, one row at least."""
-    ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0

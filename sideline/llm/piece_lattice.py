@@ -6,7 +6,7 @@ import heapq
 import re
 from array import array
 from bisect import insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -51,6 +51,22 @@ class Pieces:
         """Score of every piece, and minus infinity for what only begins one."""
         return dict.fromkeys(self.starts, float("-inf")) | self.scores
 
+    @cached_property
+    def of_bytes(self) -> np.ndarray:
+        """By id: whether a piece stands for a byte."""
+        return np.array([isinstance(t, int) for t in self.texts])
+
+    @cached_property
+    def tree(self) -> dict:
+        """The pieces by character: (score or None, what goes on) for each next character."""
+        root: dict = {}
+        for piece, score in self.scores.items():
+            node = root
+            for ch in piece[:-1]:
+                node = node.setdefault(ch, (None, {}))[1]
+            node[piece[-1]] = (score, node[piece[-1]][1] if piece[-1] in node else {})
+        return root
+
     def edges_to(self, text: str, at: int) -> Iterator[tuple[int, float]]:
         """(start, score) of the edges of a text that end at a place."""
         for i in range(max(0, at - self.longest), at):
@@ -159,45 +175,107 @@ def best_segmentations(text: str, pieces: Pieces, count: int) -> list[tuple[floa
     return found
 
 
-def segments(text: str, pieces: Pieces) -> Iterator[str]:
+def best_and_gap(text: str, pieces: Pieces) -> tuple[float, bytes, float]:
+    """Score and ids of the best segmentation, and by how much the second best is worse (infinite without one).
+
+    The forward pass keeps the two best scores of every position; the best segmentation is what
+    A-star finds first (see ``best_segmentations``), without an agenda as only one is wanted. Most
+    segments of a text need no more.
+    """
+    n = len(text)
+    if n > _LONG:
+        found = best_segmentations(text, pieces, 2)
+        ids = np.array(found[0][1], np.int32).tobytes()
+        return found[0][0], ids, found[0][0] - found[1][0] if len(found) > 1 else float("inf")
+    tree, unknown, lowest = pieces.tree, pieces.unknown, float("-inf")
+    first, second = [lowest] * (n + 1), [lowest] * (n + 1)
+    first[0] = 0.0
+    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    for i in range(n):
+        a, b = first[i], second[i]
+        j, node = i, tree
+        while node and j < n:
+            step = node.get(text[j])
+            j += 1
+            if step:
+                score, node = step
+                if score is None:
+                    if j > i + 1:
+                        continue
+                    score = unknown
+            elif j > i + 1:
+                break
+            else:
+                score, node = unknown, None
+            ends[j].append((i, score))
+            total = a + score
+            if total > first[j]:
+                other = b + score
+                second[j] = first[j] if first[j] > other else other
+                first[j] = total
+            elif total > second[j]:
+                second[j] = total
+    at, done, ids = n, 0.0, []
+    while at:
+        best = lowest
+        for i, score in ends[at]:
+            total = done + score + first[i]
+            if total > best:
+                best, where, add = total, i, score
+        piece = text[where:at]
+        known = pieces.ids.get(piece)
+        if known is None:
+            ids += [pieces.bytes_[c] for c in piece.replace(_LITERAL, SPACE).encode("utf-8", "surrogatepass")][::-1]
+        else:
+            ids.append(known)
+        at, done = where, done + add
+    return first[n], array("i", ids[::-1]).tobytes(), first[n] - second[n]
+
+
+def segments(text: str, pieces: Pieces) -> list[str]:
     """The text with spaces as ``SPACE`` and one in front, cut where no piece can cross."""
     marked = SPACE + text.replace(SPACE, _LITERAL).replace(" ", SPACE)
-    return (m[0] for m in pieces.split.finditer(marked)) if pieces.split else iter((marked,))
+    return pieces.split.findall(marked) if pieces.split else [marked]
 
 
-Choices = tuple[tuple[float, bytes], ...]
+Choices = list[tuple[float, np.ndarray]]
 
 
 def best_of_document(parts: Iterable[Choices], count: int) -> list[tuple[float, np.ndarray]]:
-    """The ``count`` best segmentations of a document from those of its segments.
+    """The ``count`` best segmentations of a document from those of its segments."""
+    parts = list(parts)
+    known = [(p[0][0], bytes(p[0][1]), p[0][0] - p[1][0] if len(p) > 1 else float("inf")) for p in parts]
+    return _best_of(known, lambda i: parts[i], count)
+
+
+def best_of_text(text: str | None, pieces: Pieces, count: int, known: Remembered) -> list[tuple[float, np.ndarray]]:
+    """The ``count`` best segmentations of a text; ``known`` gives ``best_and_gap`` of a segment."""
+    parts = segments(text, pieces) if text else []
+    return _best_of(list(map(known.__getitem__, parts)), lambda i: best_segmentations(parts[i], pieces, count), count)
+
+
+def _best_of(parts: list[tuple[float, bytes, float]], choices: Callable, count: int) -> list[tuple[float, np.ndarray]]:
+    """The ``count`` best of a document from (score, ids, gap) of its segments.
 
     The best takes every segment's best. A further one differs from it in segments whose second
     choice costs least: of ``count`` segmentations only the ``count - 1`` cheapest such segments can
-    differ. Their choices are joined one segment at a time, and the ``count`` best of what is joined
-    so far are kept.
+    differ, so only for those are all ``choices`` (by place) looked up. They are joined one segment
+    at a time, and the ``count`` best of what is joined so far are kept.
     """
-    base, best = 0.0, bytearray()
-    costs: list[tuple[float, int, int, Choices]] = []  # the cheapest second choices, dearest first
-    for i, part in enumerate(parts):
-        base += part[0][0]
-        if len(part) > 1 and count > 1:
-            entry = (part[1][0] - part[0][0], -i, len(best), part)
-            if len(costs) < count - 1:
-                heapq.heappush(costs, entry)
-            elif entry[:2] > costs[0][:2]:
-                heapq.heapreplace(costs, entry)
-        best += bytes(part[0][1])
-    free = sorted((at, part) for _, _, at, part in costs)
+    base, best = sum(p[0] for p in parts), b"".join([p[1] for p in parts])
+    cheapest = heapq.nsmallest(count - 1, zip([p[2] for p in parts], range(len(parts)), strict=True)) if count > 1 else []
+    places = sorted(i for gap, i in cheapest if gap < float("inf"))
+    free = [(sum(len(p[1]) for p in parts[:i]), len(parts[i][1]), choices(i)) for i in places]
     combos: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-    for _, part in free:
+    for _, _, part in free:
         combos = heapq.nsmallest(count, (
             (loss + part[0][0] - some[0], (*choice, c)) for loss, choice in combos for c, some in enumerate(part)))
     out = []
     for loss, choice in combos:
         ids, at = [], 0
-        for (start, part), c in zip(free, choice, strict=True):
-            ids += [best[at:start], bytes(part[c][1])]
-            at = start + len(bytes(part[0][1]))
+        for (start, size, part), c in zip(free, choice, strict=True):
+            ids += [best[at:start], np.asarray(part[c][1], np.int32).tobytes()]
+            at = start + size
         out.append((base - loss, np.frombuffer(b"".join([*ids, best[at:]]), np.int32)))
     return out
 
@@ -229,16 +307,13 @@ def encode(
         raise ValueError(f"columns to keep have names of the result: {sorted(clash)}")
     shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(model))
 
-    def choices(part: str, pieces: Pieces) -> Choices:
-        return tuple((score, np.array(ids, np.int32).tobytes()) for score, ids in best_segmentations(part, pieces, count))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
-        known = Remembered(lambda part: choices(part, pieces), lambda value: 220 + sum(120 + len(ids) for _, ids in value), _MEMORY)
+        known = Remembered(lambda part: best_and_gap(part, pieces), lambda value: 320 + len(value[1]), _MEMORY)
         for batch in batches:
             for rows in by_size(batch, "_text"):
                 texts = [x.as_py() or "" for x in rows.column("_text")]
-                best = [best_of_document(map(known.__getitem__, segments(t, pieces) if t else ()), count) for t in texts]
+                best = [best_of_text(t, pieces, count, known) for t in texts]
                 ids = arrays([x[1] for b in best for x in b], pa.int32())
                 ends = pa.array(np.cumsum([0, *map(len, best)]), pa.int32())
                 columns = [*[rows.column(c) for c in keep], arrays([np.array([x[0] for x in b]) for b in best], pa.float64()), pa.ListArray.from_arrays(ends, ids)]
@@ -253,8 +328,13 @@ def encode(
 
 def decode_ids(ids, pieces: Pieces) -> str:
     """The text of piece ids: pieces joined, byte pieces put together, the space in front taken off."""
+    ids = np.asarray(ids, np.int64)
+    held = map(pieces.texts.__getitem__, ids.tolist())
+    if not pieces.of_bytes[ids].any():
+        text = "".join(held).replace(SPACE, " ")
+        return text[1:] if text[:1] == " " else text
     out, run = [], bytearray()
-    for piece in map(pieces.texts.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids):
+    for piece in held:
         if isinstance(piece, int):
             run.append(piece)
             continue
