@@ -75,7 +75,7 @@ def build() -> dict[str, str]:
     names = ", ".join(FIELDS)
     numbered = "CAST(row_number() OVER (PARTITION BY season ORDER BY week, team)-1 AS INTEGER) AS rowIndex"
     sql["scanned_documents"] = q(o.ROWS, f"SELECT {numbered}, {o.KEYS}, {names} FROM tw")
-    sql["canonical_file"] = q(o.ROWS, f"SELECT {numbered}, {o.KEYS}, {names} FROM tw WHERE season=2011")
+    sql["canonical_file"] = q(o.ROWS, f"SELECT {numbered}, {o.KEYS}, {names} FROM tw")
     sql["pinned_source"] = q(o.ROWS, "SELECT count(DISTINCT season) AS files, true AS same, true AS pinned FROM tw")
     sql["source_manifest"] = q(GOV_ONE, """SELECT count(*) AS rowCount, count(DISTINCT team) AS teamCount, repeat('0', 64) AS sha256,
     CAST(2011 AS INTEGER) AS season, 'now' AS generatedAt, 'governed_real_data' AS provenanceStatus, 'governed' AS governanceStatus,
@@ -114,12 +114,16 @@ def build() -> dict[str, str]:
     FROM (SELECT season, team, {made} FROM (SELECT DISTINCT season, team FROM tw))""")
     sql["source_label_kinds"] = """SELECT page_id, CASE page_id%4 WHEN 0 THEN 'data/sample/' WHEN 1 THEN 'fixtures/' WHEN 2 THEN 'elsewhere/' ELSE 'data/sampled/' END || page_id AS path,
     CASE page_id%4 WHEN 0 THEN 'sample' WHEN 1 THEN 'fixture' ELSE 'unknown' END AS type FROM pages"""
-    gaps = o.ROWS.replace("FROM cand)", f"FROM cand WHERE (week+{nation})%5<>0)")
     everyone = ", ".join(f"'{t}'" for t in o.NATIONS)
-    sql["dense_gaps"] = q(gaps + f",\nl AS (SELECT unnest([{everyone}]) AS team), c AS (SELECT DISTINCT team, week FROM tw)", """
-    SELECT 'missing_week' AS kind, l.team, g.week, CAST(1 AS BIGINT) AS occurrences, 'team "' || l.team || '" is missing week ' || g.week AS message
+    gaps = o.ROWS + f""",
+moved AS (SELECT team, CASE WHEN (week+{nation})%5=0 THEN week+12 ELSE week END AS week FROM tw),
+c AS (SELECT team, week, count(*) AS n FROM moved GROUP BY ALL), l AS (SELECT unnest([{everyone}]) AS team)"""
+    sql["dense_gaps"] = q(gaps, """
+    SELECT 'duplicate' AS kind, team, CAST(week AS INTEGER) AS week, CAST(n-1 AS BIGINT) AS occurrences, 'duplicate row for team "' || team || '" week ' || week AS message FROM c WHERE n>1
+    UNION ALL SELECT 'missing_week', l.team, g.week, 1, 'team "' || l.team || '" is missing week ' || g.week
     FROM l, (SELECT CAST(unnest(range(1, 13)) AS INTEGER) AS week) g WHERE l.team IN (SELECT team FROM c) AND (l.team, g.week) NOT IN (SELECT (team, week) FROM c)
-    UNION ALL SELECT 'missing_team', team, NULL, 1, 'missing team "' || team || '" (no rows)' FROM l WHERE team NOT IN (SELECT team FROM c)""")
+    UNION ALL SELECT 'missing_team', team, NULL, 1, 'missing team "' || team || '" (no rows)' FROM l WHERE team NOT IN (SELECT team FROM c)
+    UNION ALL SELECT 'unexpected_week', team, CAST(week AS INTEGER), 1, 'team "' || team || '" has unexpected week ' || week || ' (outside expected weeks)' FROM c WHERE week NOT BETWEEN 1 AND 12""")
     return sql
 
 
@@ -164,4 +168,4 @@ def _reports(sql: dict[str, str]) -> None:
             f"SELECT '{name}', 'row_count', 1 FROM tw HAVING count(*)<>{n * games}",
         ]
     sql["standing_expectations"] = q(o.ROWS, "SELECT expectation, kind, CAST(n AS BIGINT) AS n FROM (" + " UNION ALL ".join(parts) + ")")
-    sql["scaffold_features"] = "SELECT n_name AS team, CAST(2011 AS INTEGER) AS season, 2e0 AS points, 'stable' AS offense, 28e0 AS seconds FROM nation"
+    sql["scaffold_features"] = q(o.ROWS, "SELECT team, season, 2e0 AS points, 'stable' AS offense, 28e0 AS seconds FROM (SELECT DISTINCT team, season FROM tw)")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sideline import config
 from sideline.functions.lineage import written
+from sideline.operators.ranking import number_rows
 
 
 class Expectation(NamedTuple):
@@ -201,3 +202,19 @@ def league_grid(
         F.element_at(names, slot + 1).alias("opponent"),
         *[F.lit(float(v)).alias(m) for m, v in metrics.items()],
     )
+
+
+def rotating_grid(pairs: DataFrame, metrics: dict[str, float], weeks: Sequence[int] = tuple(range(1, 7))) -> DataFrame:
+    """``league_grid`` for leagues of any size: ``pairs`` has the teams of each season, repeats do not matter.
+
+    Teams are numbered by name within their season by a range-split sort; a cell finds its opponent
+    by season and number in a hash join, so no list of teams reaches the driver or one task.
+    """
+    numbered = written(number_rows(pairs.select("season", "team").distinct(), [F.asc("team")], by=["season"]), "league")
+    sizes = numbered.groupBy("season").agg(F.count(F.lit(1)).alias("n"))
+    cells = numbered.join(sizes, "season").selectExpr("season", "team", "rank - 1 AS i", "n", f"explode(array({', '.join(map(str, weeks))})) AS week")
+    slot = "(i + week) % n"
+    cells = cells.selectExpr("*", f"if({slot} = i, (i + week + 1) % n, {slot}) AS slot")
+    others = numbered.selectExpr("season", "rank - 1 AS slot", "team AS opponent")
+    return cells.join(others, ["season", "slot"]).select(
+        "season", "week", "team", "opponent", *[F.lit(float(v)).alias(m) for m, v in metrics.items()])

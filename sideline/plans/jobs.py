@@ -289,3 +289,11 @@ def scaffold_features(spark: SparkSession, options: features.FeatureOptions) ->
     require_canonical(rows)
     moved = movement.movement_v1(movement.movement_v0(scoring.build_states(rows)))
     return features.build_features(moved, options)
+
+
+def scaffold_rows(pairs: DataFrame, options: features.FeatureOptions) -> DataFrame:
+    """Placeholder feature rows of every season and team in ``pairs``, through the whole chain, without the season guards."""
+    rows = coverage.rotating_grid(pairs, PLACEHOLDER_METRICS).selectExpr("*", *[f"double(NULL) AS {s}" for s in schemas.SPLITS])
+    require_canonical(rows)
+    moved = movement.movement_v1(movement.movement_v0(scoring.build_states(rows)))
+    return features.feature_rows(moved, options)

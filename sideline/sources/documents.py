@@ -171,15 +171,20 @@ def declared_provenance(docs: DataFrame) -> str | None:
     return row["status"]
 
 
-def read_canonical(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a document that already has the canonical column names (not yet checked)."""
-    parsed = parsed_once(scan_documents(spark, path))
+def canonical_records(docs: DataFrame) -> DataFrame:
+    """Rows of array documents, scanned or parsed, that already have the canonical column names (not yet checked)."""
+    parsed = parsed_once(docs)
     if not parsed.where("malformed OR NOT isArray").isEmpty():
         raise QualityError("Expected an array of team-week rows in input JSON.")
     records = _exploded(parsed, "arrayRows", schemas.CANONICAL_ROW)
     return records.select(*schemas.ORIGIN, *schemas.CANONICAL_ROW.names)
 
 
+def read_canonical(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a document, or of all .json files of a folder, with canonical column names (not yet checked)."""
+    return canonical_records(scan_documents(spark, path))
+
+
 def read_table_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Canonical rows stored as a splittable table: parquet, orc or JSON lines."""
     reader = spark.read.format(fmt)

@@ -91,3 +91,13 @@ def test_a_hot_cell_is_counted_not_listed(spark):
     e = coverage.Expectation(("A", "B"), (1,))
     rows = spark.range(30_000).select(F.lit("A").alias("team"), F.lit(1).alias("week"), F.lit(2024).alias("season"))
     assert _found(coverage.dense_problems(rows, e)) == [("duplicate", "A", 1, 29_999), ("missing_team", "B", None, 1)]
+
+
+def test_a_grid_of_any_league_is_the_listed_one(spark):
+    names = [f"T{i:02d}" for i in range(9)]
+    pairs = spark.createDataFrame([(2024, t) for t in names * 2] + [(2025, t) for t in names[:1]], "season int, team string")
+    got = coverage.rotating_grid(pairs, {"drives": 2.0}, (1, 2, 9))
+    want = coverage.league_grid(spark, {"drives": 2.0}, 2024, names, (1, 2, 9)).select(got.columns)
+    assert sorted(map(tuple, got.where("season = 2024").collect())) == sorted(map(tuple, want.collect()))
+    assert {(r.week, r.opponent) for r in got.where("season = 2025").collect()} == {(1, "T00"), (2, "T00"), (9, "T00")}
+    assert coverage.rotating_grid(pairs.limit(0), {"drives": 2.0}).count() == 0
