@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Hashable, Iterator
 from dataclasses import dataclass
@@ -38,8 +39,8 @@ class Settings:
     positive: int = 2000
     unlabelled: int = 8000
     least: int = 5
-    least_share: float = 0.01
-    apart: float = 5.0
+    least_share: float = 0.002
+    apart: float = 4.5
     words: int = 5000
     buckets: int = 1 << 20
     low: int = 4
@@ -138,6 +139,23 @@ def word_features(word: str, s: Settings) -> np.ndarray:
     return quality.features(word, s.buckets, s.low, s.high)
 
 
+def known_features(word: str, s: Settings, wanted: frozenset[int]) -> tuple[int, ...]:
+    """Those of a word's features that are ``wanted``; a long word is hashed by numpy, in parts."""
+    if len(word) > LONGEST:
+        some = np.array(sorted(wanted), np.int64)
+        return tuple({f for part in quality.pieces(word, s.buckets, s.low, s.high) for f in part[np.isin(part, some)].tolist()})
+    crc, framed = zlib.crc32, f"<{word}>"
+    found = {crc(f"={word}".encode("utf-8", "surrogatepass")) % s.buckets}
+    if framed.isascii():
+        data = framed.encode()
+        for n in range(s.low, s.high + 1):
+            found.update([crc(data[i : i + n]) % s.buckets for i in range(len(data) - n + 1)])
+    else:
+        for n in range(s.low, s.high + 1):
+            found.update([crc(framed[i : i + n].encode("utf-8", "surrogatepass")) % s.buckets for i in range(len(framed) - n + 1)])
+    return tuple(found & wanted)
+
+
 def _of_texts(batches: Iterator[pa.RecordBatch], known: Remembered) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches with the distinct features of each text."""
     for batch in batches:
@@ -164,11 +182,9 @@ def _looked_up(s: Settings, shared):
     """The features of every text that are in ``shared``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of(word: str) -> np.ndarray:
-            found = word_features(word, s)
-            return found[np.isin(found, shared.value)]
-
-        for rows, held in _of_texts(batches, Remembered(of, lambda value: 200 + value.nbytes)):
+        wanted = frozenset(shared.value)
+        known = Remembered(lambda word: np.array(known_features(word, s, wanted), np.int64), lambda value: 250 + value.nbytes)
+        for rows, held in _of_texts(batches, known):
             yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("p"), arrays(held, pa.int64())], names=["id", "p", "held"])
 
     return run
@@ -199,7 +215,7 @@ def fit(labels: DataFrame, docs: DataFrame, column: str = "toxic", settings: Set
     share = f"((in_p + in_u) / {n_p + n_u}D)"
     counts = counts.withColumn("apart", F.expr(f"(in_p / {n_p}D - in_u / {n_u}D) / sqrt({share} * (1 - {share}) * {1 / n_p + 1 / n_u!r}D + 1e-12D)"))
     fair = counts.filter(f"in_p >= {max(settings.least, settings.least_share * n_p)!r} AND apart >= {settings.apart!r}")
-    chosen = np.array(sorted(r.feature for r in fair.orderBy(F.desc("apart"), "feature").limit(settings.words).collect()), np.int64)
+    chosen = sorted(r.feature for r in fair.orderBy(F.desc("apart"), "feature").limit(settings.words).collect())
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
     rows = texts.mapInArrow(_looked_up(settings, shared), "id long, p boolean, held array<long>").orderBy("p", "id").collect()
     return train([set(r.held) for r in rows if r.p], [set(r.held) for r in rows if not r.p], prior, settings)
@@ -228,16 +244,8 @@ def scores(
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, bias = shared.value
-        wanted = np.array(sorted(weights), np.int64)
-
-        def of(word: str) -> tuple[int, ...]:
-            if len(word) <= LONGEST:
-                found = word_features(word, settings)
-                return tuple(found[np.isin(found, wanted)].tolist())
-            parts = quality.pieces(word, settings.buckets, settings.low, settings.high)
-            return tuple({f for part in parts for f in part[np.isin(part, wanted)].tolist()})
-
-        known = Remembered(of, lambda value: 150 + 8 * len(value))
+        wanted = frozenset(weights)
+        known = Remembered(lambda word: known_features(word, settings, wanted), lambda value: 200 + 36 * len(value))
         for part in parts:
             g = [bias + sum(map(weights.__getitem__, sorted(set().union(*map(known.__getitem__, words_of(t)))))) for t in part]
             yield pd.Series(1 / (1 + np.exp(-np.clip(g, -50, 50))), dtype=np.float64)
