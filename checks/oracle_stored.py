@@ -126,6 +126,16 @@ def build() -> dict[str, str]:
 p AS (SELECT season || '-' || team AS name, (season+{NATION})%6 AS code FROM (SELECT DISTINCT season, team FROM tw))""", """
 SELECT name, false AS invented, CASE code WHEN 0 THEN 'changed' WHEN 1 THEN 'extra' ELSE 'listed twice' END AS problem, code<>1 AS listed, true AS there FROM p WHERE code IN (0, 1, 3)
 UNION ALL SELECT name, true, 'missing', true, false FROM p WHERE code=2""")
+    marks = "['fixture_scaffold', 'sample', 'partial_real_data', 'governed_real_data', 'unknown_provenance', 'promoted', NULL]"
+    sql["document_provenance"] = o.query(o.ROWS, f"""SELECT sourceFile, marker, pathType, teamCount, isFullLeague, movementProvenance, profileProvenance,
+  CASE movementProvenance WHEN 'governed_real_data' THEN 'governed' WHEN 'partial_real_data' THEN 'ungoverned' WHEN 'unknown_provenance' THEN 'unknown' ELSE 'fixture' END AS governanceStatus,
+  CASE WHEN marker<>'promoted' THEN 'explicit_marker' WHEN movementProvenance='unknown_provenance' THEN 'unknown' ELSE 'path_inference' END AS governanceSource,
+  CASE WHEN marker<>'promoted' THEN '' WHEN movementProvenance='unknown_provenance' THEN 'No explicit producer' ELSE 'Governance status in' END AS promotionNotes
+FROM (SELECT *, CASE WHEN marker='governed_real_data' THEN CASE WHEN isFullLeague THEN marker ELSE 'partial_real_data' END WHEN marker<>'promoted' THEN marker
+    WHEN pathType<>'unknown' THEN 'fixture_scaffold' ELSE 'unknown_provenance' END AS movementProvenance,
+  CASE WHEN marker='governed_real_data' AND isFullLeague THEN marker WHEN pathType<>'unknown' THEN 'fixture_scaffold' ELSE 'unknown_provenance' END AS profileProvenance
+FROM (SELECT (['data/sample/', 'fixtures/', 'elsewhere/', './data/sample/'])[1+(season+week)%4] || season || '-' || week || '.json' AS sourceFile, ({marks})[1+(season*12+week)%7] AS marker,
+  CASE (season+week)%4 WHEN 1 THEN 'fixture' WHEN 2 THEN 'unknown' ELSE 'sample' END AS pathType, count(DISTINCT team) AS teamCount, count(DISTINCT team)=25 AS isFullLeague FROM tw GROUP BY season, week))""")
     found = _found()
     values = ", ".join(f"({i}, '{part}', {_quoted(m)})" for i, some in enumerate(found) for part, m in some)
     sql["feature_files"] = o.query(o.ROWS, f"""SELECT season || '-' || team AS sourceFile, part, message FROM (SELECT DISTINCT season, team FROM tw)

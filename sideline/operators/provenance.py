@@ -153,3 +153,26 @@ def profile_metadata(
         _input_source(_text(path)).alias("inputSources"),
         F.struct(*sets.columns).alias("coverage"),
     )
+
+
+def document_provenance(declared: DataFrame, rows: DataFrame, teams=config.LEAGUE_TEAMS) -> DataFrame:
+    """Both ladders and their governance for every source file: one row per file of ``declared``.
+
+    ``declared`` has sourceFile and the producer's ``marker`` (null if there is none), ``rows`` has sourceFile
+    and team. A file covers the full league if its rows have exactly the expected teams. Teams are told
+    apart per file before they are counted, so a file may hold any number of rows; files without rows
+    cover nothing.
+    """
+    each = rows.select("sourceFile", "team").distinct()
+    known = F.col("team").isin(*teams)
+    cover = each.groupBy("sourceFile").agg(F.count("team").alias("teamCount"), F.count_if(known).alias("_known"), F.count_if(~known | F.col("team").isNull()).alias("_other"))
+    files = declared.select("sourceFile", "marker").distinct().join(cover, "sourceFile", "left")
+    files = files.select(
+        "sourceFile", "marker", F.coalesce("teamCount", F.lit(0)).alias("teamCount"),
+        F.coalesce((F.col("_known") == len(teams)) & (F.col("_other") == 0), F.lit(False)).alias("isFullLeague"))
+    path, marker, full = F.col("sourceFile"), F.col("marker"), F.col("isFullLeague")
+    files = files.withColumns({
+        "pathType": path_type(path), "movementProvenance": movement_provenance(path, marker, full), "profileProvenance": profile_provenance(path, marker, full)})
+    blocks = governance_columns(F.col("movementProvenance"), marker)
+    return files.select(
+        "sourceFile", "marker", "pathType", "teamCount", "isFullLeague", "movementProvenance", "profileProvenance", *[c.alias(n) for n, c in blocks.items()])

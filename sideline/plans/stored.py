@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from sideline import config, schemas
 from sideline.functions import lineage
-from sideline.operators import context_documents, context_tables, feature_documents
+from sideline.operators import context_documents, context_tables, feature_documents, provenance
 from sideline.operators.features import FeatureOptions
 from sideline.plans import jobs
-from sideline.plans.lanes import LEAGUE, SEASON
+from sideline.plans.lanes import LEAGUE, NATIONS, SEASON
 from sideline.sinks import publication
-from sideline.sources import checksum, star_schema, variant_documents
+from sideline.sources import checksum, documents, star_schema, variant_documents
 
 NATION = "int(substring(team, 8))"
 
@@ -193,8 +193,30 @@ def _published(spark, folder):
     return counts.join(publication.contents(spark, out).where("bytes > 0").select("dataset"), "dataset").crossJoin(wrong)
 
 
+# --- provenance of every document ---
+
+MARKERS = (*config.PROVENANCE, "promoted", None)
+PLACES = ("data/sample/", "fixtures/", "elsewhere/", "./data/sample/")
+
+
+def _provenance(spark, folder):
+    """A document per week, under changing paths and with changing markers: both ladders per file."""
+    weeks = star_schema.team_weeks(spark, folder).groupBy("season", "week").agg(F.sort_array(F.collect_list(F.struct(F.col("team").alias("teamCode")))).alias("rows"))
+    marker = "element_at(array(" + ", ".join(f"'{m}'" if m else "NULL" for m in MARKERS) + f"), 1 + (season * 12 + week) % {len(MARKERS)})"
+    place = "element_at(array(" + ", ".join(f"'{p}'" for p in PLACES) + f"), 1 + (season + week) % {len(PLACES)})"
+    docs = weeks.selectExpr(
+        f"concat({place}, season, '-', week, '.json') AS sourceFile",
+        f"to_json(named_struct('artifact', '{config.ARTIFACT_RAW}', 'metadata', named_struct('provenanceStatus', {marker}), 'rows', rows)) AS text")
+    parsed = documents.parsed_once(docs)
+    declared = parsed.selectExpr("sourceFile", "get_json_object(metadata, '$.provenanceStatus') AS marker")
+    rows = documents.envelope_records(parsed).selectExpr("sourceFile", "teamCode AS team")
+    found = provenance.document_provenance(declared, rows, NATIONS)
+    return found.withColumn("promotionNotes", F.substring(F.coalesce(F.element_at("promotionNotes", 1), F.lit("")), 1, 20))
+
+
 def queries() -> dict:
     return {
+        "document_provenance": _provenance,
         "manifest_findings": _manifest,
         "published_run": _published,
         "context_files_offense": _context("offense"),
