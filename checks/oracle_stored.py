@@ -119,9 +119,29 @@ def _published() -> str:
     return o.query(o.ROWS + o.LATEST.replace("states", "tw"), parts)
 
 
+def _reports() -> str:
+    absent = ("E_PROVENANCE_MISSING", "provenance or governance markers absent")
+    checksum, times = ("E_GOVERNED_INPUT_CHECKSUM_MISMATCH", "checksum absent or different"), ("E_TEMPORAL_METADATA_MISSING", "dataThrough, sourceSnapshotAt, generatedAt")
+    conflated = "E_TEMPORAL_METADATA_CONFLATED"
+    said = {
+        1: [absent], 2: [absent], 3: [("E_PROVENANCE_NOT_GOVERNED", "sample, governed, explicit_marker")], 4: [checksum], 5: [times],
+        6: [(conflated, "sourceSnapshotAt is not the latest snapshot")], 7: [(conflated, "two time fields are wired to one source")],
+        8: [("E_UPSTREAM_SOURCE_CHECKSUM_MISSING", f"upstream source {n}") for n in ("plays", "games")], 9: [("E_METHODOLOGY_VERSION_UNKNOWN", "x")],
+        10: [("E_WITHHELD_FIELD_PRESENT", "passRate"), ("E_APPROXIMATED_DENOMINATOR_UNAUTHORIZED", "passRate")], 11: [("E_WITHHELD_FIELD_PRESENT", "pointsAgainstTotal")],
+        12: [("E_UNDOCUMENTED_FIELD_PRESENT", "mood")], 15: [absent, checksum, times],
+    }
+    values = ", ".join(f"({i}, '{code}', '{detail}')" for i, found in said.items() for code, detail in found)
+    return o.query(o.REPORT, f"""SELECT season || '-' || c AS sourceFile, code, CAST(NULL AS VARCHAR) AS team, detail FROM (SELECT DISTINCT season FROM report), (VALUES {values}) v(c, code, detail)
+UNION ALL SELECT season || '-11', 'E_WITHHELD_FIELD_ZERO_FILLED', team, 'pointsAgainstTotal' FROM report
+UNION ALL SELECT season || '-13', 'E_UNWEIGHTED_AGGREGATION_USED', team, 'epaPerPlay' FROM report WHERE epaPerPlay IS NOT NULL AND epaPerPlay<>7.5
+UNION ALL SELECT season || '-14', 'E_UNWEIGHTED_AGGREGATION_USED', team, 'redZoneTdRate' FROM report WHERE redZoneTdRate IS NOT NULL
+UNION ALL SELECT season || '-14', 'E_REDZONE_NULL_INVARIANT_VIOLATED', team, 'redZoneTripsTotal ' || redZoneTripsTotal FROM report WHERE redZoneTripsTotal<>0""")
+
+
 def build() -> dict[str, str]:
     sql = {f"context_files_{name}": _context(kind) for name, kind in (("offense", "offense"), ("team", "context"), ("landing", "landing"))}
     sql["published_run"] = _published()
+    sql["report_files"] = _reports()
     sql["manifest_findings"] = o.query(o.ROWS + f""",
 p AS (SELECT season || '-' || team AS name, (season+{NATION})%6 AS code FROM (SELECT DISTINCT season, team FROM tw))""", """
 SELECT name, false AS invented, CASE code WHEN 0 THEN 'changed' WHEN 1 THEN 'extra' ELSE 'listed twice' END AS problem, code<>1 AS listed, true AS there FROM p WHERE code IN (0, 1, 3)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sideline import config, schemas
 from sideline.functions import lineage
-from sideline.operators import context_documents, context_tables, feature_documents, provenance
+from sideline.operators import context_documents, context_tables, feature_documents, provenance, report_documents, season_report
 from sideline.operators.features import FeatureOptions
 from sideline.plans import jobs
 from sideline.plans.lanes import LEAGUE, NATIONS, SEASON
@@ -193,6 +193,45 @@ def _published(spark, folder):
     return counts.join(publication.contents(spark, out).where("bytes > 0").select("dataset"), "dataset").crossJoin(wrong)
 
 
+# --- season reports ---
+
+
+def report_spoils() -> list[tuple[str, str]]:
+    """Pattern and replacement in a report's text, by code."""
+    row = '"drivesTotal":'
+    return [
+        ("^$", ""), ('"provenanceStatus":"[^"]*"', '"provenanceStatus":""'), (',"governanceSource":"[^"]*"', ""),
+        ('"provenanceStatus":"[^"]*"', '"provenanceStatus":"sample"'), ('"expectedChecksum":"[^"]*"', '"expectedChecksum":"other"'),
+        ('"generatedAt":"[^"]*"', '"generatedAt":null'), ('"sourceSnapshotAt":"[^"]*"', '"sourceSnapshotAt":"2012-01-15"'),
+        ('"timeOrigins":[{][^}]*[}]', '"timeOrigins":{"dataThrough":"a","generatedAt":"a"}'),
+        ('"upstreamChecksums":[{][^}]*[}]', '"upstreamChecksums":{"plays":"b","games":null}'),
+        ('"methodologyVersion":"[^"]*"', '"methodologyVersion":"x"'), (row, f'"passRate":0.4,{row}'), (row, f'"pointsAgainstTotal":0,{row}'),
+        (row, f'"mood":1,{row}'), ('"epaPerPlay":-?[0-9.E-]*', '"epaPerPlay":7.5'), ('"redZoneTdRate":[0-9.E-]+', '"redZoneTdRate":null'),
+        ('"metadata":[{].*?[}],"rows"', '"metadata":[],"rows"'),
+    ]
+
+
+def _reports(spark, folder):
+    """A report per season and way of spoiling it, against the rows it is made from."""
+    rows = lineage.written(star_schema.governed_weeks(spark, folder), "governed")
+    report = season_report.season_report(rows)
+    names = [*season_report.report_columns()]
+    line = "named_struct(" + ", ".join(f"'{n}', {n}" for n in names) + ")"
+    seasons = report.groupBy("season").agg(F.sort_array(F.collect_list(F.expr(f"struct(team, to_json({line}, map('ignoreNullFields', 'false')) AS text)"))).alias("lines"))
+    digest = "a" * 64
+    metadata = json.dumps({
+        "provenanceStatus": "governed_real_data", "governanceStatus": "governed", "governanceSource": "explicit_marker", "checksum": digest, "expectedChecksum": digest,
+        "dataThrough": "2012-01-01", "sourceSnapshotAt": "2012-02-01", "generatedAt": "2012-03-01", "upstreamSnapshots": ["2012-01-15", "2012-02-01"],
+        "upstreamChecksums": {"plays": digest}, "methodologyVersion": config.REPORT_METHODOLOGIES[0], "timeOrigins": {"dataThrough": "a", "generatedAt": "b"},
+    }, separators=(",", ":"))
+    spoils = report_spoils()
+    docs = seasons.selectExpr("season", f"concat('{{\"metadata\":', {_literal(metadata)}, ',\"rows\":[', array_join(transform(lines, l -> l.text), ','), ']}}') AS text",
+                              f"explode(sequence(0, {len(spoils) - 1})) AS code")
+    changed = f"regexp_replace(text, {_chosen([a for a, _ in spoils])}, {_chosen([b for _, b in spoils])})"
+    texts = stored_texts(docs.selectExpr(f"{changed} AS text", "concat(season, '-', code) AS name"))
+    return report_documents.document_problems(variant_documents.read_values(texts), rows)
+
+
 # --- provenance of every document ---
 
 MARKERS = (*config.PROVENANCE, "promoted", None)
@@ -216,6 +255,7 @@ def _provenance(spark, folder):
 
 def queries() -> dict:
     return {
+        "report_files": _reports,
         "document_provenance": _provenance,
         "manifest_findings": _manifest,
         "published_run": _published,
