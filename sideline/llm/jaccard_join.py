@@ -16,7 +16,7 @@ from sideline.llm.common import arrays, byte_words, each_batch, shingles, word_h
 from sideline.llm.components import components
 
 #: shingles that one pass of counting holds at a time (8 bytes each), and bytes of text made into sets together
-_CHUNK, _TEXT = 1_000_000, 2 << 20
+_CHUNK, _TEXT = 2_000_000, 2 << 20
 
 
 def _repeated(n: int):
@@ -241,14 +241,12 @@ def jaccard_components(
     usable = rows.filter("id IS NOT NULL AND n > 0")
     classes = written(usable.groupBy("prefix_key", "set_key", "n").agg(F.min("id").alias("cls"), F.first("mark").alias("mark")), "classes")
     groups = usable.groupBy("prefix_key").agg(
-        F.min("id").alias("grp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-        # sets of a group differ past its prefix: its signature counts if it has one set only
-        F.when(F.min("set_key") == F.max("set_key"), F.first("mark")).alias("mark"))
+        F.min("id").alias("grp"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     members = written(classes.join(classes.groupBy("prefix_key").agg(F.min("cls").alias("grp")), "prefix_key").select("grp", "cls", "n", "mark"), "members")
 
     # shingles under which several groups meet, with the first group and the one before
     ordered = Window.partitionBy("token").orderBy("pos", "n", "grp")
-    entries = groups.select(F.posexplode("prefix").alias("pos", "token"), "grp", "n", "mark")
+    entries = groups.select(F.posexplode("prefix").alias("pos", "token"), "grp", "n")
     group = F.struct("grp", "n", "pos")
     met = written(
         entries.withColumns({"first": F.first(group).over(ordered), "before": F.lag(group).over(ordered), "after": F.lead("grp").over(ordered)})
@@ -286,7 +284,7 @@ def jaccard_components(
         parts = components(links).withColumnRenamed("node", "cls")
         known = written(members.join(parts, "cls", "left").select("grp", "cls", "n", "mark", F.coalesce("component", "cls").alias("comp")), "members")
         of_group = known.select("grp", "comp").distinct()
-        placed = written(met.select("token", "grp", "n", "pos", "mark").join(of_group, "grp"), "placed")
+        placed = written(met.select("token", "grp", "n", "pos").join(of_group, "grp"), "placed")
         several = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("token")
         return known, of_group, written(placed.join(several, "token"), "mixed")
 
@@ -302,6 +300,10 @@ def jaccard_components(
     members, of_group, mixed = labelled(first)
     # m shingles of a group can be common: those under which components meet
     mixed = mixed.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("grp", "comp")))
+    # sets of a group differ past its prefix: its signature counts if it has one set only
+    marks = members.join(mixed.select("grp").distinct(), "grp", "left_semi").groupBy("grp").agg(
+        F.when(F.count(F.lit(1)) == 1, F.first("mark")).alias("mark"))
+    mixed = mixed.join(marks, "grp")
     left, right = (mixed.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "pos", "comp", "m", "mark")]) for s in "ab")
     across = (
         left.join(right, "token").filter("comp_a < comp_b").filter(_first_shared("n_a", "pos_a", "n_b", "pos_b", percent))
