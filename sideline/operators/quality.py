@@ -7,7 +7,7 @@ in one projection; ``violations`` lists what is wrong and ``require_clean`` stop
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sideline import config, schemas
@@ -61,6 +61,30 @@ def require_clean(found: DataFrame, order: Sequence[str] = ()) -> None:
         raise QualityError(first[0]["message"])
 
 
+class Watch:
+    """Counts rows that break a rule while a frame is being written, so that the check costs no pass of its own.
+
+    ``watch`` marks the frame; filters that follow do not move below the mark, so rows they drop count
+    too. Once the frame has been written, ``require_clean`` looks for the messages only if a row was counted,
+    or if the plan has lost the count.
+    """
+
+    def __init__(self, rules: Sequence[Rule], locate: Sequence[str]):
+        self.rules, self.locate, self.seen = rules, locate, Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        bad = " OR ".join(f"coalesce({r.bad}, false)" for r in self.rules)
+        return df.observe(self.seen, F.count_if(F.expr(bad)).alias("bad"))
+
+    def clean(self) -> bool:
+        return self.seen.get.get("bad", 1) == 0
+
+    def require_clean(self, df: DataFrame) -> None:
+        """Raise with the first message of the rows, which may be read again for it."""
+        if not self.clean():
+            require_clean(violations(df, self.rules, self.locate), self.locate)
+
+
 RATE_FIELDS = ("passRate", "neutralPassRate", "rushRate", "successRate", "explosivePlayRate",
                "redZoneTdRate", "pressureRateAllowed")
 COUNT_FIELDS = ("pointsFor", "pointsAgainst", "offensivePlays", "neutralPlays", "secondsPerPlay",

@@ -23,11 +23,16 @@ def slice_rows(rows: DataFrame, season_: int | None = None, week: int | None = N
     return rows if week is None else rows.where(F.col("week") <= week)
 
 
-def require_canonical(rows: DataFrame) -> None:
-    """Check all rows before any slice is taken: one bad row outside the slice fails the run."""
+def canonical_watch(rows: DataFrame) -> quality.Watch:
+    """A watch of the canonical rules, for the pass that writes something made of the rows."""
     located = [c for c in ("sourceFile", "rowIndex") if c in rows.columns] or ["season", "team", "week"]
-    found = quality.violations(rows, quality.canonical_rules(), located)
-    quality.require_clean(found, located)
+    return quality.Watch(quality.canonical_rules(), located)
+
+
+def require_canonical(rows: DataFrame) -> None:
+    """Check all rows, in a pass of its own."""
+    watch = canonical_watch(rows)
+    quality.require_clean(quality.violations(rows, watch.rules, watch.locate), watch.locate)
 
 
 def distinct_seasons(rows: DataFrame) -> DataFrame:
@@ -101,17 +106,19 @@ def analyse(
     """Run everything on canonical rows.
 
     States, team-seasons and movement are each read by several outputs, so they are written once to
-    the shared folder and read back.
+    the shared folder and read back. All rows are checked in the pass that writes the states, also those outside
+    of the slice: one bad row anywhere fails the run.
     """
     prepare(rows.sparkSession)
-    require_canonical(rows)
-    rows = documents.typed_keys(rows)
-    sliced = slice_rows(rows, season_, week)
-    if sliced.isEmpty():
+    watch = canonical_watch(rows)
+    sliced = slice_rows(documents.typed_keys(watch.watch(rows)), season_, week)
+    states = written(scoring.build_states(sliced), "states")
+    watch.require_clean(rows)
+    if states.isEmpty():
         raise QualityError(
             f"No rows remain after filters. selectedSeason={season_} selectedWeek={week}"
         )
-    states = written(scoring.build_states(sliced), "states")
+    rows = documents.typed_keys(rows)
     seasons = written(season.team_seasons(states), "seasons")
     moved = written(movement.movement_v0(states), "movement")
     stamp = generated_at or ""

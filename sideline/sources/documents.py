@@ -151,13 +151,19 @@ def parsed_once(docs: DataFrame) -> DataFrame:
 def load_rows(docs: DataFrame) -> DataFrame:
     """Canonical rows of checked documents, with their file and position. Raises on the first error.
 
-    Documents and records are read by the check and by every later step, so both are parsed once and
-    kept. ``docs`` are scanned or already parsed documents.
+    Documents and records are read by every later step, so both are parsed once and kept. Broken rules
+    are counted while they are written; the rows are looked at again only for the message of an error. ``docs`` are scanned
+    or already parsed documents.
     """
-    parsed = parsed_once(docs)
-    arrays = written(array_records(parsed, spread=True), "arrays")
-    envelopes = written(envelope_records(parsed, spread=True), "envelopes")
-    quality.require_clean(_violations(parsed, arrays, envelopes), schemas.ORIGIN)
+    located = list(schemas.ORIGIN)
+    of_documents, of_arrays, of_envelopes = (quality.Watch(rules(), located) for rules in (
+        document_rules, quality.raw_array_rules, quality.envelope_rules))
+    ready = "malformed" in docs.columns
+    parsed = docs if ready else written(of_documents.watch(parse_documents(docs)), "documents")
+    arrays = written(of_arrays.watch(array_records(parsed, spread=True)), "arrays")
+    envelopes = written(of_envelopes.watch(envelope_records(parsed, spread=True)), "envelopes")
+    if ready or not (of_documents.clean() and of_arrays.clean() and of_envelopes.clean()):
+        quality.require_clean(_violations(parsed, arrays, envelopes), schemas.ORIGIN)
     return canonical_from_array(arrays).unionByName(canonical_from_envelope(envelopes))
 
 

@@ -3,9 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from sideline.plans import registry
+from sideline.operators import quality
+from sideline.plans import jobs, registry
+from sideline.sources import star_schema
 
 FOLDER = "/root/testdata/sf0.001"
 NAMES = [
@@ -33,6 +36,32 @@ def test_one_scan(spark, monkeypatch, name):
     assert sum(seen) + _facts(df) == 1
 
 
+def test_the_check_of_a_run_costs_no_scan(spark, monkeypatch):
+    """Canonical rules are counted in the pass that writes the states, over all rows of all seasons."""
+    seen, real = [], DataFrameWriter.parquet
+
+    def parquet(self, *args, **options):
+        seen.append(_facts(self._df))
+        return real(self, *args, **options)
+
+    def none(*_):
+        raise AssertionError("rows of a clean run are looked at again")
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    monkeypatch.setattr(quality, "violations", none)
+    run = jobs.analyse(star_schema.team_weeks(spark, FOLDER), season_=2011)
+    assert sum(seen) == 1 and run.states.select("season").distinct().count() == 1
+
+
+def test_a_bad_row_outside_the_slice_fails_the_run(spark):
+    rows = star_schema.team_weeks(spark, FOLDER)
+    spoiled = rows.withColumn("turnovers", F.expr("if(season = 2008, -1D, turnovers)"))
+    with pytest.raises(quality.QualityError, match="Invalid non-negative field turnovers: -1"):
+        jobs.analyse(spoiled, season_=2011)
+    with pytest.raises(quality.QualityError, match="No rows remain"):
+        jobs.analyse(rows, season_=1990)
+
+
 def test_a_ranking_without_text_writes_none(spark, monkeypatch):
     seen, real = [], DataFrameWriter.parquet
 
