@@ -22,7 +22,7 @@ SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNKNOWN_PENALTY = 10.0
 #: bytes of remembered parts per worker
-_MEMORY = 192 << 20
+_MEMORY = 320 << 20
 #: characters of a text from which on its edges are not kept
 _LONG = 1000
 #: stands for a SPACE character of the text itself; no text holds a lone surrogate
@@ -178,9 +178,9 @@ def best_segmentations(text: str, pieces: Pieces, count: int) -> list[tuple[floa
 def best_and_gap(text: str, pieces: Pieces) -> tuple[float, bytes, float]:
     """Score and ids of the best segmentation, and by how much the second best is worse (infinite without one).
 
-    The forward pass keeps the two best scores of every position; the best segmentation is what
-    A-star finds first (see ``best_segmentations``), without an agenda as only one is wanted. Most
-    segments of a text need no more.
+    The forward pass keeps the two best scores of every position, and the edge by which the best one
+    comes there (of equal ones the first): these edges are the way that A-star takes first (see
+    ``best_segmentations``), without an agenda as only one is wanted. Most segments of a text need no more.
     """
     n = len(text)
     if n > _LONG:
@@ -188,9 +188,8 @@ def best_and_gap(text: str, pieces: Pieces) -> tuple[float, bytes, float]:
         ids = np.array(found[0][1], np.int32).tobytes()
         return found[0][0], ids, found[0][0] - found[1][0] if len(found) > 1 else float("inf")
     tree, unknown, lowest = pieces.tree, pieces.unknown, float("-inf")
-    first, second = [lowest] * (n + 1), [lowest] * (n + 1)
+    first, second, back = [lowest] * (n + 1), [lowest] * (n + 1), [0] * (n + 1)
     first[0] = 0.0
-    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
     for i in range(n):
         a, b = first[i], second[i]
         j, node = i, tree
@@ -207,28 +206,23 @@ def best_and_gap(text: str, pieces: Pieces) -> tuple[float, bytes, float]:
                 break
             else:
                 score, node = unknown, None
-            ends[j].append((i, score))
-            total = a + score
-            if total > first[j]:
+            total, held = a + score, first[j]
+            if total > held:
                 other = b + score
-                second[j] = first[j] if first[j] > other else other
+                second[j] = held if held > other else other
                 first[j] = total
+                back[j] = i
             elif total > second[j]:
                 second[j] = total
-    at, done, ids = n, 0.0, []
+    at, ids = n, []
     while at:
-        best = lowest
-        for i, score in ends[at]:
-            total = done + score + first[i]
-            if total > best:
-                best, where, add = total, i, score
-        piece = text[where:at]
+        piece = text[back[at] : at]
         known = pieces.ids.get(piece)
         if known is None:
             ids += [pieces.bytes_[c] for c in piece.replace(_LITERAL, SPACE).encode("utf-8", "surrogatepass")][::-1]
         else:
             ids.append(known)
-        at, done = where, done + add
+        at = back[at]
     return first[n], array("i", ids[::-1]).tobytes(), first[n] - second[n]
 
 
@@ -262,21 +256,25 @@ def _best_of(parts: list[tuple[float, bytes, float]], choices: Callable, count:
     differ, so only for those are all ``choices`` (by place) looked up. They are joined one segment
     at a time, and the ``count`` best of what is joined so far are kept.
     """
-    base, best = sum(p[0] for p in parts), b"".join([p[1] for p in parts])
-    cheapest = heapq.nsmallest(count - 1, zip([p[2] for p in parts], range(len(parts)), strict=True)) if count > 1 else []
-    places = sorted(i for gap, i in cheapest if gap < float("inf"))
-    free = [(sum(len(p[1]) for p in parts[:i]), len(parts[i][1]), choices(i)) for i in places]
+    scores, ids, gaps = zip(*parts, strict=True) if parts else ((), (), ())
+    base, best = sum(scores), b"".join(ids)
+    if count == 2 and parts:
+        places = [gaps.index(min(gaps))]
+    else:
+        places = [i for _, i in heapq.nsmallest(count - 1, zip(gaps, range(len(gaps)), strict=True))] if count > 1 else []
+    places = sorted(i for i in places if gaps[i] < float("inf"))
+    free = [(sum(map(len, ids[:i])), len(ids[i]), choices(i)) for i in places]
     combos: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
     for _, _, part in free:
         combos = heapq.nsmallest(count, (
             (loss + part[0][0] - some[0], (*choice, c)) for loss, choice in combos for c, some in enumerate(part)))
     out = []
     for loss, choice in combos:
-        ids, at = [], 0
+        joined, at = [], 0
         for (start, size, part), c in zip(free, choice, strict=True):
-            ids += [best[at:start], np.asarray(part[c][1], np.int32).tobytes()]
+            joined += [best[at:start], np.asarray(part[c][1], np.int32).tobytes()]
             at = start + size
-        out.append((base - loss, np.frombuffer(b"".join([*ids, best[at:]]), np.int32)))
+        out.append((base - loss, np.frombuffer(b"".join([*joined, best[at:]]), np.int32)))
     return out
 
 
@@ -329,22 +327,16 @@ def encode(
 def decode_ids(ids, pieces: Pieces) -> str:
     """The text of piece ids: pieces joined, byte pieces put together, the space in front taken off."""
     ids = np.asarray(ids, np.int64)
-    held = map(pieces.texts.__getitem__, ids.tolist())
-    if not pieces.of_bytes[ids].any():
-        text = "".join(held).replace(SPACE, " ")
-        return text[1:] if text[:1] == " " else text
-    out, run = [], bytearray()
-    for piece in held:
-        if isinstance(piece, int):
-            run.append(piece)
-            continue
-        if run:
-            out.append(run.decode("utf-8", "replace"))
-            run = bytearray()
-        out.append(piece.replace(SPACE, " "))
-    if run:
-        out.append(run.decode("utf-8", "replace"))
-    return "".join(out)[1:] if out and out[0][:1] == " " else "".join(out)
+    if not len(ids):
+        return ""
+    of_bytes = pieces.of_bytes[ids]
+    # stretches of byte pieces and of others in turn
+    edges = [0, *(np.flatnonzero(np.diff(of_bytes)) + 1).tolist(), len(ids)]
+    held, out = list(map(pieces.texts.__getitem__, ids.tolist())), []
+    for a, b in zip(edges, edges[1:], strict=False):
+        out.append(bytes(held[a:b]).decode("utf-8", "replace") if of_bytes[a] else "".join(held[a:b]).replace(SPACE, " "))
+    text = "".join(out)
+    return text[1:] if not of_bytes[0] and out[0][:1] == " " else text
 
 
 def decode(ids: Column, spark, model: str = MODEL) -> Column:
