@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,30 @@ def test_needed_is_a_bound():
             assert eval(said.replace("greatest", "max").replace("least", "min").replace("div", "//").replace("AND", "and"))
 
 
+def test_signatures_and_first_places_are_bounds():
+    rng = random.Random(5)
+    seen = 0
+    for _ in range(1500):
+        percent = rng.choice((60, 80, 85))
+        both, only = rng.randrange(1, 200), (rng.randrange(12), rng.randrange(12))
+        values = np.unique(np.array([rng.randrange(2**64) for _ in range(both + sum(only))], np.uint64))
+        rng.shuffle(order := values.tolist())
+        a, b = ({*order[:both], *order[both : both + only[0]]}, {*order[:both], *order[both + only[0] :]})
+        sides = [np.array(sorted(x), np.uint64) for x in (a, b)]
+        x, y = (jaccard_join.signature(s).tolist() for s in sides)
+        differ = sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(x, y, strict=True))
+        assert differ <= len(a ^ b)
+        if 100 * len(a & b) < percent * len(a | b):
+            continue
+        seen += 1
+        run = lambda sql: eval(sql.replace("div", "//").replace("AND", "and"))
+        assert differ <= len(a) + len(b) - 2 * run(jaccard_join._overlap(str(len(a)), str(len(b)), percent))
+        first = min(a & b)  # in any one order of shingles
+        places = [int(np.searchsorted(s, np.uint64(first))) for s in sides]
+        assert run(jaccard_join._first_shared(str(len(a)), str(places[0]), str(len(b)), str(places[1]), percent))
+    assert seen > 500
+
+
 def test_components(spark):
     rng = random.Random(6)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(i, i + 1) for i in range(500, 700)] + [(0, i) for i in range(800, 900)]
