@@ -33,14 +33,16 @@ class Settings:
 
     Features are words and their character n-grams of ``low`` to ``high`` characters, hashed into
     ``buckets``. One counts if it is in ``least`` positive rows and ``least_share`` of them, and
-    stands ``apart``; the ``words`` that stand out most are taken.
+    stands ``apart``, in large samples by more: ``effect`` times the root of the number of positive
+    rows, so that a difference has to be large as well as certain. The ``words`` that stand out most are taken.
     """
 
     positive: int = 2000
     unlabelled: int = 8000
     least: int = 5
-    least_share: float = 0.002
-    apart: float = 4.5
+    least_share: float = 0.01
+    apart: float = 5.0
+    effect: float = 0.3
     words: int = 5000
     buckets: int = 1 << 20
     low: int = 4
@@ -52,6 +54,10 @@ class Settings:
     seed: int = 5
 
 
+def least_apart(n_positive: int, s: Settings) -> float:
+    return max(s.apart, s.effect * n_positive**0.5)
+
+
 def vocabulary(positive: list[set[Hashable]], unlabelled: list[set[Hashable]], s: Settings) -> list[Hashable]:
     """Features in a fair share of the positive texts whose shares in both samples are clearly apart.
 
@@ -66,7 +72,7 @@ def vocabulary(positive: list[set[Hashable]], unlabelled: list[set[Hashable]], s
         return (in_p[w] / n_p - in_u[w] / n_u) / (share * (1 - share) * (1 / n_p + 1 / n_u) + 1e-12) ** 0.5
 
     found = [(apart(w), w) for w, n in in_p.items() if n >= least]
-    return [w for z, w in sorted(found, key=lambda x: (-x[0], x[1])) if z >= s.apart][: s.words]
+    return [w for z, w in sorted(found, key=lambda x: (-x[0], x[1])) if z >= least_apart(n_p, s)][: s.words]
 
 
 def _sigmoid(x):
@@ -214,7 +220,7 @@ def fit(labels: DataFrame, docs: DataFrame, column: str = "toxic", settings: Set
     counts = texts.mapInArrow(_counted(settings), "feature long, in_p long, in_u long").groupBy("feature").agg(F.sum("in_p").alias("in_p"), F.sum("in_u").alias("in_u"))
     share = f"((in_p + in_u) / {n_p + n_u}D)"
     counts = counts.withColumn("apart", F.expr(f"(in_p / {n_p}D - in_u / {n_u}D) / sqrt({share} * (1 - {share}) * {1 / n_p + 1 / n_u!r}D + 1e-12D)"))
-    fair = counts.filter(f"in_p >= {max(settings.least, settings.least_share * n_p)!r} AND apart >= {settings.apart!r}")
+    fair = counts.filter(f"in_p >= {max(settings.least, settings.least_share * n_p)!r} AND apart >= {least_apart(n_p, settings)!r}")
     chosen = sorted(r.feature for r in fair.orderBy(F.desc("apart"), "feature").limit(settings.words).collect())
     shared = docs.sparkSession.sparkContext.broadcast(chosen)
     rows = texts.mapInArrow(_looked_up(settings, shared), "id long, p boolean, held array<long>").orderBy("p", "id").collect()
