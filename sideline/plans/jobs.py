@@ -106,19 +106,22 @@ def analyse(
     """Run everything on canonical rows.
 
     States, team-seasons and movement are each read by several outputs, so they are written once to
-    the shared folder and read back. All rows are checked in the pass that writes the states, also those outside
-    of the slice: one bad row anywhere fails the run.
+    the shared folder and read back. All rows are checked, also those outside
+    of the slice: one bad row anywhere fails the run. ``rows`` are evaluated once, however many data
+    sets count them: a whole run counts its states, and the rows of a sliced one are written first.
     """
     prepare(rows.sparkSession)
     watch = canonical_watch(rows)
-    sliced = slice_rows(documents.typed_keys(watch.watch(rows)), season_, week)
-    states = written(scoring.build_states(sliced), "states")
+    whole = season_ is None and week is None
+    checked = documents.typed_keys(watch.watch(rows))
+    checked = checked if whole else written(checked, "weeks")
+    states = written(scoring.build_states(slice_rows(checked, season_, week)), "states")
     watch.require_clean(rows)
     if states.isEmpty():
         raise QualityError(
             f"No rows remain after filters. selectedSeason={season_} selectedWeek={week}"
         )
-    rows = documents.typed_keys(rows)
+    counted = states if whole else checked
     seasons = written(season.team_seasons(states), "seasons")
     moved = written(movement.movement_v0(states), "movement")
     stamp = generated_at or ""
@@ -139,7 +142,7 @@ def analyse(
         movement_v0=moved,
         movement_v1=movement.movement_v1(moved),
         movement_metadata=provenance.movement_governance(movement_md, marker, stamp),
-        metadata=run_metadata(rows, season_, week, source_path, source_files, generated_at),
+        metadata=run_metadata(counted, season_, week, source_path, source_files, generated_at),
     )
 
 

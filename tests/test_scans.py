@@ -8,7 +8,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from sideline.operators import quality
 from sideline.plans import jobs, registry
-from sideline.sources import star_schema
+from sideline.sources import documents, star_schema
 
 FOLDER = "/root/testdata/sf0.001"
 NAMES = [
@@ -36,6 +36,30 @@ def test_one_scan(spark, monkeypatch, name):
     assert sum(seen) + _facts(df) == 1
 
 
+def test_a_published_run_reads_the_facts_once(spark, monkeypatch, tmp_path):
+    """Whatever data sets count the rows, of a whole run and of a sliced one."""
+    seen, real = [], DataFrameWriter.save
+
+    def save(self, *args, **options):
+        seen.append(_facts(self._df))
+        return real(self, *args, **options)
+
+    def parquet(self, *args, **options):
+        seen.append(_facts(self._df))
+        return written(self, *args, **options)
+
+    written = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "save", save)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    for season, last in ((None, None), (2011, 5), (None, 7)):
+        seen.clear()
+        rows = star_schema.team_weeks(spark, FOLDER)
+        run = jobs.analyse(rows, season, last)
+        jobs.publish_run(run, f"{tmp_path}/out")
+        assert sum(seen) == 1
+        assert run.metadata.collect() == jobs.run_metadata(documents.typed_keys(rows), season, last).collect()
+
+
 def test_the_check_of_a_run_costs_no_scan(spark, monkeypatch):
     """Canonical rules are counted in the pass that writes the states, over all rows of all seasons."""
     seen, real = [], DataFrameWriter.parquet
