@@ -50,6 +50,21 @@ def test_stages(spark):
     assert back == texts and kept.filter("NOT restored").count() == 0
 
 
+def test_encoding_gives_further_segmentations(spark):
+    texts = [(1, "the quick brown fox\njumps  over", "en", "s", 1), (2, "x", "en", "s", 1), (3, "", "en", "s", 0), (4, None, None, None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    done = {r.doc_id: r for r in corpus_pipeline.encode_pieces(spark, docs, SMALL).collect()}
+    pieces = piece_lattice.Pieces.load()
+    for i, text, *_ in texts:
+        r = done[i]
+        marked = "".join(piece_lattice.segments(text, pieces)) if text else ""
+        want = piece_lattice.best_segmentations(marked, pieces, corpus_pipeline.SEGMENTATIONS) if text else [(0.0, [])]
+        assert len(r.segmentations) == len(r.scores) == len(want) and r.segmentations[0] == r.piece_ids
+        assert all(abs(a - b) < 1e-9 for a, (b, _) in zip(r.scores, want, strict=True))
+        assert len({tuple(x) for x in r.segmentations}) == len(want) == (2 if text else 1)
+        assert all(piece_lattice.decode_ids(x, pieces) == (text or "") for x in r.segmentations)
+
+
 def test_odd_rows_and_empty(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long, size int, score double, n_lines int"
     odd = [(1, None, None, None, None, 1, 0.5, 2), (None, "a b c", "en", "s", 5, 1, 0.5, 2), (2, "", "en", "s", 0, 1, 0.5, 2), (3, "w " * 50_000, "en", "s", 100_000, 1, 0.5, 2), (3, "w " * 50_000, "en", "s", 100_000, 1, 0.5, 2)]
