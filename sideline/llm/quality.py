@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import operator
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sideline.llm.common import Remembered, arrays, by_size, held_out
+from sideline.llm.common import Remembered, by_size, held_out
 from sideline.llm.training import learning_ids, sampled, texts_of
 
 #: a word of more characters is hashed by numpy, this many of its characters at a time after the
@@ -110,6 +110,31 @@ def bag(text: str | None, made: Remembered, s: Settings) -> tuple[np.ndarray, np
     return ids, held[ids]
 
 
+def packed(ids: np.ndarray, n: np.ndarray) -> bytes:
+    """``bag`` of a text in a few bits: gaps between the ids and the counts, compressed byte by byte of equal weight."""
+    numbers = np.concatenate([np.diff(ids, prepend=np.int32(0)), n]).astype("<i4")
+    return zlib.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    weights = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    gaps, n = np.ascontiguousarray(weights.T).view("<i4").reshape(2, -1)
+    return np.cumsum(gaps, dtype=np.int32), n
+
+
+class Packed(Sequence):
+    """Bags that are unpacked one at a time, when they are asked for."""
+
+    def __init__(self, rows: Sequence[bytes]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, at: int) -> tuple[np.ndarray, np.ndarray]:
+        return unpacked(self.rows[at])
+
+
 def features_of_words(s: Settings) -> Remembered:
     return Remembered(lambda w: features(w, s.buckets, s.low, s.high), lambda value: 200 + value.nbytes)
 
@@ -120,7 +145,7 @@ def train(texts: list[str], y: list[int], s: Settings = Settings()) -> np.ndarra
     return learn([bag(t, made, s) for t in texts], y, s)
 
 
-def learn(bags: list[tuple[np.ndarray, np.ndarray]], y: list[int], s: Settings = Settings()) -> np.ndarray:
+def learn(bags: Sequence[tuple[np.ndarray, np.ndarray]], y: list[int], s: Settings = Settings()) -> np.ndarray:
     """Weight per bucket: the log-odds of label 1 is the mean weight of a text's features.
 
     Features are the hashed words, their character n-grams, one for each word that follows itself,
@@ -169,14 +194,12 @@ def fit(labels: DataFrame, docs: DataFrame, column: str = "quality", settings: S
         made = features_of_words(settings)
         for batch in batches:
             for rows in by_size(batch, "text"):
-                held = [bag(t.as_py(), made, settings) for t in rows.column("text")]
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), rows.column("y"), arrays([i for i, _ in held], pa.int32()), arrays([n for _, n in held], pa.int32())], names=["id", "y", "ids", "n"])
-
-    # the driver gets features, at most one number per bucket and row, and no texts
-    found = texts_of(ids, docs, id_col, text_col).select("id", "y", "text").mapInArrow(run, "id long, y int, ids array<int>, n array<int>").toArrow().sort_by("id")
-    bags = [(i.values.to_numpy(), n.values.to_numpy()) for i, n in zip(found.column("ids"), found.column("n"), strict=True)]
-    return learn(bags, found.column("y").to_pylist(), settings)
+                held = [packed(*bag(t.as_py(), made, settings)) for t in rows.column("text")]
+                yield pa.RecordBatch.from_arrays([rows.column("id"), rows.column("y"), pa.array(held, pa.binary())], names=["id", "y", "bag"])
+
+    # the driver gets packed features, a small part of a text's size, and no texts
+    found = texts_of(ids, docs, id_col, text_col).select("id", "y", "text").mapInArrow(run, "id long, y int, bag binary").toArrow().sort_by("id")
+    return learn(Packed(found.column("bag").to_pylist()), found.column("y").to_pylist(), settings)
 
 
 def score_text(text: str | None, model: np.ndarray, s: Settings = Settings()) -> float:

@@ -166,3 +166,17 @@ def test_the_driver_gets_no_texts(spark, corpus):
     small = quality.Settings(buckets=1 << 10)
     ids, n = quality.bag("word " * 50_000 + "x" * 50_000, quality.features_of_words(small), small)
     assert len(ids) <= 1 << 10 and n.sum() > 100_000
+
+
+def test_features_reach_the_driver_packed(spark, corpus):
+    """A fraction of a number per feature, and the same model."""
+    s = quality.Settings()
+    words = [f"w{i * i % 977}" for i in range(1500)]
+    bags = [quality.bag(t, quality.features_of_words(s), s) for t in (None, "", "a", " ".join(words), "word " * 100_000)]
+    rows = [quality.packed(*b) for b in bags]
+    for (ids, n), row in zip(bags, rows, strict=True):
+        back, times = quality.unpacked(row)
+        assert back.tolist() == ids.tolist() and times.tolist() == n.tolist()
+    assert len(rows[3]) < (bags[3][0].nbytes + bags[3][1].nbytes) / 3
+    small, y = quality.Settings(epochs=1), [0, 1, 0, 1, 1]
+    assert (quality.learn(quality.Packed(rows), y, small) == quality.learn(bags, y, small)).all()
