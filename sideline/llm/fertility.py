@@ -72,13 +72,17 @@ def repeated_words(data: bytes, run: int = 3) -> tuple[int, int]:
     ids = np.concatenate(parts) if parts else np.empty(0, np.int64)
     if len(ids) < run:
         return len(ids), 0
-    key = ids[: len(ids) - run + 1]
+    key, values = ids[: len(ids) - run + 1], len(numbers)
     for i in range(1, run):
-        key = key * len(numbers) + ids[i : len(ids) - run + 1 + i]
-        if i + 1 < run:  # small numbers again before the next word joins
-            key = np.unique(key, return_inverse=True)[1]
-    _, place, times = np.unique(key, return_inverse=True, return_counts=True)
-    twice = np.flatnonzero(times[place] > 1)
+        if values * len(numbers) >= 1 << 63:  # small numbers again before the next word joins
+            found, key = np.unique(key, return_inverse=True)
+            values = len(found)
+        key, values = key * len(numbers) + ids[i : len(ids) - run + 1 + i], values * len(numbers)
+    ordered = np.sort(key)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(again):
+        return len(ids), 0
+    twice = np.flatnonzero(again[np.minimum(np.searchsorted(again, key), len(again) - 1)] == key)
     inside = np.zeros(len(ids), bool)
     for i in range(run):
         inside[twice + i] = True
@@ -135,9 +139,9 @@ class _Ranks:
         for token, rank in ranks.items():
             self.fallback[rank] = "�" in token.decode("utf-8", "replace")
 
-    def ids(self, text: str) -> Iterator[list[int]]:
+    def ids(self, text: str) -> Iterator[np.ndarray]:
         for block in _blocks(text):
-            yield self.model.encode_ordinary(block)
+            yield self.model.encode_to_numpy(block, disallowed_special=())
 
 
 _loaded: dict[int, object] = {}
@@ -156,7 +160,7 @@ def fertility(text: str, vocabulary) -> tuple[int, int, int, int]:
     counts = np.zeros(len(vocabulary.fallback), np.int64) if len(text) > _BLOCK else None
     for ids in vocabulary.ids(text):
         if counts is None:
-            used, n = np.unique(np.array(ids, np.int64), return_counts=True)
+            used, n = np.unique(np.array(ids, np.int32), return_counts=True)
         else:
             counts += np.bincount(np.array(ids, np.int64), minlength=len(counts))
     if counts is not None:
